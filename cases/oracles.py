@@ -1,6 +1,6 @@
 """The same results in DuckDB SQL, written independently of the Spark code."""
 
-from cases.fixture import AS_OF, CUSTOMERS, DEVICES, JOBS, RAW_CUSTOMERS_SQL, RAW_DEVICES_SQL, RAW_JOBS_SQL
+from cases.fixture import AS_OF, CUSTOMERS, DEVICES, JOB_TIE_BREAKERS, JOBS, RAW_CUSTOMERS_SQL, RAW_DEVICES_SQL, RAW_JOBS_SQL
 
 JOB_COLUMNS = [c for c in JOBS if not c.startswith("_")]
 CUSTOMER_COLUMNS = [c for c in CUSTOMERS if not c.startswith("_")]
@@ -22,6 +22,7 @@ def _date(text: str) -> str:
 def _ctes(ordered_by_load: bool = True) -> str:
     """Raw to silver. Without an order by load time, ties go by the other columns alone."""
     load = ["_ingest_ts"] if ordered_by_load else []
+    job_order = ["_ingest_ts", *JOB_TIE_BREAKERS] if ordered_by_load else JOB_COLUMNS
     return f"""
 with raw_jobs as ({RAW_JOBS_SQL}),
 raw_customers as ({RAW_CUSTOMERS_SQL}),
@@ -37,7 +38,7 @@ tidy_jobs as (
   from raw_jobs),
 latest_jobs as (
   select * from tidy_jobs
-  qualify row_number() over (partition by job_id order by {_newest_first(load + JOB_COLUMNS, 'job_id')}) = 1),
+  qualify row_number() over (partition by job_id order by {_newest_first(job_order, 'job_id')}) = 1),
 names as (select technician_id, min(technician_name) as found from latest_jobs group by 1),
 named_jobs as (
   select j.* replace (coalesce(j.technician_name, n.found) as technician_name)
@@ -176,7 +177,7 @@ from raw_jobs"""
 _JOB_LIST = ", ".join(JOB_COLUMNS)
 _LIFECYCLE = "is_completed, is_cancelled, turnaround_days, is_overdue, sla_breach_days"
 _LATEST_RAW = f"""select * from raw_jobs
-qualify row_number() over (partition by job_id order by {_newest_first(['_ingest_ts'] + JOB_COLUMNS, 'job_id')}) = 1"""
+qualify row_number() over (partition by job_id order by {_newest_first(['_ingest_ts', *JOB_TIE_BREAKERS], 'job_id')}) = 1"""
 
 ORACLES: dict[str, str] = {
     "csv_ingest_customers": _select(f"select {', '.join(CUSTOMER_COLUMNS)} from raw_customers"),

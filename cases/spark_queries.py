@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cases import fixture
 from stratalake.functions.lifecycle import add_lifecycle_fields
 from stratalake.functions.pricing import price_bounds, price_range_known
-from stratalake.operators.backfill import backfill_from_group, group_lookup
+from stratalake.operators.backfill import backfill_from_group
 from stratalake.operators.dedupe import dedupe_exact_rows, keep_latest_per_key
 from stratalake.operators.profile import profile
 from stratalake.operators.quality import quality_report
@@ -44,7 +44,7 @@ def _devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.latest_jobs(fixture.raw_jobs(spark, sf_dir))
+    return silver.latest_jobs(fixture.raw_jobs(spark, sf_dir), fixture.JOB_TIE_BREAKERS)
 
 
 def _tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,17 +53,12 @@ def _tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _named(latest: DataFrame) -> DataFrame:
     """Names filled from the given jobs, which are stored as they are read twice."""
-    stored = stage(latest, "latest_jobs")
-    technicians = stage(group_lookup(stored, "technician_id", "technician_name"), "technicians")
-    return backfill_from_group(stored, "technician_id", "technician_name", technicians)
+    return backfill_from_group(stage(latest, "latest_jobs"), "technician_id", "technician_name")
 
 
 def _silver_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = stage(_latest(spark, sf_dir), "latest_jobs")
-    technicians = stage(group_lookup(latest, "technician_id", "technician_name"), "technicians")
-    return silver.silver_jobs(
-        latest, _customers(spark, sf_dir), _devices(spark, sf_dir), fixture.AS_OF, technicians
-    )
+    return silver.silver_jobs(latest, _customers(spark, sf_dir), _devices(spark, sf_dir), fixture.AS_OF)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -152,7 +147,7 @@ def dedupe_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return keep_latest_per_key(fixture.raw_jobs(spark, sf_dir), ["job_id"], "_ingest_ts")
+    return keep_latest_per_key(fixture.raw_jobs(spark, sf_dir), ["job_id"], "_ingest_ts", fixture.JOB_TIE_BREAKERS)
 
 
 def backfill_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -297,7 +292,15 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     for delivery in _deliveries(jobs):
         delivery.write.mode("append").parquet(landing)
         changes = spark.readStream.schema(jobs.schema).parquet(landing)
-        upsert_stream(changes, layout, table, ["job_id"], "_ingest_ts", f"{layout.storage}/checkpoint")
+        upsert_stream(
+            changes,
+            layout,
+            table,
+            ["job_id"],
+            "_ingest_ts",
+            f"{layout.storage}/checkpoint",
+            fixture.JOB_TIE_BREAKERS,
+        )
     current = spark.table(table)
     _forget(spark, layout, table)
     return current

@@ -7,7 +7,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.functions.text import tidy_key, unreadable_date
 from stratalake.operators.backfill import group_lookup
-from stratalake.operators.quality import Check, expect_all, expect_not_empty, expect_unique, nulls, rows, rows_where
+from stratalake.operators.quality import (
+    Check,
+    enforce,
+    expect_all,
+    expect_not_empty,
+    expect_unique,
+    nulls,
+    quality_report,
+    rows,
+    rows_where,
+)
 from stratalake.plans import gold, silver
 from stratalake.sources import schemas
 from stratalake.sources.raw_csv import new_batch_id, read_raw_csv, with_ingestion_metadata
@@ -96,6 +106,9 @@ def run_pipeline(
     # lookup is stored too: then its size is known before the join is planned.
     latest = stage(silver.latest_jobs(bronze["service_jobs"]), "latest_jobs")
     technicians = stage(group_lookup(latest, "technician_id", "technician_name"), "technicians")
+    run.counts["technicians"] = enforce(
+        quality_report(technicians, [rows(), rows_where("several_names", F.col("value_count") > 1)])
+    )
     jobs = publish(
         layout.silver("service_jobs"),
         silver.silver_jobs(latest, customers, devices, as_of, technicians),

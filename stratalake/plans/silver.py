@@ -1,6 +1,7 @@
 """Silver tables: typed, tidy, one row per key, with derived fields."""
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -76,9 +77,13 @@ def silver_devices(bronze: DataFrame) -> DataFrame:
     return _stamped(keep_latest_per_key(standardise_devices(bronze), ["device_id"], "_ingest_ts"))
 
 
-def latest_jobs(bronze: DataFrame) -> DataFrame:
-    """The current version of each job. Exact copies share the job's key, so they go in the same step."""
-    return keep_latest_per_key(standardise_jobs(bronze), ["job_id"], "_ingest_ts")
+def latest_jobs(bronze: DataFrame, tie_breakers: Sequence[str] | None = None) -> DataFrame:
+    """The current version of each job. Exact copies share the job's key, so they go in the same step.
+
+    By default all columns break ties between versions of one load. Name the columns that tell versions apart
+    where they are known: a query that needs few columns then shuffles few.
+    """
+    return keep_latest_per_key(standardise_jobs(bronze), ["job_id"], "_ingest_ts", tie_breakers)
 
 
 def silver_jobs(
@@ -90,7 +95,7 @@ def silver_jobs(
 ) -> DataFrame:
     """:func:`latest_jobs` with technician names filled, lifecycle fields and reference flags.
 
-    ``latest`` is read twice (once for the names) unless ``technicians`` is given: pass it stored.
+    ``latest`` is read twice, once for the names unless ``technicians`` is given, so pass it stored.
     """
     named = backfill_from_group(latest, "technician_id", "technician_name", technicians)
     enriched = add_lifecycle_fields(named, as_of)
