@@ -1,0 +1,114 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratalake.operators.quality import DataQualityError, expect_not_empty
+from stratalake.sources import schemas
+from stratalake.sources.raw_csv import new_batch_id, read_raw_csv, with_ingestion_metadata
+from stratalake.sources.scratch import scratch_folder, stage
+from stratalake.sources.tables import Layout, replace_table
+from tests.helpers import rows
+
+DEVICES_HEADER = "device_id,brand,device_type,model_series,warranty_months,price_range\n"
+
+
+@pytest.fixture
+def layout(tmp_path):
+    return Layout(schema=f"t_{tmp_path.name}", raw_path=f"{tmp_path}/raw/", storage=f"{tmp_path}/tables")
+
+
+def write(path, text):
+    path.write_text(text)
+    return str(path)
+
+
+def test_quotes_line_breaks_and_blank_fields(spark, tmp_path):
+    path = write(
+        tmp_path / "customers.csv",
+        "customer_id,customer_name,phone_number,email,city,registration_date\n"
+        '1,"Rao, ""Syed""",98,a@b.c,"New\nDelhi",2022-08-12\n,  x ,,,,\n',
+    )
+    assert rows(read_raw_csv(spark, path, schemas.CUSTOMERS)) == [
+        ("1", 'Rao, "Syed"', "98", "a@b.c", "New\nDelhi", "2022-08-12"),
+        (None, "  x ", None, None, None, None),
+    ]
+
+
+def test_bad_values_become_null_unless_strict(spark, tmp_path):
+    path = write(tmp_path / "devices.csv", DEVICES_HEADER + "D1,Acme,TV,M1,twelve,Budget\nD2,Acme,TV,M1,6,Budget,extra\n")
+    read = read_raw_csv(spark, path, schemas.DEVICES, multi_line=False)
+    assert rows(read, "device_id", "warranty_months") == [("D1", None), ("D2", 6)]
+    for column in ("warranty_months", "device_id"):
+        with pytest.raises(Exception, match="MALFORMED"):
+            read_raw_csv(spark, path, schemas.DEVICES, False, strict=True).select(column).collect()
+
+
+def test_a_reordered_header_raises_only_if_strict(spark, tmp_path):
+    path = write(tmp_path / "devices.csv", "brand,device_id,device_type,model_series,warranty_months,price_range\nAcme,D1,TV,M,6,B\n")
+    assert read_raw_csv(spark, path, schemas.DEVICES, False).first().device_id == "Acme"
+    with pytest.raises(Exception, match="header does not conform"):
+        read_raw_csv(spark, path, schemas.DEVICES, False, strict=True).collect()
+
+
+def test_metadata_names_the_file_and_the_batch(spark, tmp_path):
+    for n in (1, 2):
+        write(tmp_path / f"part{n}.csv", DEVICES_HEADER + f"D{n},Acme,TV,M1,12,Budget\n")
+    raw = read_raw_csv(spark, str(tmp_path), schemas.DEVICES)
+    stamped = with_ingestion_metadata(raw, batch_id="B7")
+    assert stamped.columns[-3:] == ["_ingest_ts", "_source_file", "_batch_id"]
+    assert [(r.device_id, r._source_file.split("/")[-1], r._batch_id) for r in stamped.orderBy("device_id").collect()] == [
+        ("D1", "part1.csv", "B7"),
+        ("D2", "part2.csv", "B7"),
+    ]
+    assert stamped.filter(F.col("_ingest_ts") > F.current_timestamp() - F.expr("interval 1 day")).count() == 2
+    named = with_ingestion_metadata(spark.range(1), "landing/x.csv").first()
+    assert named._source_file == "landing/x.csv"
+    dt.datetime.strptime(named._batch_id, "%Y%m%d%H%M%S")
+    assert len(new_batch_id()) == 14
+
+
+def test_names(layout):
+    full = Layout(schema="dev", raw_path="/landing/", storage="/store/", catalog="main")
+    assert full.bronze("jobs") == "main.dev.bronze_jobs"
+    assert (full.silver("x"), full.gold("x")) == ("main.dev.silver_x", "main.dev.gold_x")
+    assert full.raw_file("a.csv") == "/landing/a.csv"
+    assert full.version_path("main.dev.gold_x", "v1") == "/store/gold_x/v1"
+    assert layout.bronze("jobs") == f"{layout.schema}.bronze_jobs"
+
+
+def test_a_table_is_replaced_with_its_schema_while_it_is_read(spark, layout):
+    layout.ensure_schema(spark)
+    layout.ensure_schema(spark)
+    table = layout.silver("things")
+    replace_table(spark.range(3), layout, table)
+    before = spark.table(table)
+    # The new state is computed from the old one.
+    replace_table(before.selectExpr("id + 10 as id", "'x' as extra"), layout, table)
+    assert rows(spark.table(table)) == [(10, "x"), (11, "x"), (12, "x")]
+    assert rows(before) == [(0,), (1,), (2,)]
+
+
+def test_a_failed_check_leaves_the_old_table(spark, layout):
+    layout.ensure_schema(spark)
+    table = layout.bronze("things")
+    assert replace_table(spark.range(3), layout, table, [expect_not_empty()]) == {"not_empty": 3}
+    with pytest.raises(DataQualityError):
+        replace_table(spark.range(0), layout, table, [expect_not_empty()])
+    assert spark.table(table).count() == 3
+
+
+def test_another_file_format(spark, tmp_path):
+    layout = Layout(f"t_{tmp_path.name}", "", f"{tmp_path}/tables", file_format="orc")
+    layout.ensure_schema(spark)
+    replace_table(spark.range(2), layout, layout.gold("g"))
+    assert rows(spark.table(layout.gold("g"))) == [(0,), (1,)]
+
+
+def test_scratch_lies_in_the_folder_of_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_folder(spark, "a"), scratch_folder(spark, "a")
+    assert first.startswith(root) and first != second
+    staged = stage(spark.range(5), "five")
+    assert rows(staged) == [(i,) for i in range(5)]
+    assert staged.inputFiles()[0].startswith(f"file://{root}")
