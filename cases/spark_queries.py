@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cases import fixture
 from stratalake.functions.lifecycle import add_lifecycle_fields
 from stratalake.functions.pricing import price_bounds, price_range_known
-from stratalake.operators.backfill import backfill_from_group
 from stratalake.operators.dedupe import dedupe_exact_rows, keep_latest_per_key
 from stratalake.operators.profile import profile
 from stratalake.operators.quality import quality_report
@@ -53,7 +52,7 @@ def _tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _named(latest: DataFrame) -> DataFrame:
     """Names filled from the given jobs, which are stored as they are read twice."""
-    return backfill_from_group(stage(latest, "latest_jobs"), "technician_id", "technician_name")
+    return silver.backfill_technician_names(stage(latest, "latest_jobs"))
 
 
 def _silver_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -86,6 +86,10 @@ def latest_jobs(bronze: DataFrame, tie_breakers: Sequence[str] | None = None) ->
     return keep_latest_per_key(standardise_jobs(bronze), ["job_id"], "_ingest_ts", tie_breakers)
 
 
+def backfill_technician_names(jobs: DataFrame, technicians: DataFrame | None = None) -> DataFrame:
+    return backfill_from_group(jobs, "technician_id", "technician_name", technicians)
+
+
 def silver_jobs(
     latest: DataFrame,
     customers: DataFrame,
@@ -97,7 +101,6 @@ def silver_jobs(
 
     ``latest`` is read twice, once for the names unless ``technicians`` is given, so pass it stored.
     """
-    named = backfill_from_group(latest, "technician_id", "technician_name", technicians)
-    enriched = add_lifecycle_fields(named, as_of)
+    enriched = add_lifecycle_fields(backfill_technician_names(latest, technicians), as_of)
     flagged = flag_reference(enriched, customers, "customer_id", "has_valid_customer")
     return _stamped(flag_reference(flagged, devices, "device_id", "has_valid_device"))
