@@ -2,7 +2,8 @@
 
 The expressions are SQL that Spark and DuckDB both understand, but for the name of the text type. A line item
 is a repair job: its order gives customer, status and date, its part the device, its supplier the technician.
-The text is dirty on purpose: padded, in the wrong case, with missing names, orphans and repeated deliveries.
+The text is dirty on purpose: padded, in the wrong case, with missing names and dates, dates that are none,
+orphans and repeated deliveries.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +24,8 @@ JOBS = {
     "device_id": "case when l_suppkey % 40 = 7 then '-1' else cast(l_partkey as {text}) end",
     "issue_type": "concat(' ', o_orderpriority)",
     "job_status": f"case l_partkey % 3 when 0 then concat(' ', upper({_STATUS}), ' ') when 1 then lower({_STATUS}) else {_STATUS} end",
-    "received_date": f"cast({_RECEIVED} as {{text}})",
-    "promised_date": f"cast({_RECEIVED} + (7 + l_linenumber) as {{text}})",
+    "received_date": f"case when l_partkey % 307 = 0 then null else cast({_RECEIVED} as {{text}}) end",
+    "promised_date": f"case when l_partkey % 211 = 0 then 'tbd' else cast({_RECEIVED} + (7 + l_linenumber) as {{text}}) end",
     "completed_date": f"case when o_orderstatus = 'F' then cast({_RECEIVED} + (cast(l_quantity as int) % 20) as {{text}}) end",
     "technician_id": "case when l_partkey % 4 = 0 then concat(cast(l_suppkey as {text}), ' ') else cast(l_suppkey as {text}) end",
     "technician_name": "case when l_partkey % 20 = 0 or l_suppkey % 25 = 3 then null else s_name end",

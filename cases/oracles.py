@@ -117,7 +117,7 @@ from (
     cast(sum(cast(is_overdue as int)) as bigint) as jobs_overdue,
     cast(sum({_DONE_COST}) as double) as total_revenue_generated,
     case when count(*) filter (where is_completed) > 0 then
-      {_rate('count(*) filter (where is_completed and not is_overdue)', 'count(*) filter (where is_completed)')}
+      {_rate('count(*) filter (where is_completed and is_overdue is not true)', 'count(*) filter (where is_completed)')}
     end as on_time_completed_rate_pct
   from silver_jobs where technician_id is not null group by 1, 2) t"""
 
@@ -148,11 +148,11 @@ from (
   where has_valid_device group by 1, 2, 3, 4, 5) f"""
 
 
-def _check(name: str, observed: str, failing: str | None = None) -> str:
+def _check(name: str, observed: str, failing: str | None = None, table: str = "silver_jobs") -> str:
     severity = "error" if failing else "info"
     passed = f"not (observed {failing})" if failing else "true"
     return f"""select '{name}' as check_name, '{severity}' as severity, observed, {passed} as passed
-from (select cast({observed} as bigint) as observed from silver_jobs)"""
+from (select cast({observed} as bigint) as observed from {table})"""
 
 
 _QUALITY = "\nunion all\n".join(
@@ -166,6 +166,39 @@ _QUALITY = "\nunion all\n".join(
     ]
 )
 
+_UNREADABLE = "count(*) filter (where trim({0}) <> '' and try_strptime(trim({0}), '%Y-%m-%d') is null)"
+_QUALITY_RAW = "\nunion all\n".join(
+    [
+        _check("not_empty", "count(*)", "< 1", "raw_jobs"),
+        _check("null_job_id", "count(*) - count(job_id)", None, "raw_jobs"),
+        _check(
+            "unnamed_technician",
+            "count(*) filter (where trim(technician_id) <> '' and coalesce(trim(technician_name), '') = '')",
+            None,
+            "raw_jobs",
+        ),
+        *[
+            _check(f"unreadable_{c}", _UNREADABLE.format(c), None, "raw_jobs")
+            for c in ("received_date", "promised_date", "completed_date")
+        ],
+    ]
+)
+_QUALITY_CUSTOMERS = "\nunion all\n".join(
+    [
+        _check("rows", "count(*)", None, "silver_customers"),
+        _check("unique_customer_id", "count(*) - count(distinct customer_id)", "> 0", "silver_customers"),
+        _check("null_email", "count(*) - count(email)", None, "silver_customers"),
+        _check("null_registration_date", "count(*) - count(registration_date)", None, "silver_customers"),
+    ]
+)
+_QUALITY_DEVICES = "\nunion all\n".join(
+    [
+        _check("rows", "count(*)", None, "silver_devices"),
+        _check("unique_device_id", "count(*) - count(distinct device_id)", "> 0", "silver_devices"),
+        _check("unknown_price_range", "count(*) - count(price_range)", None, "silver_devices"),
+    ]
+)
+
 _PROFILE = "\nunion all\n".join(
     f"""select '{c}' as column_name, count(*) as row_count, count(*) - count({c}) as null_count,
   count(distinct {c}) as distinct_count,
@@ -242,10 +275,27 @@ from ({_FAILURES}) f group by 1, 2"""
 from ({_REPEAT}) r"""
     ),
     "quality_report": _select(_QUALITY),
+    "quality_raw_jobs": _select(_QUALITY_RAW),
+    "quality_customers": _select(_QUALITY_CUSTOMERS),
+    "quality_devices": _select(_QUALITY_DEVICES),
+    "technician_names": _select(
+        """select technician_id, min(technician_name) as technician_name, count(distinct technician_name) as value_count
+from latest_jobs where technician_id is not null and technician_name is not null group by 1"""
+    ),
     "profile_jobs": _select(_PROFILE),
     "incremental_ingest": _select(
         f"select {_JOB_LIST}, case when _ingest_ts >= timestamp '1998-07-01' then 1 else 0 end as batch_no from raw_jobs"
     ),
     "upsert_latest": _select(_LATEST_RAW),
-    "refresh_all": _ctes(ordered_by_load=False) + _TECHNICIANS,
+    "refresh_all": _ctes(ordered_by_load=False)
+    + "\nunion all\n".join(
+        f"""select '{mart}' as mart, count(*) as row_count, cast(sum({jobs}) as bigint) as jobs,
+  cast(sum({second}) as bigint) as second_total from ({query}) m"""
+        for mart, query, jobs, second in (
+            ("repair_turnaround", _TURNAROUND, "completed_jobs", "sla_breaches"),
+            ("technician_performance", _TECHNICIANS, "total_jobs_assigned", "jobs_overdue"),
+            ("repeat_customers", _REPEAT, "total_visits", "distinct_devices_serviced"),
+            ("device_failure_trends", _FAILURES, "failure_count", "distinct_units_affected"),
+        )
+    ),
 }

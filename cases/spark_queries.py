@@ -1,19 +1,29 @@
 """One query per operator, over the whole derived tables of :mod:`cases.fixture`."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cases import fixture
 from stratalake.functions.lifecycle import add_lifecycle_fields
 from stratalake.functions.pricing import price_bounds, price_range_known
+from stratalake.operators.backfill import group_lookup
 from stratalake.operators.dedupe import dedupe_exact_rows, keep_latest_per_key
 from stratalake.operators.profile import profile
 from stratalake.operators.quality import quality_report
 from stratalake.operators.references import flag_reference, orphans
 from stratalake.operators.visits import visit_gaps
 from stratalake.plans import gold, silver
-from stratalake.plans.pipeline import RAW_FILES, job_checks, run_pipeline
+from stratalake.plans.pipeline import (
+    MARTS,
+    RAW_FILES,
+    customer_checks,
+    device_checks,
+    job_checks,
+    raw_job_checks,
+    run_pipeline,
+)
 from stratalake.sources import schemas
 from stratalake.sources.raw_csv import read_raw_csv, with_ingestion_metadata
 from stratalake.sources.scratch import scratch_folder, stage
@@ -258,6 +268,22 @@ def quality_of_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_silver_jobs(spark, sf_dir), job_checks())
 
 
+def quality_of_raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(fixture.raw_jobs(spark, sf_dir), raw_job_checks())
+
+
+def quality_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(_customers(spark, sf_dir), customer_checks())
+
+
+def quality_of_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_report(_devices(spark, sf_dir), device_checks())
+
+
+def technician_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_lookup(_latest(spark, sf_dir), "technician_id", "technician_name")
+
+
 def profile_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(fixture.raw_jobs(spark, sf_dir))
 
@@ -308,17 +334,35 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- everything ---
 
 
-def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw files to marts through stored tables; shows the technician mart and the rows of each gold table."""
-    raw = _raw_folder(spark, sf_dir, "customers", "devices", "service_jobs")
+def refreshed_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Raw files to marts through stored tables; returns the stored marts."""
+    raw = _raw_folder(spark, sf_dir, *RAW_FILES)
     layout = _layout(spark, raw)
     run_pipeline(spark, layout, as_of=fixture.AS_OF, batch_id=BATCH_ID)
-    result = spark.table(layout.gold("technician_performance"))
-    layers = (layout.bronze, layout.silver, layout.gold)
-    tables = [layer(name) for layer in layers[:2] for name in RAW_FILES]
-    marts = ("repair_turnaround", "technician_performance", "repeat_customers", "device_failure_trends")
-    _forget(spark, layout, *tables, *[layout.gold(m) for m in marts])
-    return result
+    marts = {name: spark.table(layout.gold(name)) for name in MARTS}
+    inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
+    _forget(spark, layout, *inputs, *[layout.gold(name) for name in MARTS])
+    return marts
+
+
+def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per mart of a full run: its rows, and the totals of two of its measures."""
+    totals = {
+        "repair_turnaround": ("completed_jobs", "sla_breaches"),
+        "technician_performance": ("total_jobs_assigned", "jobs_overdue"),
+        "repeat_customers": ("total_visits", "distinct_devices_serviced"),
+        "device_failure_trends": ("failure_count", "distinct_units_affected"),
+    }
+    lines = [
+        mart.agg(
+            F.lit(name).alias("mart"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.sum(totals[name][0]).alias("jobs"),
+            F.sum(totals[name][1]).alias("second_total"),
+        )
+        for name, mart in refreshed_marts(spark, sf_dir).items()
+    ]
+    return reduce(DataFrame.unionByName, lines)
 
 
 QUERIES: dict[str, Query] = {
@@ -347,6 +391,10 @@ QUERIES: dict[str, Query] = {
     "failures_by_tier": failures_by_tier,
     "kpi_repeat_share": kpi_repeat_share,
     "quality_report": quality_of_jobs,
+    "quality_raw_jobs": quality_of_raw_jobs,
+    "quality_customers": quality_of_customers,
+    "quality_devices": quality_of_devices,
+    "technician_names": technician_names,
     "profile_jobs": profile_jobs,
     "incremental_ingest": incremental_ingest,
     "upsert_latest": upsert_latest,

@@ -30,6 +30,7 @@ RAW_FILES = {
     "devices": ("devices.csv", schemas.DEVICES, False),
     "service_jobs": ("service_jobs.csv", schemas.SERVICE_JOBS, True),
 }
+MARTS = ("repair_turnaround", "technician_performance", "repeat_customers", "device_failure_trends")
 JOB_DATES = ("received_date", "promised_date", "completed_date")
 
 
@@ -115,12 +116,12 @@ def run_pipeline(
         job_checks(),
     )
 
-    marts = {
-        "repair_turnaround": gold.repair_turnaround(jobs, devices),
-        "technician_performance": gold.technician_performance(jobs),
-        "repeat_customers": gold.repeat_customers(jobs, customers),
-        "device_failure_trends": gold.device_failures(jobs, devices),
-    }
-    for name, mart in marts.items():
+    marts = (
+        gold.repair_turnaround(jobs, devices),
+        gold.technician_performance(jobs),
+        gold.repeat_customers(jobs, customers),
+        gold.device_failures(jobs, devices),
+    )
+    for name, mart in zip(MARTS, marts, strict=True):
         publish(layout.gold(name), mart, [rows()])
     return run
