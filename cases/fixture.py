@@ -67,10 +67,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(rows: DataFrame) -> DataFrame:
+def _spread(rows: DataFrame, *columns: str) -> DataFrame:
     """Give every core a share of a file with fewer row groups than there are cores. Large tables stay as they are."""
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores, *columns) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def _copies(rows: DataFrame, again: str, unkeyed: str = "false") -> DataFrame:
@@ -83,7 +83,7 @@ def _project(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _spread(table(spark, sf_dir, "lineitem"))
+    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)

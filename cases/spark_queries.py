@@ -36,6 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 JOB_COLUMNS = [c for c in fixture.JOBS if not c.startswith("_")]
 CUSTOMER_COLUMNS = [c for c in fixture.CUSTOMERS if not c.startswith("_")]
 DEVICE_COLUMNS = [c for c in fixture.DEVICES if not c.startswith("_")]
+TRACKING = ["job_id", "job_status", "received_date", "promised_date", "completed_date"]
 LIFECYCLE = ["is_completed", "is_cancelled", "turnaround_days", "is_overdue", "sla_breach_days"]
 BATCH_ID = "20240101000000"
 
@@ -65,8 +66,9 @@ def _named(latest: DataFrame) -> DataFrame:
     return silver.backfill_technician_names(stage(latest, "latest_jobs"))
 
 
-def _silver_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = stage(_latest(spark, sf_dir), "latest_jobs")
+def _silver_jobs(spark: SparkSession, sf_dir: str, columns: list[str]) -> DataFrame:
+    """Silver jobs with only the given columns stored on the way."""
+    latest = stage(_latest(spark, sf_dir).select(columns), "latest_jobs")
     return silver.silver_jobs(latest, _customers(spark, sf_dir), _devices(spark, sf_dir), fixture.AS_OF)
 
 
@@ -160,7 +162,7 @@ def keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def backfill_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _named(_latest(spark, sf_dir)).select("job_id", "technician_id", "technician_name")
+    return _named(_latest(spark, sf_dir).select("job_id", "technician_id", "technician_name"))
 
 
 def price_bounds_of_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,7 +187,8 @@ def silver_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver_jobs(spark, sf_dir).select(*JOB_COLUMNS, *LIFECYCLE, "has_valid_customer", "has_valid_device")
+    jobs = _silver_jobs(spark, sf_dir, JOB_COLUMNS)
+    return jobs.select(*JOB_COLUMNS, *LIFECYCLE, "has_valid_customer", "has_valid_device")
 
 
 # --- enrichment ---
@@ -227,7 +230,7 @@ def mart_repair_turnaround(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mart_technician_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = _named(_latest(spark, sf_dir))
+    named = _named(_latest(spark, sf_dir).select(*TRACKING, "technician_id", "technician_name", "actual_cost"))
     return gold.technician_performance(add_lifecycle_fields(named, fixture.AS_OF))
 
 
@@ -265,7 +268,8 @@ def kpi_repeat_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_of_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(_silver_jobs(spark, sf_dir), job_checks())
+    columns = [*TRACKING, "customer_id", "device_id", "technician_id", "technician_name"]
+    return quality_report(_silver_jobs(spark, sf_dir, columns), job_checks())
 
 
 def quality_of_raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:

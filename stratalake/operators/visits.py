@@ -11,7 +11,8 @@ def visit_gaps(
 ) -> DataFrame:
     """Add the date of the entity's previous visit and the days since then.
 
-    Visits are ordered by date, then by ``visit_id`` (unique). Visits without a date come first.
+    Visits are ordered by date, then by ``visit_id`` (unique). Visits without a date come first. ``df`` is read
+    twice, so pass it stored if it is expensive.
 
     The window runs over the *days* of an entity, not over its visits: one row per day, so its size is bound by
     the calendar even if one entity owns a third of all visits. Of the visits of a day, the first looks back
