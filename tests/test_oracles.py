@@ -5,7 +5,9 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from cases.oracles import ORACLES
+from cases.spark_queries import QUERIES
 from tests.helpers import canonical
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -23,15 +25,15 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SF_DIR)
+    df = QUERIES[name](spark, SF_DIR)
     columns = sorted(df.columns)
     assert len(set(columns)) == len(columns)
-    expected = duck.execute(oracle_sql()[name])
+    expected = duck.execute(ORACLES[name])
     positions = {c[0]: i for i, c in enumerate(expected.description)}
     assert sorted(positions) == columns
     wanted = sorted(tuple(canonical(r[positions[c]]) for c in columns) for r in expected.fetchall())
