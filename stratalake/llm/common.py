@@ -1,8 +1,10 @@
 """Small helpers shared by the operators of this subpackage."""
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -65,3 +67,15 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
 
 def digest(parts: Iterable[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b"\n".join(parts))
+
+
+def text_slices(texts: pa.Array, size: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Neighbouring rows that hold about ``size`` bytes of text together, as start and end."""
+    start = held = 0
+    for i, length in enumerate(pa.compute.binary_length(texts).to_pylist()):
+        held += length or 0
+        if held >= size:
+            yield start, i + 1
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)

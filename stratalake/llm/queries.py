@@ -4,18 +4,36 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratalake.llm.bpe import encode_documents
 from stratalake.llm.chat import format_chats, read_loss_texts, read_turns
 from stratalake.llm.common import read
 from stratalake.llm.mixing import mix_sources
+from stratalake.llm.repair import token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+    return encoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     table = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -43,7 +61,14 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files(read(spark, sf_dir, "documents"), tokenizer_path())
+    return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_mix_sources": op2_mix_sources,
+    "op4_bpe_encoding": op4_bpe_encoding,
     "op6_chat_formatting": op6_chat_formatting,
+    "op9_token_files": op9_token_files,
 }
