@@ -1,12 +1,15 @@
 """Small helpers shared by the operators of this subpackage."""
 
+import tempfile
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -19,7 +22,21 @@ def id_and_text(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     )
 
 
-def read(spark, sf_dir: str, table: str) -> DataFrame:
+def ship_library(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that it need not be installed there."""
+    context = spark.sparkContext
+    if getattr(context, "_stratalake_shipped", False):
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="stratalake-code-")) / "stratalake.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._stratalake_shipped = True
+
+
+def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

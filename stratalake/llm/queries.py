@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stratalake.llm.bpe import encode_documents
 from stratalake.llm.chat import format_chats, read_loss_texts, read_turns
-from stratalake.llm.common import read
+from stratalake.llm.common import read, ship_library
 from stratalake.llm.mixing import mix_sources
 from stratalake.llm.repair import token_files
 
@@ -66,9 +66,20 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _shipped(query: Query) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_library(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    "op2_mix_sources": op2_mix_sources,
-    "op4_bpe_encoding": op4_bpe_encoding,
-    "op6_chat_formatting": op6_chat_formatting,
-    "op9_token_files": op9_token_files,
+    name: _shipped(query)
+    for name, query in {
+        "op2_mix_sources": op2_mix_sources,
+        "op4_bpe_encoding": op4_bpe_encoding,
+        "op6_chat_formatting": op6_chat_formatting,
+        "op9_token_files": op9_token_files,
+    }.items()
 }
