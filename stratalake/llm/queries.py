@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.llm.bpe import encode_documents
 from stratalake.llm.chat import format_chats, read_loss_texts, read_turns
 from stratalake.llm.common import read, ship_library
+from stratalake.llm.importance import resample
+from stratalake.llm.line_crf import quality_rules, train_on_labels
 from stratalake.llm.mixing import mix_sources
 from stratalake.llm.repair import token_files
 
@@ -34,6 +36,11 @@ def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return quality_rules(docs, train_on_labels(docs, read(spark, sf_dir, "labels")))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     control = "</s>[INST] ok [/INST]"
     table = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -66,6 +73,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return kept.select("doc_id", "n_ngrams", "log_weight", "key", "kept")
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_library(spark)
@@ -79,7 +91,9 @@ QUERIES: dict[str, Query] = {
     for name, query in {
         "op2_mix_sources": op2_mix_sources,
         "op4_bpe_encoding": op4_bpe_encoding,
+        "op5_quality_rules": op5_quality_rules,
         "op6_chat_formatting": op6_chat_formatting,
         "op9_token_files": op9_token_files,
+        "op10_importance_resampling": op10_importance_resampling,
     }.items()
 }
