@@ -9,6 +9,7 @@ from stratalake.llm.chat import format_chats, read_loss_texts, read_turns
 from stratalake.llm.common import read, ship_library
 from stratalake.llm.importance import resample
 from stratalake.llm.line_crf import quality_rules, train_on_labels
+from stratalake.llm.minhash import near_duplicates
 from stratalake.llm.mixing import mix_sources
 from stratalake.llm.repair import token_files
 
@@ -21,6 +22,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(read(spark, sf_dir, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(read(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -89,6 +95,7 @@ def _shipped(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     name: _shipped(query)
     for name, query in {
+        "op1_minhash_dedup": op1_minhash_dedup,
         "op2_mix_sources": op2_mix_sources,
         "op4_bpe_encoding": op4_bpe_encoding,
         "op5_quality_rules": op5_quality_rules,
