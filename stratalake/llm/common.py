@@ -1,5 +1,6 @@
 """Small helpers shared by the operators of this subpackage."""
 
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -36,6 +37,13 @@ def ship_library(spark: SparkSession) -> None:
     context._stratalake_shipped = True
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps now. It does so once the driver has collected its garbage, which
+    may be much later than the next step needs the disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

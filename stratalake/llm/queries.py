@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from stratalake.llm.bpe import encode_documents
 from stratalake.llm.chat import format_chats, read_loss_texts, read_turns
 from stratalake.llm.common import read, ship_library
+from stratalake.llm.cover import remove_repeated_words
 from stratalake.llm.importance import resample
 from stratalake.llm.line_crf import quality_rules, train_on_labels
 from stratalake.llm.minhash import near_duplicates
 from stratalake.llm.mixing import mix_sources
 from stratalake.llm.repair import token_files
+from stratalake.llm.suffixes import remove_repeated_strings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +34,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeated_strings(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op4_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = encode_documents(read(spark, sf_dir, "documents"), tokenizer_path())
     return encoded.select(
@@ -74,6 +81,11 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeated_words(read(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files(read(spark, sf_dir, "documents"), tokenizer_path())
     return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -97,9 +109,11 @@ QUERIES: dict[str, Query] = {
     for name, query in {
         "op1_minhash_dedup": op1_minhash_dedup,
         "op2_mix_sources": op2_mix_sources,
+        "op3_suffix_array_dedup": op3_suffix_array_dedup,
         "op4_bpe_encoding": op4_bpe_encoding,
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_formatting": op6_chat_formatting,
+        "op7_substring_dedup": op7_substring_dedup,
         "op9_token_files": op9_token_files,
         "op10_importance_resampling": op10_importance_resampling,
     }.items()
