@@ -4,6 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratalake.llm.ann import nearest_neighbours
 from stratalake.llm.bpe import encode_documents
 from stratalake.llm.chat import format_chats, read_loss_texts, read_turns
 from stratalake.llm.common import read, ship_library
@@ -86,6 +87,11 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    return nearest_neighbours(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files(read(spark, sf_dir, "documents"), tokenizer_path())
     return files.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -114,6 +120,7 @@ QUERIES: dict[str, Query] = {
         "op5_quality_rules": op5_quality_rules,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_substring_dedup": op7_substring_dedup,
+        "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_token_files": op9_token_files,
         "op10_importance_resampling": op10_importance_resampling,
     }.items()
