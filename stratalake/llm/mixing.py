@@ -78,7 +78,7 @@ def mix_sources(
     source_column: str = "source",
     bins: int = BINS,
 ) -> DataFrame:
-    """One row per input row: ``doc_id, source, size, source_size, target, copies, taken``.
+    """One row per input row: ``doc_id, text_hash, source, size, source_size, target, copies, taken``.
 
     ``taken`` counts words with repeats: ``copies`` whole copies, and in the last drawn document a part. Sums of ``taken`` per
     source equal the rounded target. ``weigh`` adds the column ``weight`` to the table of sources. Inclusion
@@ -91,6 +91,7 @@ def mix_sources(
     sized = stage(
         docs.select(
             F.col(id_column).alias("doc_id"),
+            F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("text_hash"),
             F.col(source_column).alias("source"),
             count_words(F.col(text_column)).alias("size"),
         ),
@@ -123,6 +124,7 @@ def mix_sources(
     drawn = F.least(F.col("size"), F.greatest(F.lit(0), F.col("missing") - start))
     return placed.select(
         "doc_id",
+        "text_hash",
         "source",
         "size",
         "source_size",
