@@ -5,7 +5,9 @@ of all raw text. A document's importance weight is the ratio of its probabilitie
 without replacement in proportion to their weights, by the Gumbel top-k trick: log weight plus Gumbel noise, the k
 largest stay.
 
-Counts cover every document. Only the two models come to the driver: BUCKETS numbers each, whatever the input.
+The raw model counts every document, and so does the search for the k-th largest. The target model is fitted on at most
+TARGET_SAMPLE labelled documents, whose ids can so be broadcast: no text is shuffled. Only the two models come to the
+driver: BUCKETS numbers each, whatever the input.
 """
 
 import re
@@ -16,10 +18,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import WordHashes, id_and_text, mix, text_slices, uniform
+from stratalake.llm.common import WordHashes, id_and_text, mix, uniform
 from stratalake.sources.scratch import stage
 
 BUCKETS = 1 << 16
+#: Good labelled documents that the target model counts at most: those with the smallest hash of their id.
+TARGET_SAMPLE = 200_000
 #: The target model starts from the raw one, as if it had seen so many n-grams of each bucket where the raw model would expect
 #: them. Rarely seen buckets so tell little.
 PRIOR = 5.0
@@ -60,88 +64,81 @@ class Ngrams:
         return (np.concatenate([words, shapes, *of_pairs, mix(again)]) % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def count_ngrams(texts: DataFrame) -> DataFrame:
-    """Counts of each bucket over all rows of (``text`` binary): at most BUCKETS rows from a task, then summed."""
+def count_ngrams(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of each bucket over all rows of (``text`` binary, ``is_target``), and over those of the target. A task sends
+    BUCKETS rows at most, and as many sums come to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ngrams, total = Ngrams(), np.zeros(BUCKETS, np.int64)
+        ngrams, total, of_target = Ngrams(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for start, end in text_slices(batch.column(0), 1_000_000):
-                texts = batch.column(0).slice(start, end - start).to_pylist()
-                total += np.bincount(np.concatenate([ngrams.buckets(t) for t in texts]), minlength=BUCKETS)
+            for text, is_target in zip(batch.column(0), batch.column(1)):
+                counts = np.bincount(ngrams.buckets(text.as_py()), minlength=BUCKETS)
+                total += counts
+                if is_target.as_py():
+                    of_target += counts
         seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["bucket", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, total[seen], of_target[seen])], ["bucket", "n", "n_target"])
 
-    return texts.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    sums = texts.mapInArrow(count, "bucket long, n long, n_target long").groupBy("bucket").agg(F.sum("n"), F.sum("n_target"))
+    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for bucket, n, n_target in sums.collect():
+        raw[bucket], target[bucket] = n, n_target
+    return raw, target
 
 
-def _collected(counts: DataFrame) -> np.ndarray:
-    """Counts by bucket; BUCKETS rows at most."""
-    n = np.zeros(BUCKETS)
-    for row in counts.collect():
-        n[row["bucket"]] = row["n"]
-    return n
-
-
-def log_ratio(buckets: np.ndarray, target: np.ndarray, raw: np.ndarray) -> tuple[float, float]:
-    """Log of target over raw probability of a text, without its own n-grams in the raw counts: first for a text that
-    the target counts do not hold, then for one of the target, whose n-grams are taken out there too."""
+def log_ratio(buckets: np.ndarray, target: np.ndarray, raw: np.ndarray, is_target: bool) -> float:
+    """Log of target over raw probability of a text. Its own n-grams are taken out of the counts that hold them: the
+    raw ones, and those of the target if it belongs there."""
     if not len(buckets) or not target.any():
-        return 0.0, 0.0
+        return 0.0
     at, n = np.unique(buckets, return_counts=True)
     of_raw = np.maximum(raw[at] - n, 0) / max(raw.sum() - n.sum(), 1)
-
-    def ratio(own: np.ndarray) -> float:
-        expected = of_raw * max(target.sum() - own.sum(), 0)
-        return float(n @ np.log((np.maximum(target[at] - own, 0) + PRIOR) / (expected + PRIOR)))
-
-    return ratio(np.zeros_like(n)), ratio(n)
+    own = n if is_target else np.zeros_like(n)
+    expected = of_raw * max(target.sum() - own.sum(), 0)
+    return float(n @ np.log((np.maximum(target[at] - own, 0) + PRIOR) / (expected + PRIOR)))
 
 
-def importance(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def importance(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = TARGET_SAMPLE
+) -> DataFrame:
     """One row per input row: ``doc_id, text_hash, is_target, n_ngrams, log_weight``, stored in the scratch folder.
 
-    The target is every document whose labels say quality 1 and toxic 0 (a null toxic counts as 0). No document is
-    weighed by its own n-grams, or labelled ones would weigh more than others alike. Without a target, and for texts without
-    words, the log weight is 0.
+    The target are documents whose labels say quality 1 and toxic 0 (a null toxic counts as 0), ``sample`` at most. No
+    document is weighed by its own n-grams, or those of the target would weigh more than others alike. Without a
+    target, and for texts without words, the log weight is 0.
     """
-    texts = id_and_text(docs, id_column, text_column).select("doc_id", F.col("text").cast("binary").alias("text"))
     good = (
         labels.where("doc_id is not null")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
         .where("quality = 1 and toxic = 0")
-        .select("doc_id")
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(sample)
+        .select(F.col("doc_id").cast("long"), F.lit(True).alias("is_target"))
+    )
+    good = stage(good, "importance_target")
+    # The sample is bounded by a parameter, so it can be broadcast.
+    texts = id_and_text(docs, id_column, text_column).join(F.broadcast(good), "doc_id", "left")
+    texts = texts.select(
+        "doc_id",
+        F.xxhash64("text").alias("text_hash"),
+        F.coalesce("is_target", F.lit(False)).alias("is_target"),
+        F.col("text").cast("binary").alias("text"),
     )
-    target = _collected(count_ngrams(texts.join(good, "doc_id", "left_semi").select("text")))
-    raw = _collected(count_ngrams(texts.select("text")))
+    raw, target = count_ngrams(texts.select("text", "is_target"))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ngrams = Ngrams()
         for batch in batches:
-            found = [ngrams.buckets(text.as_py()) for text in batch.column(1)]
-            ratios = [log_ratio(x, target, raw) for x in found]
-            columns = [pa.array([len(x) for x in found], pa.int64())]
-            columns += [pa.array(list(r), pa.float64()) for r in (zip(*ratios) if ratios else ((), ()))]
+            found = [ngrams.buckets(text.as_py()) for text in batch.column(3)]
+            ratios = [log_ratio(x, target, raw, own.as_py()) for x, own in zip(found, batch.column(2))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *columns], ["doc_id", "text_hash", "n_ngrams", "outside", "inside"]
+                [*batch.columns[:3], pa.array([len(x) for x in found], pa.int64()), pa.array(ratios, pa.float64())],
+                ["doc_id", "text_hash", "is_target", "n_ngrams", "log_weight"],
             )
 
-    weighed = texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
-        weigh, "doc_id long, text_hash long, n_ngrams long, outside double, inside double"
-    )
-    # Only numbers are shuffled here, no texts.
-    marked = weighed.join(good.withColumn("is_target", F.lit(True)), "doc_id", "left")
-    return stage(
-        marked.select(
-            "doc_id",
-            "text_hash",
-            F.coalesce("is_target", F.lit(False)).alias("is_target"),
-            "n_ngrams",
-            F.when(F.col("is_target"), F.col("inside")).otherwise(F.col("outside")).alias("log_weight"),
-        ),
-        "importance",
-    )
+    schema = "doc_id long, text_hash long, is_target boolean, n_ngrams long, log_weight double"
+    return stage(texts.mapInArrow(weigh, schema), "importance")
 
 
 def kth_largest(rows: DataFrame, column: str, k: int) -> float:
