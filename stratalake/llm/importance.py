@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import WordHashes, id_and_text, mix, uniform
+from stratalake.llm.common import WordHashes, id_and_text, mix, text_slices, uniform
 from stratalake.sources.scratch import stage
 
 BUCKETS = 1 << 16
@@ -130,12 +130,14 @@ def importance(
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ngrams = Ngrams()
         for batch in batches:
-            found = [ngrams.buckets(text.as_py()) for text in batch.column(3)]
-            ratios = [log_ratio(x, target, raw, own.as_py()) for x, own in zip(found, batch.column(2))]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array([len(x) for x in found], pa.int64()), pa.array(ratios, pa.float64())],
-                ["doc_id", "text_hash", "is_target", "n_ngrams", "log_weight"],
-            )
+            for start, end in text_slices(batch.column(3)):
+                rows = batch.slice(start, end - start)
+                found = [ngrams.buckets(text.as_py()) for text in rows.column(3)]
+                ratios = [log_ratio(x, target, raw, own.as_py()) for x, own in zip(found, rows.column(2))]
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns[:3], pa.array([len(x) for x in found], pa.int64()), pa.array(ratios, pa.float64())],
+                    ["doc_id", "text_hash", "is_target", "n_ngrams", "log_weight"],
+                )
 
     schema = "doc_id long, text_hash long, is_target boolean, n_ngrams long, log_weight double"
     return stage(texts.mapInArrow(weigh, schema), "importance")

@@ -1,0 +1,97 @@
+"""Plain versions of the operators, for small inputs."""
+
+import hashlib
+import re
+from collections import Counter
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_LOWER = {i: i + 32 for i in range(65, 91)}
+
+
+def shingles(text, n):
+    words = WORD.findall((text or "").translate(_LOWER))
+    if not words:
+        return frozenset()
+    return frozenset(zip(*(words[i:] for i in range(n)))) if len(words) >= n else frozenset([tuple(words)])
+
+
+def components(nodes, links):
+    """The smallest reachable node by node."""
+    parent = {n: n for n in nodes}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        parent[b] = a
+    return {n: find(n) for n in nodes}
+
+
+def near(texts, n, percent=80):
+    """Component by id of ``{id: text}``."""
+    sets = {i: shingles(t, n) for i, t in texts.items()}
+    ids = [i for i in sets if sets[i]]
+    links = [
+        (a, b)
+        for x, a in enumerate(ids)
+        for b in ids[x + 1 :]
+        if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])
+    ]
+    return components(sets, links)
+
+
+def cover(n, starts, length):
+    gone = [False] * n
+    for a in starts:
+        gone[a : a + length] = [True] * length
+    return gone
+
+
+def without_repeated_words(rows, window=13):
+    """``(id, n_words, n_removed, kept)`` of rows ``(id, text)``; null ids come last."""
+    rank = lambda i: 2**63 if i is None else i
+    first = {}
+    split = [(i, WORD.findall(t or "")) for i, t in rows]
+    for i, words in split:
+        for k in range(len(words) - window + 1):
+            w = tuple(words[k : k + window])
+            first[w] = min(first.get(w, 2**63), rank(i))
+    out = []
+    for i, words in split:
+        starts = [k for k in range(len(words) - window + 1) if first[tuple(words[k : k + window])] < rank(i)]
+        gone = cover(len(words), starts, window)
+        out.append((i, len(words), sum(gone), " ".join(w for w, g in zip(words, gone) if not g)))
+    return out
+
+
+def without_repeated_strings(rows, length=200):
+    """``(id, n_bytes, n_removed, n_spans, kept)`` of rows ``(id, text)``."""
+    data = [(i, (t or "").encode()) for i, t in rows]
+    count = Counter(b[k : k + length] for _, b in data for k in range(len(b) - length + 1))
+    out = []
+    for i, b in data:
+        gone = cover(len(b), [k for k in range(len(b) - length + 1) if count[b[k : k + length]] > 1], length)
+        spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
+        out.append((i, len(b), sum(gone), spans, bytes(x for x, g in zip(b, gone) if not g)))
+    return out
+
+
+def base_counts(text):
+    words = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    runs = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    count = Counter(runs)
+    repeated = {j for i, r in enumerate(runs) if count[r] > 1 for j in (i, i + 1, i + 2)}
+    symbols = sum(c in "#*$%&|<>" for w in words for c in w)
+    return len(words), sum(map(len, words)), symbols, dup, len(repeated)
+
+
+def sha(text):
+    return hashlib.sha256(text if isinstance(text, bytes) else text.encode()).hexdigest()
