@@ -4,8 +4,9 @@
 2. A class has PERMUTATIONS minima of universal hash functions, cut into bands. Classes that agree in a band share a bucket.
 3. Candidates of a bucket are compared with a pivot, not with each other: first by their signatures, then on full shingle
    sets. Links join classes to components.
-4. What is left are pairs in a bucket whose components differ. These are compared too, pivot by pivot while there are
-   many, so that every pair in a bucket is either compared or already joined by links. No bucket has a limit.
+4. What is left are pairs in a bucket whose components differ. Classes outside the largest component of a bucket are sent to it,
+   in blocks, and compared there with its members and with each other on full sets. So every pair in a bucket is either
+   compared or already joined by links, no bucket has a limit, and no pair becomes a row but a link.
 5. Components come from alternating large-star and small-star.
 
 At a similarity of 0.8, 30 bands of 5 miss one pair in 150,000; the signature filter less than one in a billion.
@@ -28,8 +29,8 @@ BANDS, ROWS = 30, 5
 PERMUTATIONS = BANDS * ROWS
 #: Pairs whose signatures agree in fewer places cannot, for all practical purposes, reach the similarity asked for.
 SLACK = 0.2
-#: Pairs compared at once in the last round, in pairs per bucket row. More are worked off pivot by pivot.
-ALL_AT_ONCE = 4
+#: Classes of a component, and classes sent to it, that one task compares at a time.
+BLOCK = 512
 
 
 def shingle_set(text: bytes, n: int, words: WordHashes) -> np.ndarray:
@@ -177,28 +178,9 @@ def near_duplicates(
     candidates = stage(_texts_of(members.select("cls").distinct(), classes, texts), "minhash_texts")
     links = stage(_similar_sets(near, candidates, shingle, percent), "minhash_links")
 
-    roots = connected_components(links)
-    members = members.withColumn("done", F.col("cls") == F.col("pivot")).drop("pivot")
-    while True:
-        members, left, size = _undecided(members, roots)
-        if not left:
-            break
-        if left <= ALL_AT_ONCE * size:
-            found, members = _all_pairs(members), None
-        else:
-            found, members = _pivot_pairs(members)
-        near = stage(_similar_signatures(found, classes, percent), "minhash_near")
-        more = stage(_similar_sets(near, candidates, shingle, percent), "minhash_links")
-        if more.isEmpty():
-            if members is None:
-                break
-            continue
-        links = links.union(more)
-        roots = connected_components(links)
-        if members is None:
-            break
-
-    return _label(signed, roots)
+    roots = stage(connected_components(links), "minhash_roots")
+    links = links.union(_cross_links(members, roots, candidates, shingle, percent))
+    return _label(signed, connected_components(links))
 
 
 def _texts_of(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -210,46 +192,72 @@ def _texts_of(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFr
     return found.dropDuplicates(["cls"])
 
 
-def _undecided(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, int, int]:
-    """Members of buckets that hold several components, with their component, whether it is the bucket's largest, and the
-    number of pairs that are neither compared nor joined (at most)."""
-    known = members.select("bucket", "cls", "done").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-    known = stage(known.withColumn("root", F.coalesce("root", "cls")), "minhash_known")
-    per_root = known.groupBy("bucket", "root").agg(F.count("cls").alias("n"), F.count_if(~F.col("done")).alias("open"))
+def _cross_links(members: DataFrame, roots: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links between classes of one bucket that belong to different components so far.
+
+    In each bucket, classes outside its largest component visit that component. It receives its own members and all its visitors
+    as targets, and the visitors again to ask which targets are similar. A visitor gets one link to each component.
+    """
+    rooted = members.join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    rooted = stage(rooted.select("bucket", "cls", F.coalesce("root", "cls").alias("root")), "minhash_rooted")
+    per_root = rooted.groupBy("bucket", "root").agg(F.count("cls").alias("n"))
     per_bucket = per_root.groupBy("bucket").agg(
-        F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("total"), F.sum("open").alias("open"), F.count("n").alias("roots")
+        F.max(F.struct("n", "root")).alias("largest"), F.sum("n").alias("n"), F.count("n").alias("roots")
     )
-    mixed = stage(
-        per_bucket.where("roots > 1 and open > 1").select("bucket", F.col("main.root").alias("main"), "total", "open"), "minhash_mixed"
+    # Two classes in a bucket have been compared: one is the pivot.
+    mixed = stage(per_bucket.where("roots > 1 and n > 2").select("bucket", F.col("largest.root").alias("home")), "minhash_mixed")
+    visitors = stage(rooted.join(mixed, "bucket").where("root <> home").select("home", "cls", "root").distinct(), "minhash_visitors")
+    homes = visitors.select("home").distinct()
+    owners = roots.select("root", F.col("node").alias("cls")).join(homes.withColumnRenamed("home", "root"), "root")
+    alone = homes.join(roots.select(F.col("root").alias("home")), "home", "left_anti").select("home", F.col("home").alias("cls"), F.col("home").alias("root"))
+    own = owners.select(F.col("root").alias("home"), "cls", "root").union(alone)
+    targets = stage(own.union(visitors), "minhash_targets")
+
+    sizes = targets.groupBy("home").agg(F.count("cls").alias("n_targets"))
+    sizes = stage(sizes.join(visitors.groupBy("home").agg(F.count("cls").alias("n_visitors")), "home"), "minhash_sizes")
+    blocks = lambda count: F.ceil(F.col(count) / BLOCK).cast("int")
+    block_of = lambda count: F.pmod(F.xxhash64("cls"), blocks(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), blocks(count) - 1))
+    asked = targets.join(sizes, "home").select(
+        "home", "cls", "root", F.lit(False).alias("asks"), block_of("n_targets").alias("block"), every("n_visitors").alias("asking")
     )
-    left = stage(
-        known.join(mixed, "bucket").select("bucket", "cls", "done", "root", (F.col("root") == F.col("main")).alias("in_main")),
-        "minhash_left",
+    asking = visitors.join(sizes, "home").select(
+        "home", "cls", "root", F.lit(True).alias("asks"), every("n_targets").alias("block"), block_of("n_visitors").alias("asking")
     )
-    pairs = left.where("not in_main and not done").join(mixed, "bucket").agg(F.coalesce(F.sum("open"), F.lit(0))).first()[0]
-    return left, pairs, left.count()
-
-
-def _all_pairs(left: DataFrame) -> DataFrame:
-    """All open pairs with different components: those outside a bucket's largest component, with all others."""
-    rest = left.where("not done")
-    few = rest.where("not in_main").select("bucket", F.col("cls").alias("a"), F.col("root").alias("root_a"))
-    every = rest.select("bucket", F.col("cls").alias("b"), F.col("root").alias("root_b"), "in_main")
-    met = few.join(every, "bucket").where("root_a <> root_b and (in_main or a < b)")
-    return met.select("a", "b").distinct()
 
-
-def _pivot_pairs(left: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs of one new pivot per bucket, outside its largest component, with all open members; and the members after that."""
-    pivots = stage(
-        left.where("not done and not in_main").groupBy("bucket").agg(F.min(F.struct("cls", "root")).alias("pivot")), "minhash_pivots"
-    )
-    found = left.join(pivots, "bucket").select(
-        "bucket", "cls", "root", F.col("pivot.cls").alias("pivot"), F.col("pivot.root").alias("pivot_root"), "done"
-    )
-    pairs = found.where("not done and root <> pivot_root").select(F.col("pivot").alias("a"), F.col("cls").alias("b")).distinct()
-    others = left.join(pivots, "bucket", "left").withColumn("done", F.col("done") | F.coalesce(F.col("cls") == F.col("pivot.cls"), F.lit(False)))
-    return pairs, stage(others.select("bucket", "cls", "done"), "minhash_members")
+    def compare(rows: pa.Table) -> pa.Table:
+        found = _links_in_block(rows, n, percent)
+        return pa.table([pa.array(x, pa.binary()) for x in (zip(*found) if found else ((), ()))], names=["a", "b"])
+
+    rows = asked.union(asking).join(texts, "cls").select("home", "block", "asking", "asks", "cls", "root", "text")
+    compared = rows.groupBy("home", "block", "asking").applyInArrow(compare, "a binary, b binary")
+    return stage(compared.distinct(), "minhash_cross_links")
+
+
+def _links_in_block(rows: pa.Table, n: int, percent: int) -> list[tuple[bytes, bytes]]:
+    """Links from the rows that ask to similar rows of other components, one to each component. Counts what sets share by an
+    inverted index of the targets' shingles."""
+    words = WordHashes()
+    asks = np.array(rows["asks"].to_pylist(), bool)
+    classes, roots = rows["cls"].to_pylist(), rows["root"].to_pylist()
+    sets = [shingle_set(text.as_py(), n, words) for text in rows["text"]]
+    targets = np.flatnonzero(~asks)
+    sizes = np.array([len(sets[i]) for i in targets], np.int64)
+    shingles, of_target = np.concatenate([sets[i] for i in targets]), np.repeat(np.arange(len(targets)), sizes)
+    order = np.argsort(shingles, kind="stable")
+    shingles, of_target = shingles[order], of_target[order]
+    found = []
+    for i in np.flatnonzero(asks).tolist():
+        starts, ends = np.searchsorted(shingles, sets[i], "left"), np.searchsorted(shingles, sets[i], "right")
+        counts = ends - starts
+        places = np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
+        common = np.bincount(of_target[places], minlength=len(targets))
+        reached = {roots[i]}
+        for j in targets[100 * common >= percent * (len(sets[i]) + sizes - common)].tolist():
+            if roots[j] not in reached:
+                reached.add(roots[j])
+                found.append((classes[i], classes[j]))
+    return found
 
 
 def _label(signed: DataFrame, roots: DataFrame) -> DataFrame:

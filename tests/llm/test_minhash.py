@@ -39,12 +39,13 @@ def test_equals_brute_force(spark, documents, n):
     assert labelled(near_duplicates(documents(by_id.items()), n)) == expected(by_id, n)
 
 
-def test_large_group_whose_members_resemble_a_middle_one_only(spark, documents, monkeypatch):
+@pytest.mark.parametrize("block", [7, 512])
+def test_large_group_whose_members_resemble_a_middle_one_only(spark, documents, monkeypatch, block):
     """Members differ from each other by more than they may, so a pivot that is not the middle one links nobody."""
     rng = random.Random(7)
     texts = list(group(rng, 60, 60, 7))
     by_id = dict(enumerate(texts))
-    monkeypatch.setattr(minhash, "ALL_AT_ONCE", 0)  # pivot by pivot to the end
+    monkeypatch.setattr(minhash, "BLOCK", block)
     assert labelled(near_duplicates(documents(by_id.items()), 2)) == expected(by_id, 2)
 
 
