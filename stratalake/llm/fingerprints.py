@@ -12,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.sources.scratch import stage
@@ -25,7 +26,9 @@ _PACKED = pa.schema(
     [("part", pa.int32()), ("answer", pa.bool_()), ("keys", pa.binary()), ("ranks", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())]
 )
 PACKED = "part int, answer boolean, keys binary, ranks binary, counts binary, hashes binary"
-_ANSWERS = pa.schema([("key", pa.int64()), ("hashes", pa.binary())])
+_TOLD = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
+_TOLD_DDL = "part int, keys binary, counts binary, hashes binary"
+_ANSWERS = pa.schema([("key", pa.int64()), ("answers", pa.binary())])
 #: Bytes of a fingerprint that are sent: eight where equality decides, six where it only proposes candidates.
 EXACT, ROUGH = 8, 6
 
@@ -103,7 +106,7 @@ def _pack(
     """One row per part. The part comes from the top bits, as the low ones may be all that is sent."""
     part = ((hashes >> np.uint64(48)) % np.uint64(parts)).astype(np.int64)
     if answer:
-        part = docs % parts  # anywhere: it is only passed on
+        part = keys[docs] % parts  # where the document's answers meet in the end
     order = np.lexsort((docs, part))
     part, docs, hashes = part[order], docs[order], hashes[order]
     rows = []
@@ -209,48 +212,64 @@ SHARED, UNSHARED, NOT_FIRST = _shared, _unshared, _not_first
 
 
 def exchange(packed: DataFrame, parts: int, width: int, rule: Callable, purpose: str) -> DataFrame:
-    """Brings each part together, applies the rule, and stores the answers: ``key, answers`` (array of packed fingerprints)."""
+    """Brings each part together, applies the rule, and stores the answers: ``key, answers`` (packed fingerprints).
+
+    Answers travel packed, too: one row for all documents whose keys fall in the same part.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ranks, hashes = [], [], []
         for batch in batches:
-            for i in range(batch.num_rows):
-                _, answer, k, r, c, h = (column[i].as_py() for column in batch.columns)
-                k, r, c = np.frombuffer(k, "<i8"), np.frombuffer(r, "<i8"), np.abs(np.frombuffer(c, "<i4"))
-                if answer:
-                    ends = np.cumsum(c) * width
-                    parts_of = [h[e - n * width : e] for e, n in zip(ends.tolist(), c.tolist())]
-                    yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(parts_of, pa.binary())], schema=_ANSWERS)
-                else:
-                    keys.append(np.repeat(k, c))
-                    ranks.append(np.repeat(r, c))
-                    hashes.append(from_bytes(h, width))
+            told = batch.filter(batch.column("answer"))
+            if told.num_rows:
+                yield told.select(["part", "keys", "counts", "hashes"])
+            for row in batch.filter(pa.compute.invert(batch.column("answer"))).to_pylist():
+                counts = np.abs(np.frombuffer(row["counts"], "<i4"))
+                keys.append(np.repeat(np.frombuffer(row["keys"], "<i8"), counts))
+                ranks.append(np.repeat(np.frombuffer(row["ranks"], "<i8"), counts))
+                hashes.append(from_bytes(row["hashes"], width))
         if not hashes:
             return
         hit = rule(hashes, ranks)
         key, rank, every = np.concatenate(keys), np.concatenate(ranks), np.concatenate(hashes)
         hit &= rank != NOBODY
         key, every = key[hit], every[hit]
+        order = np.lexsort((key, key % parts))
+        key, every = key[order], every[order]
+        for start, end in _runs(key % parts):
+            of_keys = list(_runs(key[start:end]))
+            row = {
+                "part": int(key[start] % parts),
+                "keys": key[start:end][[a for a, _ in of_keys]].astype("<i8").tobytes(),
+                "counts": np.array([b - a for a, b in of_keys], "<i4").tobytes(),
+                "hashes": to_bytes(every[start:end], width),
+            }
+            yield pa.RecordBatch.from_pylist([row], schema=_TOLD)
+
+    def deliver(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, hashes = [], []
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys.append(np.repeat(np.frombuffer(row["keys"], "<i8"), np.frombuffer(row["counts"], "<i4")))
+                hashes.append(from_bytes(row["hashes"], width))
+        if not keys:
+            return
+        key, every = np.concatenate(keys), np.concatenate(hashes)
         order = np.argsort(key, kind="stable")
         key, every = key[order], every[order]
         runs = list(_runs(key))
-        for a in range(0, len(runs), 10_000):
-            some = runs[a : a + 10_000]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([int(key[s]) for s, _ in some], pa.int64()),
-                    pa.array([to_bytes(every[s:e], width) for s, e in some], pa.binary()),
-                ],
-                schema=_ANSWERS,
-            )
+        for a in range(0, len(runs), 5_000):
+            some = runs[a : a + 5_000]
+            columns = [[int(key[s]) for s, _ in some], [to_bytes(every[s:e], width) for s, e in some]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _ANSWERS.types)], schema=_ANSWERS)
 
-    answers = packed.repartitionById(parts, F.col("part")).mapInArrow(gather, "key long, hashes binary")
-    return stage(answers.groupBy("key").agg(F.collect_list("hashes").alias("answers")), purpose)
+    told = packed.repartitionById(parts, F.col("part")).mapInArrow(gather, _TOLD_DDL)
+    return stage(told.repartitionById(parts, F.col("part")).mapInArrow(deliver, "key long, answers binary"), purpose)
 
 
-def unpack(answers: list[bytes] | None, width: int) -> np.ndarray:
+def unpack(answers: bytes | None, width: int) -> np.ndarray:
     """The distinct fingerprints of a document's answers, sorted."""
-    return np.unique(from_bytes(b"".join(answers or []), width))
+    return np.unique(from_bytes(answers or b"", width))
 
 
 def parts_of(session) -> int:
