@@ -2,7 +2,7 @@
 
 Each vector has a position on PROJECTIONS random lines, one sorted array per line. A query looks at a window around its own
 position on every line; a vector that lies in many of the windows collides often, and is verified by its exact
-inner product. A wider radius widens the windows (virtual rehashing), so only what is new is counted. The radius grows
+inner product. A wider radius widens the windows (virtual rehashing), and the same arrays serve. The radius grows
 to the distance of the k-th best vector found; then all vectors inside it have had their chance.
 
 Inner products become distances by one more coordinate: vectors are scaled into the unit ball and lifted to its
@@ -26,7 +26,7 @@ PROJECTIONS = 128
 HALF_WINDOW, COLLIDES = 1.0, 0.6827
 #: A vector is verified if its collisions reach the expected number for the radius less so many standard deviations.
 TOLERANCE = 2.0
-FIRST_RADII = (0.3, 0.9)
+FIRST_RADIUS, WIDER = 1.0, 1.15
 VECTORS_A_BLOCK, QUERIES_A_BLOCK = 8192, 4096
 
 
@@ -57,17 +57,35 @@ class CollisionIndex:
         self.scale = norms.max()
         lift = np.sqrt(np.maximum(0.0, 1.0 - (norms / self.scale) ** 2))
         self.lines = lines(vectors.shape[1] + 1)
-        positions = np.column_stack([self.vectors / self.scale, lift]) @ self.lines.T
-        self.order = np.ascontiguousarray(np.argsort(positions, axis=0).T)
-        self.sorted = np.ascontiguousarray(np.sort(positions, axis=0).T)
+        positions = self.lines @ np.column_stack([self.vectors / self.scale, lift]).T
+        order = np.argsort(positions, axis=1)
+        # All sorted arrays in one, each on a stretch of its own: positions lie between -1 and 1.
+        self.offsets = 4.0 * np.arange(PROJECTIONS)
+        self.sorted = (np.take_along_axis(positions, order, axis=1) + self.offsets[:, None]).ravel()
+        #: Place of each vector in the sorted array of each line.
+        self.places = np.empty(order.shape, np.uint16 if len(ids) <= 2**16 else np.uint32)
+        np.put_along_axis(self.places, order, np.arange(len(ids), dtype=self.places.dtype)[None, :], axis=1)
         self.by_component = np.ascontiguousarray(self.vectors.T)
         mean, spread = PROJECTIONS * COLLIDES, math.sqrt(PROJECTIONS * COLLIDES * (1 - COLLIDES))
+        self.usual_radius = FIRST_RADIUS
         self.threshold = mean - TOLERANCE * spread
 
     def scores(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Exact inner products, summed from the first component to the last."""
         return np.add.reduce(self.by_component[:, rows] * query[:, None], axis=0)
 
+    def collisions(self, own: np.ndarray, half: float) -> np.ndarray:
+        """In how many of the windows around a query each vector lies. Binary search in the sorted arrays gives a window's
+        ends; a vector lies in it if its place does."""
+        n = len(self.ids)
+        ends = np.concatenate([np.maximum(own - half, -1.5) + self.offsets, np.minimum(own + half, 1.5) + self.offsets])
+        low, high = np.searchsorted(self.sorted, ends).reshape(2, -1) - n * np.arange(PROJECTIONS)
+        kind = self.places.dtype
+        inside = (self.places - low.astype(kind)[:, None]) < (high - low).astype(kind)[:, None]
+        # A window over all n places of 2**16 would be 0 wide in 16 bits.
+        inside[high - low == n] = True
+        return np.add.reduce(inside.view(np.uint8), axis=0, dtype=np.uint8)
+
     def nearest(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         length = math.sqrt(float(query @ query))
         own = self.lines[:, :-1] @ (query / length)
@@ -75,31 +93,24 @@ class CollisionIndex:
         k = min(k, available)
         if not k:
             return np.empty(0, np.int64), np.empty(0)
-        counts = np.zeros(len(self.ids), np.int64)
         verified = self.ids == query_id
         rows, scores = np.empty(0, np.int64), np.empty(0)
-        low = high = np.array([np.searchsorted(line, x) for line, x in zip(self.sorted, own)])
-        radii = list(FIRST_RADII)
         radius = 0.0
         while True:
-            if radii and len(rows) < k:
-                radius = max(radius, radii.pop(0))
+            if not radius:
+                # About what queries before needed; too small or too large a start costs time only.
+                radius = self.usual_radius
             elif len(rows) < k:
-                radius *= 1.25
+                radius *= WIDER
             else:
                 # Distance of the k-th best so far: nothing beyond it can enter.
                 kth = np.partition(scores, len(scores) - k)[len(scores) - k]
                 needed = math.sqrt(max(0.0, 2 - 2 * kth / (length * self.scale))) + 1e-12
                 if needed <= radius:
+                    self.usual_radius += 0.1 * (needed - self.usual_radius)
                     break
                 radius = needed
-            half = HALF_WINDOW * radius / math.sqrt(self.lines.shape[1])
-            new_low = np.array([np.searchsorted(line, x, "left") for line, x in zip(self.sorted, own - half)])
-            new_high = np.array([np.searchsorted(line, x, "right") for line, x in zip(self.sorted, own + half)])
-            new_low, new_high = np.minimum(new_low, low), np.maximum(new_high, high)
-            parts = [o[a:b] for o, a, b in zip(self.order, new_low, low)] + [o[a:b] for o, a, b in zip(self.order, high, new_high)]
-            counts += np.bincount(np.concatenate(parts), minlength=len(counts))
-            low, high = new_low, new_high
+            counts = self.collisions(own, HALF_WINDOW * radius / math.sqrt(self.lines.shape[1]))
             fresh = np.flatnonzero((counts >= self.threshold) & ~verified)
             verified[fresh] = True
             rows, scores = np.concatenate([rows, fresh]), np.concatenate([scores, self.scores(query, fresh)])
