@@ -29,7 +29,7 @@ def test_stages_and_registration(spark):
     assert [n for n, _ in STAGES] == ["quality", "near_dedup", "substring_dedup", "mix", "encode"]
     from __spark_entry__ import queries
 
-    assert queries()["pipeline"] is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
+    assert queries()["pipeline"].__wrapped__ is corpus_pipeline.run and corpus_pipeline.ORACLE_SQL is None
 
 
 def test_quality_takes_effect(spark):
