@@ -2,8 +2,9 @@
 
 The expressions are SQL that Spark and DuckDB both understand, but for the name of the text type. A line item
 is a repair job: its order gives customer, status and date, its part the device, its supplier the technician.
-The text is dirty on purpose: padded, in the wrong case, with missing names and dates, dates that are none,
-orphans and repeated deliveries.
+The text is dirty on purpose: padded, in the wrong case, with blank ids, missing technicians, names, states and dates, dates that
+are none, amounts of any size, technicians with two names, cancelled jobs with a date, unknown price labels, orphans and
+repeated deliveries.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,18 +20,18 @@ _TIER = "case when p_retailprice < 933 then 'Budget (< 15K)' when p_retailprice
 
 # `copy` is 1, and also 2 for a re-delivered row.
 JOBS = {
-    "job_id": "concat('J', cast(l_orderkey as {text}), '-', cast(l_linenumber as {text}))",
+    "job_id": "case when l_partkey % 401 = 0 then '  ' else concat('J', cast(l_orderkey as {text}), '-', cast(l_linenumber as {text})) end",
     "customer_id": "case when l_partkey % 50 = 0 then '-1' else cast(o_custkey as {text}) end",
     "device_id": "case when l_suppkey % 40 = 7 then '-1' else cast(l_partkey as {text}) end",
     "issue_type": "concat(' ', o_orderpriority)",
-    "job_status": f"case l_partkey % 3 when 0 then concat(' ', upper({_STATUS}), ' ') when 1 then lower({_STATUS}) else {_STATUS} end",
+    "job_status": f"case when l_partkey % 419 = 0 then null else case l_partkey % 3 when 0 then concat(' ', upper({_STATUS}), ' ') when 1 then lower({_STATUS}) else {_STATUS} end end",
     "received_date": f"case when l_partkey % 307 = 0 then null else cast({_RECEIVED} as {{text}}) end",
     "promised_date": f"case when l_partkey % 211 = 0 then 'tbd' else cast({_RECEIVED} + (7 + l_linenumber) as {{text}}) end",
-    "completed_date": f"case when o_orderstatus = 'F' then cast({_RECEIVED} + (cast(l_quantity as int) % 20) as {{text}}) end",
-    "technician_id": "case when l_partkey % 4 = 0 then concat(cast(l_suppkey as {text}), ' ') else cast(l_suppkey as {text}) end",
-    "technician_name": "case when l_partkey % 20 = 0 or l_suppkey % 25 = 3 then null else s_name end",
+    "completed_date": f"case when o_orderstatus = 'F' or l_partkey % 43 = 0 then cast({_RECEIVED} + (cast(l_quantity as int) % 20) as {{text}}) end",
+    "technician_id": "case when l_suppkey % 29 = 5 then null when l_partkey % 4 = 0 then concat(cast(l_suppkey as {text}), ' ') else cast(l_suppkey as {text}) end",
+    "technician_name": "case when l_partkey % 20 = 0 or l_suppkey % 25 = 3 then null when l_suppkey % 7 = 0 and l_partkey % 2 = 0 then concat('Dr. ', s_name) else s_name end",
     "repair_notes": "case when l_linenumber % 3 = 0 then null else concat('Part \"', cast(l_partkey as {text}), '\", checked' , chr(10), 'line ', cast(l_linenumber as {text})) end",
-    "estimated_cost": "l_extendedprice",
+    "estimated_cost": "case when l_partkey % 449 = 0 then cast(123456789012.5 as double) when l_partkey % 457 = 0 then cast(1e30 as double) else l_extendedprice end",
     "actual_cost": f"case when o_orderstatus = 'F' then {_COST} end",
     "_ingest_ts": "l_shipdate",
 }
@@ -57,7 +58,7 @@ DEVICES = {
     "device_type": "concat(p_type, ' ')",
     "model_series": "concat(' ', p_name, ' ')",
     "warranty_months": "case when copy = 2 then 0 when p_size <= 12 then 6 when p_size <= 25 then 12 when p_size <= 38 then 18 else 24 end",
-    "price_range": f"case when p_partkey % 37 = 0 then null else {_TIER} end",
+    "price_range": f"case when p_partkey % 37 = 0 then null when p_partkey % 41 = 0 then 'on request' else {_TIER} end",
     "_ingest_ts": "case when copy = 2 then timestamp '2024-01-01 00:00:00' else timestamp '2024-01-02 00:00:00' end",
 }
 DEVICES_REDELIVERED, DEVICES_UNKEYED = "p_partkey % 60 = 0", "p_partkey % 300 = 0"
@@ -67,12 +68,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _spread(rows: DataFrame, *columns: str) -> DataFrame:
-    """Give every core a share of a file with fewer row groups than there are cores. Large tables stay as they are."""
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *columns) if rows.rdd.getNumPartitions() < cores else rows
-
-
 def _copies(rows: DataFrame, again: str, unkeyed: str = "false") -> DataFrame:
     numbers = f"case when {unkeyed} then array(1, 2, 3) when {again} then array(1, 2) else array(1) end"
     return rows.selectExpr("*", f"explode({numbers}) as copy")
@@ -83,7 +78,7 @@ def _project(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
+    lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)

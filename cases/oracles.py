@@ -19,10 +19,19 @@ def _date(text: str) -> str:
     return f"cast(try_strptime(trim({text}), '%Y-%m-%d') as date)"
 
 
-def _ctes(ordered_by_load: bool = True) -> str:
-    """Raw to silver. Without an order by load time, ties go by the other columns alone."""
-    load = ["_ingest_ts"] if ordered_by_load else []
-    job_order = ["_ingest_ts", *JOB_TIE_BREAKERS] if ordered_by_load else JOB_COLUMNS
+_DELIVERY = "case when _ingest_ts >= timestamp '1998-07-01' then 1 else 0 end"
+_PROGRESS = """case job_status when 'Completed' then 4 when 'Cancelled' then 3 when 'In Progress' then 2
+  when 'Pending' then 1 else 0 end"""
+
+
+def _ctes(jobs_by: str = "load time") -> str:
+    """Raw to silver. Jobs are ordered by load time and tie breakers, or as the versions of one load ("file"), or of one
+    delivery after the other ("delivery"). Other tables have a load time in the first case only."""
+    load = ["_ingest_ts"] if jobs_by == "load time" else []
+    job_order = ["_ingest_ts", *JOB_TIE_BREAKERS]
+    if jobs_by != "load time":
+        others = [c for c in JOB_COLUMNS if c not in ("completed_date", "job_status")]
+        job_order = [*([_DELIVERY] if jobs_by == "delivery" else []), "completed_date", _PROGRESS, *others, "job_status"]
     return f"""
 with raw_jobs as ({RAW_JOBS_SQL}),
 raw_customers as ({RAW_CUSTOMERS_SQL}),
@@ -33,11 +42,11 @@ tidy_jobs as (
     {_title('job_status')} as job_status, {_date('received_date')} as received_date,
     {_date('promised_date')} as promised_date, {_date('completed_date')} as completed_date,
     nullif(trim(technician_id), '') as technician_id, nullif(trim(technician_name), '') as technician_name,
-    repair_notes, cast(estimated_cost as decimal(12,2)) as estimated_cost,
-    cast(actual_cost as decimal(12,2)) as actual_cost, _ingest_ts
+    repair_notes, try_cast(estimated_cost as decimal(20,2)) as estimated_cost,
+    try_cast(actual_cost as decimal(20,2)) as actual_cost, _ingest_ts
   from raw_jobs),
 latest_jobs as (
-  select * from tidy_jobs
+  select * from tidy_jobs where job_id is not null
   qualify row_number() over (partition by job_id order by {_newest_first(job_order, 'job_id')}) = 1),
 names as (select technician_id, min(technician_name) as found from latest_jobs group by 1),
 named_jobs as (
@@ -56,7 +65,7 @@ silver_devices as (
   select *, regexp_extract(price_range, '^(\\w[\\w\\-]*)', 1) as price_tier,
     case when price_range like '%Budget%' then 0 when price_range like '%Premium%' then 40000 else 15000 end as price_range_min,
     case when price_range like '%Budget%' then 15000 when price_range like '%Premium%' then null else 40000 end as price_range_max,
-    price_range is not null as price_range_known
+    coalesce(regexp_matches(price_range, 'Budget|Mid-range|Premium'), false) as price_range_known
   from (
     select nullif(trim(device_id), '') as device_id, trim(brand) as brand, trim(device_type) as device_type,
       trim(model_series) as model_series, warranty_months, price_range, _ingest_ts
@@ -170,7 +179,7 @@ _UNREADABLE = "count(*) filter (where trim({0}) <> '' and try_strptime(trim({0})
 _QUALITY_RAW = "\nunion all\n".join(
     [
         _check("not_empty", "count(*)", "< 1", "raw_jobs"),
-        _check("null_job_id", "count(*) - count(job_id)", None, "raw_jobs"),
+        _check("no_job_id", "count(*) filter (where coalesce(trim(job_id), '') = '')", None, "raw_jobs"),
         _check(
             "unnamed_technician",
             "count(*) filter (where trim(technician_id) <> '' and coalesce(trim(technician_name), '') = '')",
@@ -181,6 +190,10 @@ _QUALITY_RAW = "\nunion all\n".join(
             _check(f"unreadable_{c}", _UNREADABLE.format(c), None, "raw_jobs")
             for c in ("received_date", "promised_date", "completed_date")
         ],
+        *[
+            _check(f"unreadable_{c}", f"count({c}) - count(try_cast({c} as decimal(20,2)))", None, "raw_jobs")
+            for c in ("estimated_cost", "actual_cost")
+        ],
     ]
 )
 _QUALITY_CUSTOMERS = "\nunion all\n".join(
@@ -195,7 +208,7 @@ _QUALITY_DEVICES = "\nunion all\n".join(
     [
         _check("rows", "count(*)", None, "silver_devices"),
         _check("unique_device_id", "count(*) - count(distinct device_id)", "> 0", "silver_devices"),
-        _check("unknown_price_range", "count(*) - count(price_range)", None, "silver_devices"),
+        _check("unknown_price_range", "count(*) filter (where not price_range_known)", None, "silver_devices"),
     ]
 )
 
@@ -212,6 +225,16 @@ _LIFECYCLE = "is_completed, is_cancelled, turnaround_days, is_overdue, sla_breac
 _LATEST_RAW = f"""select * from raw_jobs
 qualify row_number() over (partition by job_id order by {_newest_first(['_ingest_ts', *JOB_TIE_BREAKERS], 'job_id')}) = 1"""
 
+_ALL_MARTS = "\nunion all by name\n".join(
+    f"select '{mart}' as mart, * from ({query}) m"
+    for mart, query in (
+        ("repair_turnaround", _TURNAROUND),
+        ("technician_performance", _TECHNICIANS),
+        ("repeat_customers", _REPEAT),
+        ("device_failure_trends", _FAILURES),
+    )
+)
+
 ORACLES: dict[str, str] = {
     "csv_ingest_customers": _select(f"select {', '.join(CUSTOMER_COLUMNS)} from raw_customers"),
     "csv_ingest_devices": _select(f"select {', '.join(DEVICE_COLUMNS)} from raw_devices"),
@@ -228,7 +251,7 @@ from raw_jobs"""
         """select device_id, price_range,
   case left(price_range, 3) when 'Bud' then 0 when 'Pre' then 40000 else 15000 end as price_range_min,
   case left(price_range, 3) when 'Bud' then 15000 when 'Pre' then null else 40000 end as price_range_max,
-  price_range is not null as price_range_known
+  coalesce(price_range[:6] in ('Budget', 'Mid-ra', 'Premiu'), false) as price_range_known
 from raw_devices"""
     ),
     "silver_customers": _select(f"select {', '.join(CUSTOMER_COLUMNS)} from silver_customers"),
@@ -253,7 +276,7 @@ select job_id, 'device_id', device_id from silver_jobs where not has_valid_devic
 from (
   select *, lag(received_date) over (
     partition by customer_id order by received_date nulls first, job_id) as prev_received_date
-  from latest_jobs) g"""
+  from silver_jobs where has_valid_customer) g"""
     ),
     "mart_repair_turnaround": _select(_TURNAROUND),
     "mart_technician_performance": _select(_TECHNICIANS),
@@ -284,18 +307,26 @@ from latest_jobs where technician_id is not null and technician_name is not null
     ),
     "profile_jobs": _select(_PROFILE),
     "incremental_ingest": _select(
-        f"select {_JOB_LIST}, case when _ingest_ts >= timestamp '1998-07-01' then 1 else 0 end as batch_no from raw_jobs"
+        f"select {_JOB_LIST}, concat('b000000000', {_DELIVERY}) as batch_no from raw_jobs"
     ),
     "upsert_latest": _select(_LATEST_RAW),
-    "refresh_all": _ctes(ordered_by_load=False)
-    + "\nunion all\n".join(
-        f"""select '{mart}' as mart, count(*) as row_count, cast(sum({jobs}) as bigint) as jobs,
-  cast(sum({second}) as bigint) as second_total from ({query}) m"""
-        for mart, query, jobs, second in (
-            ("repair_turnaround", _TURNAROUND, "completed_jobs", "sla_breaches"),
-            ("technician_performance", _TECHNICIANS, "total_jobs_assigned", "jobs_overdue"),
-            ("repeat_customers", _REPEAT, "total_visits", "distinct_devices_serviced"),
-            ("device_failure_trends", _FAILURES, "failure_count", "distinct_units_affected"),
-        )
+    "dedupe_exact_metadata": _select(
+        f"""select {_JOB_LIST}, _ingest_ts, source_file, batch_id from (
+  select *, 'a.csv' as source_file, '2' as batch_id from raw_jobs
+  union all select *, case when estimated_cost > 30000 then 'b.csv' else 'a.csv' end, '1' from raw_jobs) twice
+qualify row_number() over (
+  partition by {_JOB_LIST} order by _ingest_ts desc, source_file desc, batch_id desc) = 1"""
+    ),
+    "upsert_repeated_keys": _select(
+        f"""select job_id, _ingest_ts, estimated_cost from raw_jobs where {_DELIVERY} = 0
+  and job_id not in (select job_id from raw_jobs where {_DELIVERY} = 1)
+union all
+select job_id, _ingest_ts, estimated_cost from raw_jobs
+where job_id in (select job_id from raw_jobs where {_DELIVERY} = 1)
+qualify row_number() over (partition by job_id order by _ingest_ts desc, estimated_cost desc) = 1"""
     ),
+    "latest_within_load": _ctes("file") + f"select {_JOB_LIST} from latest_jobs",
+    "jobs_without_id": _select(f"select {_JOB_LIST} from raw_jobs where coalesce(trim(job_id), '') = ''"),
+    "refresh_all": _ctes("file") + _ALL_MARTS,
+    "refresh_incremental": _ctes("delivery") + _ALL_MARTS,
 }

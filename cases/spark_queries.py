@@ -22,6 +22,8 @@ from stratalake.plans.pipeline import (
     device_checks,
     job_checks,
     raw_job_checks,
+    refresh_dimensions,
+    run_incremental,
     run_pipeline,
 )
 from stratalake.sources import schemas
@@ -29,7 +31,7 @@ from stratalake.sources.raw_csv import read_raw_csv, with_ingestion_metadata
 from stratalake.sources.scratch import scratch_folder, stage
 from stratalake.sources.tables import Layout, replace_table
 from stratalake.streaming.ingest import ingest_new_files
-from stratalake.streaming.upsert import upsert_stream
+from stratalake.streaming.upsert import upsert_latest as upsert_changes, upsert_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,6 +159,26 @@ def dedupe_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedupe_exact_rows(fixture.raw_jobs(spark, sf_dir))
 
 
+def dedupe_exact_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row twice, with the three metadata columns of a bronze table; the copies differ in file or load."""
+    jobs = fixture.raw_jobs(spark, sf_dir)
+    file = F.when(F.col("estimated_cost") > 30000, "b.csv").otherwise("a.csv")
+    twice = jobs.withColumns({"_source_file": F.lit("a.csv"), "_batch_id": F.lit("2")}).unionByName(
+        jobs.withColumns({"_source_file": file, "_batch_id": F.lit("1")})
+    )
+    return dedupe_exact_rows(twice).withColumnsRenamed({"_source_file": "source_file", "_batch_id": "batch_id"})
+
+
+def latest_within_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of a job have the same load time, so dates and status tell which is the newest."""
+    one_load = fixture.raw_jobs(spark, sf_dir).withColumn("_ingest_ts", F.lit("2024-01-01").cast("timestamp"))
+    return silver.latest_jobs(one_load).select(JOB_COLUMNS)
+
+
+def jobs_without_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.keyless_jobs(fixture.raw_jobs(spark, sf_dir)).select(JOB_COLUMNS)
+
+
 def keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_latest_per_key(fixture.raw_jobs(spark, sf_dir), ["job_id"], "_ingest_ts", fixture.JOB_TIE_BREAKERS)
 
@@ -218,8 +240,10 @@ def orphan_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def visit_gaps_of_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits of known customers only: jobs of unknown ones need not be of one person."""
     jobs = _latest(spark, sf_dir).select("job_id", "customer_id", "received_date")
-    return visit_gaps(stage(jobs, "visits"))
+    flagged = flag_reference(jobs, _customers(spark, sf_dir), "customer_id", "has_valid_customer")
+    return visit_gaps(stage(flagged.filter("has_valid_customer").drop("has_valid_customer"), "visits"))
 
 
 # --- marts ---
@@ -312,6 +336,15 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/bronze").select(*JOB_COLUMNS, F.col("_batch_id").alias("batch_no"))
 
 
+def upsert_repeated_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot repeats keys and the changes hold old news: untouched keys stay as they are, touched ones get one row."""
+    jobs = stage(fixture.raw_jobs(spark, sf_dir).select("job_id", "_ingest_ts", "estimated_cost"), "raw_jobs")
+    snapshot, changes = _deliveries(jobs)
+    touched = changes.select("job_id").distinct()
+    old_news = snapshot.join(touched, "job_id", "left_semi")
+    return upsert_changes(snapshot, stage(changes.union(old_news), "changes"), ["job_id"], "_ingest_ts", ["estimated_cost"])
+
+
 def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = _layout(spark)
     layout.ensure_schema(spark)
@@ -345,28 +378,35 @@ def refreshed_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     run_pipeline(spark, layout, as_of=fixture.AS_OF, batch_id=BATCH_ID)
     marts = {name: spark.table(layout.gold(name)) for name in MARTS}
     inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
-    _forget(spark, layout, *inputs, *[layout.gold(name) for name in MARTS])
+    more = [layout.silver(name) for name in ("technicians", "service_jobs_without_id")]
+    _forget(spark, layout, *inputs, *more, *[layout.gold(name) for name in MARTS])
     return marts
 
 
+def _all_rows(marts: dict[str, DataFrame]) -> DataFrame:
+    """All rows and columns of the marts in one frame; a column that a mart lacks is null."""
+    named = [mart.withColumn("mart", F.lit(name)) for name, mart in marts.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named)
+
+
 def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per mart of a full run: its rows, and the totals of two of its measures."""
-    totals = {
-        "repair_turnaround": ("completed_jobs", "sla_breaches"),
-        "technician_performance": ("total_jobs_assigned", "jobs_overdue"),
-        "repeat_customers": ("total_visits", "distinct_devices_serviced"),
-        "device_failure_trends": ("failure_count", "distinct_units_affected"),
-    }
-    lines = [
-        mart.agg(
-            F.lit(name).alias("mart"),
-            F.count(F.lit(1)).alias("row_count"),
-            F.sum(totals[name][0]).alias("jobs"),
-            F.sum(totals[name][1]).alias("second_total"),
-        )
-        for name, mart in refreshed_marts(spark, sf_dir).items()
-    ]
-    return reduce(DataFrame.unionByName, lines)
+    return _all_rows(refreshed_marts(spark, sf_dir))
+
+
+def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries of jobs, each taken in by a run of its own."""
+    layout = _layout(spark, _raw_folder(spark, sf_dir, "customers", "devices"))
+    refresh_dimensions(spark, layout, batch_id=BATCH_ID)
+    landing, checkpoints = f"{layout.storage}/landing", f"{layout.storage}/checkpoints"
+    jobs = stage(fixture.raw_jobs(spark, sf_dir), "raw_jobs")
+    for delivery in _deliveries(jobs):
+        write_csv(delivery.select(JOB_COLUMNS), landing, mode="append")
+        run_incremental(spark, layout, landing, checkpoints, as_of=fixture.AS_OF)
+    marts = {name: spark.table(layout.gold(name)) for name in MARTS}
+    inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
+    more = [layout.silver(name) for name in ("technicians", "service_jobs_latest")]
+    _forget(spark, layout, *inputs, *more, *[layout.gold(name) for name in MARTS])
+    return _all_rows(marts)
 
 
 QUERIES: dict[str, Query] = {
@@ -376,7 +416,10 @@ QUERIES: dict[str, Query] = {
     "ingest_metadata": ingest_metadata,
     "snapshot_roundtrip": snapshot_roundtrip,
     "dedupe_exact": dedupe_exact,
+    "dedupe_exact_metadata": dedupe_exact_metadata,
     "keep_latest": keep_latest,
+    "latest_within_load": latest_within_load,
+    "jobs_without_id": jobs_without_id,
     "backfill_names": backfill_names,
     "price_bounds": price_bounds_of_labels,
     "silver_customers": silver_customers,
@@ -402,5 +445,7 @@ QUERIES: dict[str, Query] = {
     "profile_jobs": profile_jobs,
     "incremental_ingest": incremental_ingest,
     "upsert_latest": upsert_latest,
+    "upsert_repeated_keys": upsert_repeated_keys,
     "refresh_all": refresh_all,
+    "refresh_incremental": refresh_incremental,
 }

@@ -6,14 +6,20 @@ division only and a half is hit exactly. Results then do not depend on how rows
 
 from pyspark.sql import Column, functions as F
 
-MONEY = "decimal(12,2)"
+# Amounts up to 10**18; sums of them, times 100, still fit a decimal.
+MONEY = "decimal(20,2)"
 
 
 def money(name: str) -> Column:
-    """Exact amount; null where the source number is NaN or does not fit."""
+    """The amount to the cent, rounded half up; null where the source number is NaN, infinite or does not fit."""
     return F.col(name).try_cast(MONEY)
 
 
+def unreadable_money(name: str) -> Column:
+    """True where there is a number but :func:`money` cannot hold it."""
+    return F.col(name).isNotNull() & money(name).isNull()
+
+
 def rounded_ratio(numerator: Column, denominator: Column, digits: int = 2) -> Column:
     """``numerator / denominator`` rounded half up to ``digits``; null when the denominator is 0 or null."""
     scale = 10**digits

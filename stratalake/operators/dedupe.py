@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def business_columns(df: DataFrame, ignore_prefix: str = "_") -> list[str]:
@@ -13,8 +13,8 @@ def business_columns(df: DataFrame, ignore_prefix: str = "_") -> list[str]:
 def dedupe_exact_rows(df: DataFrame, ignore_prefix: str = "_") -> DataFrame:
     """One row per combination of business columns, with the metadata of its latest copy.
 
-    Copies are combined before the shuffle, so a row sent a billion times costs one row per task. Several
-    metadata columns are compared in column order, and all come from the same copy.
+    Several metadata columns are compared in column order, and all come from the same copy. Losers are dropped inside
+    the tasks first (see :func:`keep_latest_per_key`), so a row sent a billion times costs one row per task.
     """
     business = business_columns(df, ignore_prefix)
     metadata = [c for c in df.columns if c not in business]
@@ -22,24 +22,24 @@ def dedupe_exact_rows(df: DataFrame, ignore_prefix: str = "_") -> DataFrame:
         return df.distinct()
     if len(metadata) == 1:
         return df.groupBy(business).agg(F.max(metadata[0]).alias(metadata[0])).select(df.columns)
-    latest = df.groupBy(business).agg(F.max(F.struct(metadata)).alias("__latest"))
-    return latest.select(business + [f"__latest.{c}" for c in metadata]).select(df.columns)
+    return keep_latest_per_key(df, business, metadata[0], metadata[1:])
 
 
 def keep_latest_per_key(
     df: DataFrame,
     key_cols: Sequence[str],
     order_col: str,
-    tie_breakers: Sequence[str] | None = None,
+    tie_breakers: Sequence[str | Column] | None = None,
 ) -> DataFrame:
     """The row with the highest ``order_col`` per key; ties go to the highest ``tie_breakers``.
 
-    Without ``tie_breakers`` all other columns break ties in column order. Then only exact copies can tie and
-    the result does not depend on the order of the input. Spark drops the losers before the shuffle too
+    A tie breaker is a column name, of which the highest value wins and null loses, or a sort order such as
+    ``F.col("x").asc()``. Without any, all other columns break ties in column order. Then only exact copies can tie
+    and the result does not depend on the order of the input. Spark drops the losers before the shuffle too
     (WindowGroupLimit), so a hot key sends at most one row per task.
     """
     if tie_breakers is None:
         tie_breakers = [c for c in df.columns if c != order_col and c not in key_cols]
-    recency = [F.col(c).desc() for c in (order_col, *tie_breakers)]
+    recency = [F.col(c).desc() if isinstance(c, str) else c for c in (order_col, *tie_breakers)]
     position = F.row_number().over(Window.partitionBy(*key_cols).orderBy(*recency))
     return df.withColumn("__position", position).filter(F.col("__position") == 1).drop("__position")

@@ -1,10 +1,12 @@
 """Refresh all tables, from raw files to marts."""
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stratalake.functions.numbers import unreadable_money
 from stratalake.functions.text import tidy_key, unreadable_date
 from stratalake.operators.backfill import group_lookup
 from stratalake.operators.quality import (
@@ -23,6 +25,8 @@ from stratalake.sources import schemas
 from stratalake.sources.raw_csv import new_batch_id, read_raw_csv, with_ingestion_metadata
 from stratalake.sources.scratch import stage
 from stratalake.sources.tables import Layout, replace_table
+from stratalake.streaming.ingest import ingest_new_files
+from stratalake.streaming.upsert import upsert_stream
 
 # The raw files and their schemas. Only the catalogue has no line breaks in its fields.
 RAW_FILES = {
@@ -32,11 +36,20 @@ RAW_FILES = {
 }
 MARTS = ("repair_turnaround", "technician_performance", "repeat_customers", "device_failure_trends")
 JOB_DATES = ("received_date", "promised_date", "completed_date")
+JOB_AMOUNTS = ("estimated_cost", "actual_cost")
 
 
-def load_bronze(spark: SparkSession, layout: Layout, name: str, batch_id: str, strict: bool = False) -> DataFrame:
-    file_name, schema, multi_line = RAW_FILES[name]
-    raw = read_raw_csv(spark, layout.raw_file(file_name), schema, multi_line, strict)
+def load_bronze(
+    spark: SparkSession,
+    layout: Layout,
+    name: str,
+    batch_id: str,
+    strict: bool = False,
+    multi_line: Mapping[str, bool] | None = None,
+) -> DataFrame:
+    """``multi_line`` says by table name whether fields may hold line breaks; a big feed without can then be split."""
+    file_name, schema, by_default = RAW_FILES[name]
+    raw = read_raw_csv(spark, layout.raw_file(file_name), schema, (multi_line or {}).get(name, by_default), strict)
     return with_ingestion_metadata(raw, batch_id=batch_id)
 
 
@@ -50,8 +63,9 @@ def device_checks() -> list[Check]:
 
 def raw_job_checks() -> list[Check]:
     unreadable = [rows_where(f"unreadable_{c}", unreadable_date(c)) for c in JOB_DATES]
+    unreadable += [rows_where(f"unreadable_{c}", unreadable_money(c)) for c in JOB_AMOUNTS]
     unnamed = rows_where("unnamed_technician", tidy_key("technician_id").isNotNull() & tidy_key("technician_name").isNull())
-    return [expect_not_empty(), nulls("job_id"), unnamed, *unreadable]
+    return [expect_not_empty(), rows_where("no_job_id", tidy_key("job_id").isNull()), unnamed, *unreadable]
 
 
 def job_checks() -> list[Check]:
@@ -67,61 +81,141 @@ def job_checks() -> list[Check]:
 
 @dataclass
 class Refresh:
-    """What a run did: the counts of every table's checks."""
+    """What a run did: the counts of every table's checks, and of the rows that were left out on the way."""
 
     batch_id: str
     counts: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
+class _Publisher:
+    """Stores, checks and publishes the tables of a run."""
+
+    def __init__(self, spark: SparkSession, layout: Layout, run: Refresh) -> None:
+        self.spark, self.layout, self.run = spark, layout, run
+
+    def __call__(self, table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
+        self.run.counts[table] = replace_table(df, self.layout, table, checks)
+        return self.spark.table(table)
+
+    def dimensions(self, customers: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Silver customers and devices from bronze. Versions and rows without a key that were left out are counted."""
+        stored = []
+        for name, bronze, key, make, checks in (
+            ("customers", customers, "customer_id", silver.silver_customers, customer_checks()),
+            ("devices", devices, "device_id", silver.silver_devices, device_checks()),
+        ):
+            table = self.layout.silver(name)
+            stored.append(self(table, make(bronze), checks))
+            self.left_out(table, bronze, key)
+        return stored[0], stored[1]
+
+    def left_out(self, table: str, bronze: DataFrame, key: str) -> None:
+        seen = enforce(quality_report(bronze, [rows("received"), rows_where("no_key", tidy_key(key).isNull())]))
+        self.run.counts[table] |= seen | {"superseded": seen["received"] - seen["no_key"] - self.run.counts[table]["rows"]}
+
+    def jobs_and_marts(
+        self, latest: DataFrame, customers: DataFrame, devices: DataFrame, as_of: "dt.date | str | None"
+    ) -> None:
+        """Silver jobs and the marts from the current version of each job, which is read from storage several times."""
+        layout = self.layout
+        technicians = self(
+            layout.silver("technicians"),
+            group_lookup(latest, "technician_id", "technician_name"),
+            [rows(), expect_unique("technician_id"), rows_where("several_names", F.col("value_count") > 1)],
+        )
+        jobs = self(
+            layout.silver("service_jobs"), silver.silver_jobs(latest, customers, devices, as_of, technicians), job_checks()
+        )
+        marts = (
+            gold.repair_turnaround(jobs, devices),
+            gold.technician_performance(jobs),
+            gold.repeat_customers(jobs, customers),
+            gold.device_failures(jobs, devices),
+        )
+        for name, mart in zip(MARTS, marts, strict=True):
+            self(layout.gold(name), mart, [rows()])
+
+
+def refresh_dimensions(
+    spark: SparkSession,
+    layout: Layout,
+    batch_id: str | None = None,
+    strict: bool = False,
+    multi_line: Mapping[str, bool] | None = None,
+) -> Refresh:
+    """Refresh bronze and silver customers and devices."""
+    layout.ensure_schema(spark)
+    run = Refresh(batch_id or new_batch_id())
+    publish = _Publisher(spark, layout, run)
+    bronze = [
+        publish(layout.bronze(name), load_bronze(spark, layout, name, run.batch_id, strict, multi_line), [expect_not_empty()])
+        for name in ("customers", "devices")
+    ]
+    publish.dimensions(*bronze)
+    return run
+
+
 def run_pipeline(
     spark: SparkSession,
     layout: Layout,
     as_of: "dt.date | str | None" = None,
     batch_id: str | None = None,
     strict: bool = False,
+    multi_line: Mapping[str, bool] | None = None,
 ) -> Refresh:
     """Refresh bronze, silver and gold in dependency order.
 
-    Every table is written once, checked, and only then published; the next step reads the published table.
+    Every table is written once, checked, and only then published; the next step reads the published table. Of the versions of
+    a job in the load, the newest wins (:func:`silver.newest_job_first`). Jobs without an id go to a table of their own.
     """
-    layout.ensure_schema(spark)
-    run = Refresh(batch_id or new_batch_id())
+    run = refresh_dimensions(spark, layout, batch_id, strict, multi_line)
+    publish = _Publisher(spark, layout, run)
+    customers, devices = spark.table(layout.silver("customers")), spark.table(layout.silver("devices"))
+    loaded = load_bronze(spark, layout, "service_jobs", run.batch_id, strict, multi_line)
+    bronze = publish(layout.bronze("service_jobs"), loaded, raw_job_checks())
+    publish(layout.silver("service_jobs_without_id"), silver.keyless_jobs(bronze), [rows()])
+    # Stored, as the names, the jobs and the marts all come from it.
+    latest = stage(silver.latest_jobs(bronze), "latest_jobs")
+    publish.jobs_and_marts(latest, customers, devices, as_of)
+    publish.left_out(layout.silver("service_jobs"), bronze, "job_id")
+    return run
 
-    def publish(table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-        run.counts[table] = replace_table(df, layout, table, checks)
-        return spark.table(table)
 
-    bronze = {
-        name: publish(
-            layout.bronze(name),
-            load_bronze(spark, layout, name, run.batch_id, strict),
-            raw_job_checks() if name == "service_jobs" else [expect_not_empty()],
-        )
-        for name in RAW_FILES
-    }
-
-    customers = publish(layout.silver("customers"), silver.silver_customers(bronze["customers"]), customer_checks())
-    devices = publish(layout.silver("devices"), silver.silver_devices(bronze["devices"]), device_checks())
-
-    # The names are looked up in the de-duplicated jobs, so these are stored rather than computed twice. The
-    # lookup is stored too: then its size is known before the join is planned.
-    latest = stage(silver.latest_jobs(bronze["service_jobs"]), "latest_jobs")
-    technicians = stage(group_lookup(latest, "technician_id", "technician_name"), "technicians")
-    run.counts["technicians"] = enforce(
-        quality_report(technicians, [rows(), rows_where("several_names", F.col("value_count") > 1)])
+def run_incremental(
+    spark: SparkSession,
+    layout: Layout,
+    landing: str,
+    checkpoints: str,
+    as_of: "dt.date | str | None" = None,
+    strict: bool = False,
+    multi_line: Mapping[str, bool] | None = None,
+) -> Refresh:
+    """Take in the job files that are new in the folder ``landing``, and refresh silver jobs and marts.
+
+    New files are appended to the bronze files of the layout's storage and checked as a whole there. Their jobs are
+    upserted into the table ``silver_service_jobs_latest``: a later delivery wins, within one the newest version. Silver jobs
+    and marts follow from it as in a full run. Customers and devices are the published ones (:func:`refresh_dimensions`). Two streams
+    with own checkpoints below ``checkpoints`` remember what is done; either can be lost.
+    """
+    layout.ensure_schema(spark)
+    run = Refresh(new_batch_id())
+    publish = _Publisher(spark, layout, run)
+    _, schema, by_default = RAW_FILES["service_jobs"]
+    bronze_path = layout.version_path(layout.bronze("service_jobs_incremental"), "files")
+    ingest_new_files(
+        spark, landing, schema, bronze_path, f"{checkpoints}/bronze", (multi_line or {}).get("service_jobs", by_default), strict
     )
-    jobs = publish(
-        layout.silver("service_jobs"),
-        silver.silver_jobs(latest, customers, devices, as_of, technicians),
-        job_checks(),
+    bronze = spark.read.parquet(bronze_path)
+    run.counts[layout.bronze("service_jobs_incremental")] = enforce(quality_report(bronze, raw_job_checks()))
+
+    changes = silver.standardise_jobs(spark.readStream.schema(bronze.schema).parquet(bronze_path))
+    changes = changes.filter(F.col("job_id").isNotNull()).drop("_query", "_batch_id")
+    table = layout.silver("service_jobs_latest")
+    upsert_stream(
+        changes, layout, table, ["job_id"], "_ingest_ts", f"{checkpoints}/silver", silver.newest_job_first(changes.columns)
     )
-
-    marts = (
-        gold.repair_turnaround(jobs, devices),
-        gold.technician_performance(jobs),
-        gold.repeat_customers(jobs, customers),
-        gold.device_failures(jobs, devices),
+    publish.jobs_and_marts(
+        spark.table(table), spark.table(layout.silver("customers")), spark.table(layout.silver("devices")), as_of
     )
-    for name, mart in zip(MARTS, marts, strict=True):
-        publish(layout.gold(name), mart, [rows()])
+    publish.left_out(layout.silver("service_jobs"), bronze, "job_id")
     return run

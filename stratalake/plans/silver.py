@@ -14,6 +14,10 @@ from stratalake.operators.dedupe import keep_latest_per_key
 from stratalake.operators.references import flag_reference
 
 
+# From the first to the last status that a job goes through.
+STATUS_ORDER = ("Pending", "In Progress", "Cancelled", "Completed")
+
+
 def standardise_customers(bronze: DataFrame) -> DataFrame:
     """Tidy text and typed registration date; rows without a key are left out."""
     return bronze.withColumns(
@@ -77,13 +81,27 @@ def silver_devices(bronze: DataFrame) -> DataFrame:
     return _stamped(keep_latest_per_key(standardise_devices(bronze), ["device_id"], "_ingest_ts"))
 
 
-def latest_jobs(bronze: DataFrame, tie_breakers: Sequence[str] | None = None) -> DataFrame:
-    """The current version of each job. Exact copies share the job's key, so they go in the same step.
+def newest_job_first(columns: Sequence[str]) -> list[str | Column]:
+    """Which of two versions of a job in one load is newer: the one with the later completion date, then the one whose
+    status is further on, then the higher one in the other columns."""
+    progress = F.coalesce(F.array_position(F.array(*map(F.lit, STATUS_ORDER)), F.col("job_status")), F.lit(0))
+    others = [c for c in columns if c not in ("job_id", "completed_date", "job_status") and c[0] != "_"]
+    return [F.col("completed_date").desc_nulls_last(), progress.desc(), *others, "job_status"]
+
 
-    By default all columns break ties between versions of one load. Name the columns that tell versions apart
-    where they are known: a query that needs few columns then shuffles few.
+def latest_jobs(bronze: DataFrame, tie_breakers: Sequence[str | Column] | None = None) -> DataFrame:
+    """The current version of each job that has an id. Exact copies share the job's key, so they go in the same step.
+
+    By default :func:`newest_job_first` tells versions of one load apart. Name the columns that do where they are known:
+    a query that needs few columns then shuffles few. :func:`keyless_jobs` has the rows without an id.
     """
-    return keep_latest_per_key(standardise_jobs(bronze), ["job_id"], "_ingest_ts", tie_breakers)
+    jobs = standardise_jobs(bronze).filter(F.col("job_id").isNotNull())
+    return keep_latest_per_key(jobs, ["job_id"], "_ingest_ts", newest_job_first(jobs.columns) if tie_breakers is None else tie_breakers)
+
+
+def keyless_jobs(bronze: DataFrame) -> DataFrame:
+    """The jobs without an id, null or blank: nobody can say which of them are one job, so they stay out of silver."""
+    return bronze.filter(tidy_key("job_id").isNull())
 
 
 def backfill_technician_names(jobs: DataFrame, technicians: DataFrame | None = None) -> DataFrame:

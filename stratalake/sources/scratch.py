@@ -1,23 +1,30 @@
 """Folders for intermediate results."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_chosen: dict[str, str] = {}
+
+
+def use_scratch(spark: SparkSession, folder: str) -> None:
+    """Name the shared folder of an application whose cluster names none. The cluster's own setting goes first."""
+    _chosen.setdefault(spark.sparkContext.applicationId, folder)
+
+
+def has_scratch(spark: SparkSession) -> bool:
+    return bool(spark.conf.get(_SETTING, None) or _chosen.get(spark.sparkContext.applicationId))
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder name below the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting, such as a unit test, uses a temporary folder of the machine.
+    The setting is required. Where it is unset, :func:`use_scratch` can name a folder for the application.
     """
-    root = spark.conf.get(_SETTING, None)
+    root = spark.conf.get(_SETTING, None) or _chosen.get(spark.sparkContext.applicationId)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="stratalake-")
+        raise ValueError(f"set {_SETTING} to a folder that all executors share")
     return f"{root.rstrip('/')}/stratalake/{purpose}-{uuid.uuid4().hex}"
 
 

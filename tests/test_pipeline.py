@@ -1,9 +1,12 @@
+from dataclasses import replace
+
 import pytest
 
 from stratalake.operators.quality import DataQualityError
-from stratalake.plans.pipeline import run_pipeline
+from stratalake.plans import gold
+from stratalake.plans.pipeline import run_incremental, run_pipeline
 from stratalake.sources.tables import Layout
-from tests.helpers import d, rows
+from tests.helpers import d, plan, rows
 
 CUSTOMERS = """customer_id,customer_name,phone_number,email,city,registration_date
  C1 ,Kiran , 98,K@X.COM,new delhi,2022-08-12
@@ -22,6 +25,7 @@ twice",10.5,12.25
 J2, C1,D2,Screen,in progress,2024-01-11,2024-01-12,,T1 ,,,5,
 J3,C9,D1,Fan,Completed,2024-01-03,2024-01-09,2024-01-04,T2,,,5,7
 J4,C2,D9,Fan,Cancelled,n/a,2024-01-09,,,,,5,
+  ,C2,D9,Fan,Cancelled,,,,,,,1e30,
 """
 
 
@@ -51,7 +55,7 @@ def state(spark, layout):
 def test_raw_files_to_marts(spark, site):
     _, layout = site
     run = run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B1")
-    assert spark.table(layout.bronze("service_jobs")).count() == 5
+    assert spark.table(layout.bronze("service_jobs")).count() == 6
 
     assert rows(spark.table(layout.silver("customers")), "customer_id", "email", "city", "registration_date") == [
         ("C1", "k@x.com", "New Delhi", d("2022-08-12")),
@@ -71,6 +75,9 @@ def test_raw_files_to_marts(spark, site):
 
     assert run.counts[layout.silver("service_jobs")] == {
         "rows": 4,
+        "received": 6,
+        "no_key": 1,
+        "superseded": 1,
         "unique_job_id": 0,
         "turnaround_not_negative": 0,
         "null_technician_name": 2,
@@ -78,8 +85,8 @@ def test_raw_files_to_marts(spark, site):
         "orphan_device": 1,
     }
     bronze = run.counts[layout.bronze("service_jobs")]
-    assert (bronze["not_empty"], bronze["unnamed_technician"], bronze["unreadable_received_date"]) == (5, 2, 1)
-    assert run.counts["technicians"] == {"rows": 1, "several_names": 0}
+    assert (bronze["not_empty"], bronze["unnamed_technician"], bronze["unreadable_received_date"]) == (6, 2, 1)
+    assert run.counts[layout.silver("technicians")] == {"rows": 1, "unique_technician_id": 0, "several_names": 0}
     # Every valid job is in the marts that it belongs to.
     gold = layout.gold
     assert spark.table(gold("technician_performance")).selectExpr("sum(total_jobs_assigned)").first()[0] == 3
@@ -101,7 +108,7 @@ def test_bad_deliveries_do_not_replace_good_tables(spark, site):
     (raw / "service_jobs.csv").write_text(JOBS.splitlines()[0] + "\n")
     with pytest.raises(DataQualityError, match="not_empty = 0"):
         run_pipeline(spark, layout, as_of="2024-02-01")
-    assert spark.table(layout.bronze("service_jobs")).count() == 5
+    assert spark.table(layout.bronze("service_jobs")).count() == 6
 
     (raw / "service_jobs.csv").write_text(JOBS.replace("2024-01-04", "2024-01-02"))
     with pytest.raises(DataQualityError, match="turnaround_not_negative = 1"):
@@ -114,3 +121,65 @@ def test_strict_loads_refuse_malformed_rows(spark, site):
     (raw / "devices.csv").write_text(DEVICES + "D3,Acme,TV,M3,a year,Budget\n")
     with pytest.raises(Exception, match="(?i)malformed|failfast"):
         run_pipeline(spark, layout, as_of="2024-02-01", strict=True)
+
+
+def test_the_newest_state_of_a_load_wins(spark, site):
+    raw, layout = site
+    (raw / "service_jobs.csv").write_text(
+        JOBS
+        + "J2,C1,D2,Screen,Completed,2024-01-11,2024-01-12,2024-01-12,T1,,,5,6\n"
+        + "J5,C1,D2,Screen,Pending,2024-01-11,2024-01-12,,T1,,,5,\nJ5,C1,D2,Screen,In Progress,2024-01-11,2024-01-12,,T1,,,4,\n"
+    )
+    run_pipeline(spark, layout, as_of="2024-02-01")
+    jobs = spark.table(layout.silver("service_jobs")).filter("job_id in ('J2', 'J5')")
+    assert rows(jobs, "job_id", "job_status", "completed_date") == [("J2", "Completed", d("2024-01-12")), ("J5", "In Progress", None)]
+
+
+def test_large_amounts_reach_the_marts_and_lost_ones_are_counted(spark, site):
+    raw, layout = site
+    (raw / "service_jobs.csv").write_text(JOBS.replace("12.25", "123456789012.5"))
+    run = run_pipeline(spark, layout, as_of="2024-02-01")
+    revenue = spark.table(layout.gold("technician_performance")).filter("technician_id = 'T1'").first()
+    assert revenue.total_revenue_generated == 123456789012.5
+    counts = run.counts[layout.bronze("service_jobs")]
+    assert (counts["unreadable_estimated_cost"], counts["unreadable_actual_cost"], counts["no_job_id"]) == (1, 0, 1)
+    assert spark.table(layout.silver("service_jobs_without_id")).count() == 1
+
+
+def test_incremental_runs_equal_one_full_run(spark, site, tmp_path):
+    raw, layout = site
+    lines = JOBS.replace('"said ""ok"",\ntwice"', "said ok").splitlines()
+    (raw / "service_jobs.csv").write_text("\n".join(lines) + "\n")
+    run_pipeline(spark, layout, as_of="2024-02-01")
+    full = state(spark, layout)
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    for name, part in (("a", lines[1:3]), ("b", lines[3:])):
+        (landing / f"{name}.csv").write_text("\n".join([lines[0], *part]) + "\n")
+        run = run_incremental(spark, layout, str(landing), f"{tmp_path}/checkpoints", as_of="2024-02-01")
+    assert state(spark, layout) == full
+    counts = run.counts[layout.silver("service_jobs")]
+    assert (counts["rows"], counts["received"], counts["superseded"]) == (4, 6, 1)
+    # Lost checkpoints change nothing.
+    run_incremental(spark, layout, str(landing), f"{tmp_path}/new_checkpoints", as_of="2024-02-01")
+    assert state(spark, layout) == full
+
+
+def test_partitioned_tables_are_pruned(spark, site):
+    raw, layout = site
+    layout = replace(layout, partition_by={"gold_repair_turnaround": ("completion_month",)})
+    run_pipeline(spark, layout, as_of="2024-02-01", multi_line={"service_jobs": True})
+    mart = spark.table(layout.gold("repair_turnaround")).filter("completion_month = date'2024-01-01'")
+    assert "PartitionFilters: [isnotnull(completion_month" in plan(mart) and mart.count() == 2
+
+
+def test_the_turnaround_mart_joins_sums(spark, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1"})
+    jobs = spark.range(1000).selectExpr(
+        "true as is_completed", "date'2024-01-01' as completed_date", "'x' as issue_type", "cast(id % 3 as string) as device_id",
+        "cast(id % 9 as int) as turnaround_days", "false as is_overdue", "cast(1 as decimal(20,2)) as actual_cost",
+    )
+    devices = spark.range(3).selectExpr("cast(id as string) as device_id", "'TV' as device_type")
+    steps = plan(gold.repair_turnaround(jobs, devices)).split("\n\n")[0]
+    # Bottom up: the jobs are added up, in their tasks and then by shuffle, before the join.
+    assert steps.rindex("HashAggregate") > steps.index("SortMergeJoin")

@@ -61,3 +61,15 @@ def test_profile_counts_nulls_values_and_copies(spark):
     )
     columns = ("column_name", "row_count", "null_count", "distinct_count", "duplicate_rows")
     assert rows(profile(df), *columns) == [("k", 5, 1, 2, 2), ("v", 5, 2, 1, 2)]
+
+
+def test_profile_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "k string, v int, _load int")
+    for approximate in (False, True):
+        assert rows(profile(df, approximate=approximate)) == [("k", 0, 0, 0, 0), ("v", 0, 0, 0, 0)]
+
+
+def test_profile_tells_null_from_empty_and_estimates_on_request(spark):
+    df = spark.createDataFrame([("", None), (None, ""), ("", None), ("a", "b")], "k string, v string")
+    wanted = [("k", 4, 1, 2, 1), ("v", 4, 2, 2, 1)]
+    assert rows(profile(df)) == wanted == rows(profile(df, approximate=True))

@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.functions.numbers import count_true, money, percent, rounded_ratio
+from stratalake.functions.numbers import count_true, money, percent, rounded_ratio, unreadable_money
 from stratalake.functions.text import iso_date, tidy, tidy_key, title_case, unreadable_date
 
 
@@ -43,10 +43,11 @@ def test_dates_in_iso_form_only_and_never_an_error(spark, raw, expected, bad):
 
 @pytest.mark.parametrize(
     "raw, expected",
-    [(10.1, Decimal("10.10")), (1.005, Decimal("1.01")), (float("nan"), None), (1e15, None), (None, None)],
+    [(10.1, Decimal("10.10")), (1.005, Decimal("1.01")), (float("nan"), None), (123456789012.5, Decimal("123456789012.50")), (1e15, Decimal("1e15")), (1e19, None), (float("inf"), None), (None, None)],
 )
-def test_money_is_exact_and_unfit_numbers_are_null(spark, raw, expected):
+def test_money_is_exact_and_unfit_numbers_are_null_and_counted(spark, raw, expected):
     assert one(spark, raw, money("x"), "double") == expected
+    assert one(spark, raw, unreadable_money("x"), "double") == (raw is not None and expected is None)
 
 
 @pytest.mark.parametrize(

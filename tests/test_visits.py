@@ -13,6 +13,8 @@ def brute_force(data):
         visits = sorted((v for v in data if v[1] == customer), key=lambda v: (v[2] is not None, v[2] or d("2024-01-01"), v[0]))
         previous = None
         for job, _, day in visits:
+            if customer is None:
+                previous = None  # visits of nobody
             gap = (day - previous).days if day and previous else None
             result.append((job, customer, day, previous, gap))
             previous = day
