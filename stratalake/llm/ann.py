@@ -72,7 +72,11 @@ class CollisionIndex:
 
     def scores(self, query: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Exact inner products, summed from the first component to the last."""
-        return np.add.reduce(self.by_component[:, rows] * query[:, None], axis=0)
+        products = np.take(self.by_component, rows, axis=1) * query[:, None]
+        total = products[0].copy()
+        for line in products[1:]:
+            total += line
+        return total
 
     def collisions(self, own: np.ndarray, half: float) -> np.ndarray:
         """In how many of the windows around a query each vector lies. Binary search in the sorted arrays gives a window's

@@ -78,7 +78,81 @@ select doc_id, size, source_size, target,
 from placed
 """
 
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+#: Links by counting shared shingles of every pair that shares one; components by passing on the smallest id.
+_NEAR = rf"""
+with recursive words as (
+    select doc_id, {_WORDS.format("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} as w from documents
+),
+shingles as (
+    select distinct doc_id, unnest(case len(w) when 0 then [] when 1 then [w[1]]
+        else list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) end) as shingle
+    from words
+),
+sizes as (select doc_id, count(*) as n from shingles group by 1),
+shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+),
+links as (
+    select a, b from shared s join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * s.n >= 80 * (x.n + y.n - s.n)
+),
+both_ways as (select a, b from links union all select b, a from links),
+reach as (
+    select doc_id, doc_id as other from documents
+    union
+    select r.doc_id, l.b from reach r join both_ways l on r.other = l.a
+),
+smallest as (select doc_id, min(other) as component_id from reach group by 1)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, component_id, component_id = d.doc_id as kept
+from documents d join smallest using (doc_id) left join sizes s using (doc_id)
+"""
+
+_REPEATED_WORDS = rf"""
+with words as (select doc_id, coalesce({_WORDS.format('text')}, []) as w from documents),
+windows as (
+    select doc_id, i, array_to_string(w[i : i + 12], ' ') as said
+    from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from words) places
+),
+firsts as (select said, min(doc_id) as first_doc from windows group by 1),
+gone as (
+    select distinct doc_id, unnest(range(i, i + 13)) as place
+    from windows join firsts using (said) where first_doc < doc_id
+),
+kept as (
+    select doc_id, p.place, p.word
+    from (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from words) p
+    anti join gone g using (doc_id, place)
+),
+left_over as (select doc_id, count(*) as n, string_agg(word, ' ' order by place) as said from kept group by 1)
+select doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0) as bigint) as n_removed,
+    sha256(coalesce(said, '')) as kept_sha256
+from words left join left_over using (doc_id)
+"""
+
+#: The exact neighbours. The operator finds them all at the sizes at which SQL is compared.
+_NEAREST = r"""
+with vectors as (
+    select vec_id, embedding::double[] as v from embeddings
+    where vec_id is not null and embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+scored as (
+    select q.vec_id as query_id, c.vec_id,
+        list_reduce(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]), lambda a, b: a + b) as score
+    from vectors q join vectors c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+)
+select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score
+from scored qualify rank <= 20
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_minhash_dedup": _NEAR,
     "op2_mix_sources": _MIX,
     "op6_chat_formatting": _CHATS,
+    "op7_substring_dedup": _REPEATED_WORDS,
+    "op8_nearest_neighbours": _NEAREST,
 }

@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         duck.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     wanted = duck.execute(f"select {', '.join(df.columns)} from ({ORACLES[name]})").fetchall()
