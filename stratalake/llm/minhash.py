@@ -29,6 +29,8 @@ BANDS, ROWS = 30, 5
 PERMUTATIONS = BANDS * ROWS
 #: Pairs whose signatures agree in fewer places cannot, for all practical purposes, reach the similarity asked for.
 SLACK = 0.2
+#: Size of the filter that keeps unwanted texts out of a shuffle.
+FILTER_BUCKETS = 1 << 20
 #: Classes of a component, and classes sent to it, that one task compares at a time.
 BLOCK = 512
 
@@ -184,11 +186,18 @@ def near_duplicates(
 
 
 def _texts_of(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
-    """``cls, text`` (binary): for the wanted classes, the text of their document with the smallest id and hash."""
+    """``cls, text`` (binary): for the wanted classes, the text of their document with the smallest id and hash.
+
+    Most texts are not wanted. They are left out before the shuffle by a filter of bounded size: whether any wanted row falls
+    in the same of FILTER_BUCKETS buckets. The wanted rows themselves grow with the corpus and are never broadcast.
+    """
+    bucket = lambda doc_id, text_hash: F.pmod(F.xxhash64(doc_id, text_hash), F.lit(FILTER_BUCKETS)).cast("int")
     chosen = classes.select("cls", "doc_id", "text_hash").join(wanted, "cls", "left_semi")
     chosen = stage(chosen.withColumnsRenamed({"doc_id": "of_doc", "text_hash": "of_hash"}), "minhash_chosen")
+    filled = F.broadcast(chosen.select(bucket("of_doc", "of_hash").alias("bucket")).distinct())
+    likely = texts.withColumn("bucket", bucket("doc_id", "text_hash")).join(filled, "bucket", "left_semi")
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_hash") == F.col("of_hash"))
-    found = texts.join(chosen, same).select("cls", F.col("text").cast("binary").alias("text"))
+    found = likely.join(chosen.hint("merge"), same).select("cls", F.col("text").cast("binary").alias("text"))
     return found.dropDuplicates(["cls"])
 
 
