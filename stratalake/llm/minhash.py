@@ -218,7 +218,8 @@ def _cross_links(members: DataFrame, roots: DataFrame, texts: DataFrame, n: int,
     visitors = stage(rooted.join(mixed, "bucket").where("root <> home").select("home", "cls", "root").distinct(), "minhash_visitors")
     homes = visitors.select("home").distinct()
     owners = roots.select("root", F.col("node").alias("cls")).join(homes.withColumnRenamed("home", "root"), "root")
-    alone = homes.join(roots.select(F.col("root").alias("home")), "home", "left_anti").select("home", F.col("home").alias("cls"), F.col("home").alias("root"))
+    lonely = homes.join(roots.select(F.col("root").alias("home")), "home", "left_anti")
+    alone = lonely.select("home", F.col("home").alias("cls"), F.col("home").alias("root"))
     own = owners.select(F.col("root").alias("home"), "cls", "root").union(alone)
     targets = stage(own.union(visitors), "minhash_targets")
 
