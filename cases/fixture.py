@@ -78,7 +78,8 @@ def _project(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    # By order, as a join with a large table of orders needs it. A file of one row group would else keep one task busy.
+    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
     orders = table(spark, sf_dir, "orders")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
