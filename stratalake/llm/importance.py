@@ -71,11 +71,13 @@ def count_ngrams(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ngrams, total, of_target = Ngrams(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for text, is_target in zip(batch.column(0), batch.column(1)):
-                counts = np.bincount(ngrams.buckets(text.as_py()), minlength=BUCKETS)
-                total += counts
-                if is_target.as_py():
-                    of_target += counts
+            for start, end in text_slices(batch.column(0), 1_000_000):
+                rows = batch.slice(start, end - start)
+                found = [ngrams.buckets(text.as_py()) for text in rows.column(0)]
+                total += np.bincount(np.concatenate(found), minlength=BUCKETS)
+                good = [x for x, own in zip(found, rows.column(1).to_pylist()) if own]
+                if good:
+                    of_target += np.bincount(np.concatenate(good), minlength=BUCKETS)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, total[seen], of_target[seen])], ["bucket", "n", "n_target"])
 
