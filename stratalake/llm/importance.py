@@ -5,12 +5,17 @@ of all raw text. A document's importance weight is the ratio of its probabilitie
 without replacement in proportion to their weights, by the Gumbel top-k trick: log weight plus Gumbel noise, the k
 largest stay.
 
-The raw model counts every document, and so does the search for the k-th largest. The target model is fitted on at most
-TARGET_SAMPLE labelled documents, whose ids can so be broadcast: no text is shuffled. Only the two models come to the
-driver: BUCKETS numbers each, whatever the input.
+A third and a fourth model judge toxicity: in how many documents labelled toxic, and in how many labelled not toxic, each hashed
+word occurs. A document is as toxic as its TOXIC_WORDS most telling words, however long it is; documents above the
+cut have no chance to be drawn.
+
+The raw model counts every document, and so does the search for the k-th largest. The other models are fitted on at most
+TARGET_SAMPLE labelled documents of each kind, whose ids can so be broadcast: no text is shuffled. Only the models come to the
+driver: BUCKETS or WORD_BUCKETS numbers each, whatever the input.
 """
 
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,13 +27,23 @@ from stratalake.llm.common import WordHashes, id_and_text, mix, text_slices, uni
 from stratalake.sources.scratch import stage
 
 BUCKETS = 1 << 16
-#: Good labelled documents that the target model counts at most: those with the smallest hash of their id.
+#: Labelled documents of each kind that are counted at most: those with the smallest hash of their id.
 TARGET_SAMPLE = 200_000
 #: The target model starts from the raw one, as if it had seen so many n-grams of each bucket where the raw model would expect
 #: them. Rarely seen buckets so tell little.
 PRIOR = 5.0
 #: Share of the target documents whose weight lies above the cut that sets the number of kept documents.
 TARGET_KEPT = 0.995
+#: Buckets of the words that tell toxic documents. Single words matter here, so few of them may share a bucket.
+WORD_BUCKETS = 1 << 20
+#: Words of a document whose log ratios add up to its toxicity: those with the largest ones.
+TOXIC_WORDS = 3
+#: Documents that a word is taken to have been seen in besides those counted, in both models alike.
+WORD_PRIOR = 1.0
+#: Share of the target documents that may lie above the cut for toxicity.
+CLEAN_LOST = 0.005
+#: Kinds of labelled documents: good and not toxic, toxic, neither.
+TARGET, TOXIC, OTHER = 1, 2, 3
 #: Bins of one round of the search for the k-th largest key, and keys that may come to the driver at its end.
 SEARCH_BINS = 4096
 
@@ -38,6 +53,7 @@ _CLASSES = bytes(
     for b in range(256)
 )
 _RUN = re.compile(rb"(.)\1+", re.DOTALL)
+_PUNCTUATION = string.punctuation.encode()
 
 
 class _Shapes(WordHashes):
@@ -50,11 +66,25 @@ class _Shapes(WordHashes):
         return value
 
 
+class _Plain(WordHashes):
+    """Hash of a word with A-Z in lower case and without punctuation around it."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[word] = xxhash.xxh3_64_intdigest(word.strip(_PUNCTUATION).lower() or word, 2)
+        return value
+
+
 class Ngrams:
-    """Buckets of a text's n-grams: words, word pairs, word shapes, pairs of shapes, and whether a word repeats the one before."""
+    """Buckets of a text's n-grams: words, word pairs, word shapes, pairs of shapes, and whether a word repeats the one before;
+    and, apart, the buckets of its distinct words."""
 
     def __init__(self) -> None:
-        self.words, self.shapes = WordHashes(), _Shapes()
+        self.words, self.shapes, self.plain = WordHashes(), _Shapes(), _Plain()
+
+    def distinct_words(self, text: bytes) -> np.ndarray:
+        return np.unique(self.plain.of(list(set(text.split()))) % np.uint64(WORD_BUCKETS)).astype(np.int64)
 
     def buckets(self, text: bytes) -> np.ndarray:
         split = text.split()
@@ -64,28 +94,53 @@ class Ngrams:
         return (np.concatenate([words, shapes, *of_pairs, mix(again)]) % np.uint64(BUCKETS)).astype(np.int64)
 
 
-def count_ngrams(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of each bucket over all rows of (``text`` binary, ``is_target``), and over those of the target. A task sends
-    BUCKETS rows at most, and as many sums come to the driver."""
+class Models:
+    """What is counted: n-grams of all rows and of the target, and rows that hold a word among the toxic and the clean ones."""
+
+    def __init__(self) -> None:
+        self.raw, self.target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        self.toxic, self.clean = np.zeros(WORD_BUCKETS, np.int32), np.zeros(WORD_BUCKETS, np.int32)
+        self.n_toxic = self.n_clean = 0
+
+
+def count_ngrams(texts: DataFrame) -> Models:
+    """Counts over all rows of (``text`` binary, ``label``). A task sends BUCKETS and WORD_BUCKETS rows at most, and
+    as many sums come to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ngrams, total, of_target = Ngrams(), np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        ngrams, own = Ngrams(), Models()
         for batch in batches:
             for start, end in text_slices(batch.column(0), 1_000_000):
                 rows = batch.slice(start, end - start)
+                labels = rows.column(1).to_pylist()
                 found = [ngrams.buckets(text.as_py()) for text in rows.column(0)]
-                total += np.bincount(np.concatenate(found), minlength=BUCKETS)
-                good = [x for x, own in zip(found, rows.column(1).to_pylist()) if own]
+                own.raw += np.bincount(np.concatenate(found), minlength=BUCKETS)
+                good = [x for x, label in zip(found, labels) if label == TARGET]
                 if good:
-                    of_target += np.bincount(np.concatenate(good), minlength=BUCKETS)
-        seen = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (seen, total[seen], of_target[seen])], ["bucket", "n", "n_target"])
+                    own.target += np.bincount(np.concatenate(good), minlength=BUCKETS)
+                for text, label in zip(rows.column(0), labels):
+                    if label is not None:
+                        (own.toxic if label == TOXIC else own.clean)[ngrams.distinct_words(text.as_py())] += 1
+                own.n_toxic += labels.count(TOXIC)
+                own.n_clean += labels.count(TARGET) + labels.count(OTHER)
+        # The numbers of rows go where no bucket is.
+        words = [np.r_[own.toxic, own.n_toxic].astype(np.int64), np.r_[own.clean, own.n_clean].astype(np.int64)]
+        for of_words, (x, y) in ((False, (own.raw, own.target)), (True, words)):
+            seen = np.flatnonzero(x + y)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(seen), of_words)), *(pa.array(c) for c in (seen, x[seen], y[seen]))],
+                ["of_words", "bucket", "x", "y"],
+            )
 
-    sums = texts.mapInArrow(count, "bucket long, n long, n_target long").groupBy("bucket").agg(F.sum("n"), F.sum("n_target"))
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for bucket, n, n_target in sums.collect():
-        raw[bucket], target[bucket] = n, n_target
-    return raw, target
+    counted = texts.mapInArrow(count, "of_words boolean, bucket long, x long, y long")
+    sums = counted.groupBy("of_words", "bucket").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toArrow()
+    of_words, bucket, x, y = (c.to_numpy() for c in sums.columns)
+    models = Models()
+    ngrams, words, rows = ~of_words, of_words & (bucket < WORD_BUCKETS), of_words & (bucket == WORD_BUCKETS)
+    models.raw[bucket[ngrams]], models.target[bucket[ngrams]] = x[ngrams], y[ngrams]
+    models.toxic[bucket[words]], models.clean[bucket[words]] = x[words], y[words]
+    models.n_toxic, models.n_clean = int(x[rows].sum()), int(y[rows].sum())
+    return models
 
 
 def log_ratio(buckets: np.ndarray, target: np.ndarray, raw: np.ndarray, is_target: bool) -> float:
@@ -100,34 +155,53 @@ def log_ratio(buckets: np.ndarray, target: np.ndarray, raw: np.ndarray, is_targe
     return float(n @ np.log((np.maximum(target[at] - own, 0) + PRIOR) / (expected + PRIOR)))
 
 
+def toxic_ratio(words: np.ndarray, models: Models, label: int | None) -> float:
+    """Sum of the TOXIC_WORDS largest log ratios of the share of toxic to that of clean documents that hold a word. The text itself
+    is taken out of the counts that hold it."""
+    own_toxic, own_clean = int(label == TOXIC), int(label in (TARGET, OTHER))
+    n_toxic, n_clean = models.n_toxic - own_toxic, models.n_clean - own_clean
+    if not len(words) or n_toxic <= 0 or n_clean <= 0:
+        return 0.0
+    expected = (models.clean[words] - own_clean) * (n_toxic / n_clean)
+    ratios = np.log((models.toxic[words] - own_toxic + WORD_PRIOR) / (expected + WORD_PRIOR))
+    return float(np.sort(ratios)[-TOXIC_WORDS:].sum())
+
+
+def _labelled(labels: DataFrame, sample: int) -> DataFrame:
+    """``doc_id, label``: ``sample`` documents of each kind at most. Of several labels of a document the worst counts."""
+    kind = F.when(F.col("toxic") == 1, TOXIC).when(F.col("toxic") == 0, F.when(F.col("quality") == 1, TARGET).otherwise(OTHER))
+    worst = (
+        labels.where("doc_id is not null")
+        .groupBy("doc_id")
+        .agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
+    )
+    every = stage(worst.select(F.col("doc_id").cast("long").alias("doc_id"), kind.alias("label")), "importance_labels")
+    some = [every.where(F.col("label") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for x in (TARGET, TOXIC, OTHER)]
+    return stage(some[0].union(some[1]).union(some[2]), "importance_target")
+
+
 def importance(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", sample: int = TARGET_SAMPLE
 ) -> DataFrame:
-    """One row per input row: ``doc_id, text_hash, is_target, n_ngrams, log_weight``, stored in the scratch folder.
+    """One row per input row: ``doc_id, text_hash, is_target, n_ngrams, log_weight, toxic_ratio``, stored in the scratch folder.
 
     The target are documents whose labels say quality 1 and toxic 0 (a null toxic counts as 0), ``sample`` at most. No
     document is weighed by its own n-grams, or those of the target would weigh more than others alike. Without a
-    target, and for texts without words, the log weight is 0.
+    target, and for texts without words, the log weight is 0. ``toxic_ratio`` compares documents labelled toxic with
+    those labelled not toxic, ``sample`` at most of each kind; without one of them, and for texts without words, it is 0.
     """
-    good = (
-        labels.where("doc_id is not null")
-        .groupBy("doc_id")
-        .agg(F.min("quality").alias("quality"), F.max(F.coalesce("toxic", F.lit(0))).alias("toxic"))
-        .where("quality = 1 and toxic = 0")
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(sample)
-        .select(F.col("doc_id").cast("long"), F.lit(True).alias("is_target"))
-    )
-    good = stage(good, "importance_target")
     # The sample is bounded by a parameter, so it can be broadcast.
-    texts = id_and_text(docs, id_column, text_column).join(F.broadcast(good), "doc_id", "left")
+    labelled = F.broadcast(_labelled(labels, sample))
+    texts = id_and_text(docs, id_column, text_column).join(labelled, "doc_id", "left")
     texts = texts.select(
         "doc_id",
         F.xxhash64("text").alias("text_hash"),
-        F.coalesce("is_target", F.lit(False)).alias("is_target"),
+        F.coalesce(F.col("label") == TARGET, F.lit(False)).alias("is_target"),
         F.col("text").cast("binary").alias("text"),
+        "label",
     )
-    raw, target = count_ngrams(texts.select("text", "is_target"))
+    models = count_ngrams(texts.select("text", "label"))
+    raw, target = models.raw.astype(float), models.target.astype(float)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ngrams = Ngrams()
@@ -136,12 +210,21 @@ def importance(
                 rows = batch.slice(start, end - start)
                 found = [ngrams.buckets(text.as_py()) for text in rows.column(3)]
                 ratios = [log_ratio(x, target, raw, own.as_py()) for x, own in zip(found, rows.column(2))]
+                toxic = [
+                    toxic_ratio(ngrams.distinct_words(text.as_py()), models, label.as_py())
+                    for text, label in zip(rows.column(3), rows.column(4))
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:3], pa.array([len(x) for x in found], pa.int64()), pa.array(ratios, pa.float64())],
-                    ["doc_id", "text_hash", "is_target", "n_ngrams", "log_weight"],
+                    [
+                        *rows.columns[:3],
+                        pa.array([len(x) for x in found], pa.int64()),
+                        pa.array(ratios, pa.float64()),
+                        pa.array(toxic, pa.float64()),
+                    ],
+                    ["doc_id", "text_hash", "is_target", "n_ngrams", "log_weight", "toxic_ratio"],
                 )
 
-    schema = "doc_id long, text_hash long, is_target boolean, n_ngrams long, log_weight double"
+    schema = "doc_id long, text_hash long, is_target boolean, n_ngrams long, log_weight double, toxic_ratio double"
     return stage(texts.mapInArrow(weigh, schema), "importance")
 
 
@@ -178,23 +261,29 @@ def resample(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """One row per input row: ``doc_id, text_hash, n_ngrams, log_weight, key, kept``.
+    """One row per input row: ``doc_id, text_hash, n_ngrams, log_weight, toxic_ratio, key, kept``.
+
+    Toxic documents are rejected first: those whose ``toxic_ratio`` is larger than that of all but ``CLEAN_LOST`` of the target.
+    Their ``key`` is minus infinity, and they are not kept even if fewer than ``k`` others are left.
 
-    ``key`` is the log weight plus Gumbel noise; the ``k`` largest keys are kept, and rows that tie with the k-th, such as repeated
-    rows. Without ``k`` it is the number of documents that weigh at least as much as all but the lightest
-    ``1 - TARGET_KEPT`` of the target; without a target, all. Noise depends on id and text only, so reruns
+    ``key`` is else the log weight plus Gumbel noise; the ``k`` largest keys are kept, and rows that tie with the k-th, such as repeated
+    rows. Without ``k`` it is the number of documents that are not rejected and weigh at least as much as all but the lightest
+    ``1 - TARGET_KEPT`` of the target; without a target, all, and none is rejected. Noise depends on id and text only, so reruns
     agree. Rows with null ids take part; an empty table gives no rows; other columns are ignored.
     """
     weighed = importance(docs, labels, id_column, text_column)
+    of_target = weighed.where("is_target")
+    n_target = of_target.count()
+    most = kth_largest(of_target, "toxic_ratio", int(n_target * CLEAN_LOST) + 1) if n_target else float("inf")
+    toxic = F.col("toxic_ratio") > most
     u = uniform(F.lit(seed), F.col("doc_id"), F.col("text_hash"))
-    keyed = weighed.withColumn("key", F.col("log_weight") - F.log(-F.log(u)))
+    keyed = weighed.withColumn("key", F.when(toxic, F.lit(float("-inf"))).otherwise(F.col("log_weight") - F.log(-F.log(u))))
     if k is None:
-        of_target = weighed.where("is_target")
-        n_target = of_target.count()
         if n_target:
             cut = kth_largest(of_target, "log_weight", max(1, round(n_target * TARGET_KEPT)))
-            k = weighed.where(F.col("log_weight") >= cut).count()
+            k = weighed.where((F.col("log_weight") >= cut) & ~toxic).count()
         else:
             k = weighed.count()
-    least = kth_largest(keyed, "key", k) if k > 0 else float("inf")
-    return keyed.select("doc_id", "text_hash", "n_ngrams", "log_weight", "key", (F.col("key") >= least).alias("kept"))
+    least = kth_largest(keyed.where(~toxic), "key", k) if k > 0 else float("inf")
+    kept = (F.col("key") >= least) & ~toxic
+    return keyed.select("doc_id", "text_hash", "n_ngrams", "log_weight", "toxic_ratio", "key", kept.alias("kept"))

@@ -117,6 +117,29 @@ def test_resampling_on_held_out_documents(spark):
     assert np.mean([kept for kept, quality in judged if quality == 0]) < 0.1
 
 
+def test_held_out_toxic_documents_are_rejected(spark):
+    """Also those of good quality, of which only a few words are toxic."""
+    labels = read(spark, "/root/testdata/sf0.1", "labels")
+    truth = {r.doc_id: (r.quality, r.toxic) for r in labels.where("doc_id % 2 = 1").collect()}
+    found = resample(read(spark, "/root/testdata/sf0.1", "documents"), labels.where("doc_id % 2 = 0")).collect()
+    kept = {kind: np.mean([r.kept for r in found if truth.get(r.doc_id) == kind]) for kind in ((1, 0), (1, 1))}
+    print(kept)
+    assert kept[1, 0] > 0.97 and kept[1, 1] < 0.06
+
+
+def test_a_long_text_does_not_hide_toxic_words(spark, documents):
+    rng = random.Random(4)
+    some = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    bad = lambda n: f"{some(n)} You vile, {some(9)} nasty. {some(n)}"
+    rows = [(i, some(rng.randrange(20, 400))) for i in range(100)] + [(100 + i, bad(20)) for i in range(20)]
+    rows += [(200, bad(2_000)), (201, some(4_000)), (202, bad(5)), (203, some(10))]
+    labels = spark.createDataFrame([(i, 1, int(i >= 100)) for i in range(120)], "doc_id long, quality int, toxic int")
+    kept = {r.doc_id for r in resample(documents(rows), labels).collect() if r.kept}
+    assert not kept & {200, 202, *range(100, 120)} and {201, 203} <= kept
+    most = resample(documents(rows), labels, k=len(rows)).collect()
+    assert not any(r.kept for r in most if r.doc_id in (200, 202))
+
+
 def test_the_k_largest_keys_stay(spark):
     docs, labels, _ = held_out(spark)
     found = resample(docs, labels, k=137).collect()
