@@ -44,15 +44,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, 0.8) stays: that with the smallest id.
+    """One document of each group of near-duplicates (five words, 0.8) stays: that with the smallest id, rows without an id last.
 
-    Of rows that share this id, the one with the smallest hash of its text stays. Without any id in a group, each
-    different text stays.
+    Of rows of the group that share this id, or have none, the one with the smallest hash of its text stays. Rows that share an id
+    but are not similar are different groups. Of texts without words, one row of each id and text stays.
     """
     ship_library(spark)
     found = near_duplicates(docs)
-    chosen = found.where("kept").groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("text_hash")).alias("unnamed"))
-    kept, same = _same_row(chosen.agg(F.min("text_hash").alias("text_hash")).drop("unnamed"))
+    wordless = F.col("root").isNull()
+    groups = found.groupBy("root", F.when(wordless, F.col("doc_id")).alias("of_id"), F.when(wordless, F.col("text_hash")).alias("of_text"))
+    least = groups.agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("least"))
+    kept, same = _same_row(least.select("least.doc_id", "least.text_hash"))
     return _keyed(docs).join(kept, same, "left_semi").dropDuplicates([_ID, _HASH]).select(docs.columns)
 
 

@@ -146,14 +146,14 @@ def near_duplicates(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """One row per input row: ``doc_id, n_shingles, component_id, kept, text_hash``.
+    """One row per input row: ``doc_id, n_shingles, component_id, kept, text_hash, root``.
 
     Two documents are linked if their sets share at least ``percent`` % of all their shingles. ``component_id`` is the smallest
     id that links reach from the document, itself included; ``kept`` says whether it is the document's own.
     Texts without words (null, empty, white space) are linked with nothing. Rows with the same id are documents of their own, so
     repeated rows are copies that share a component; all rows with its smallest id are kept. Rows without an
-    id take part; their component is null, and they are kept, if it holds no id. An empty table gives no rows; other
-    columns are ignored.
+    id take part; their component is null, and they are kept, if it holds no id. ``root`` names the component whatever
+    ids it holds; it is null for texts without words. An empty table gives no rows; other columns are ignored.
     """
     texts = id_and_text(docs, id_column, text_column).withColumn("text_hash", F.xxhash64("text"))
     signed = stage(_signatures(texts, shingle), "minhash_signatures")
@@ -284,4 +284,5 @@ def _label(signed: DataFrame, roots: DataFrame) -> DataFrame:
         "component_id",
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()).alias("kept"),
         "text_hash",
+        "root",
     )

@@ -58,6 +58,20 @@ def test_dedup_stages_equal_brute_force(spark, documents):
     assert sum(gone for _, _, gone, _ in wanted) >= 5 * 40
 
 
+def test_near_dedup_keeps_one_document_of_each_component(spark, documents):
+    """Whatever ids its rows have: the smallest id, without one the last, then the smallest hash of the text."""
+    rng = random.Random(6)
+    texts = [sentence(rng, 60) for _ in range(6)]
+    rows = [(1, texts[0]), (1, texts[1]), (1, texts[2]), (2, texts[1] + " ending"), (1, texts[0] + " ending")]
+    rows += [(None, texts[3]), (None, texts[3] + " ending"), (None, texts[3]), (None, texts[4]), (None, texts[2] + " ending")]
+    rows += [(5, texts[5]), (None, texts[5] + " ending"), (7, None), (7, ""), (7, " "), (None, "")]
+    stays = [(r.doc_id, r.text) for r in near_dedup(spark, documents(rows), SF_DIR).collect()]
+    with_words = [(i, t) for i, t in stays if t and t.strip()]
+    found = Counter((i, t.removesuffix(" ending")) for i, t in with_words)
+    assert found == Counter({(1, texts[0]): 1, (1, texts[1]): 1, (1, texts[2]): 1, (None, texts[3]): 1, (None, texts[4]): 1, (5, texts[5]): 1})
+    assert Counter(i for i, t in stays if not (t and t.strip())) == Counter({7: 2, None: 1})
+
+
 def test_mix_and_encode(spark, documents):
     rows = [(i, f"document {i} " + "w " * (i % 30), "abc"[i % 3] if i % 2 else "a") for i in range(200)]
     docs = documents(rows)
