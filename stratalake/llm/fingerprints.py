@@ -4,6 +4,7 @@ A task packs the fingerprints of its documents into one row per part of the hash
 which answers to the documents. Before anything is sent, a task combines the documents it reads: of equal fingerprints it
 sends one, on behalf of at most one document, and answers to the others itself where that is possible. So however
 many documents share a passage, a task that gathers a part gets each fingerprint at most once from each sending task.
+Only where ranks decide, and several different documents share the smallest one (those without an id do), each of them asks.
 
 Documents are known by a 64-bit key here. Answers are about contents, so documents that share a key by chance are safe.
 """
@@ -63,8 +64,8 @@ class Gathered:
             self.size += len(hashes)
 
     def columns(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Documents' keys and ranks, sorted by rank, and the fingerprints with the document of each."""
-        order = np.argsort(np.array(self.ranks, np.int64), kind="stable").tolist()
+        """Documents' keys and ranks, sorted by rank and key, and the fingerprints with the document of each."""
+        order = np.lexsort((np.array(self.keys, np.int64), np.array(self.ranks, np.int64))).tolist()
         keys = np.array([self.keys[i] for i in order], np.int64)
         ranks = np.array([self.ranks[i] for i in order], np.int64)
         docs = np.repeat(np.arange(len(order)), [len(self.hashes[i]) for i in order])
@@ -89,15 +90,16 @@ def pack_shared(gathered: Gathered, parts: int, width: int, tell: bool) -> Itera
 
 def pack_first(gathered: Gathered, parts: int, width: int) -> Iterator[pa.RecordBatch]:
     """Sends a chunk to find what occurs at a smaller rank. Documents that share a fingerprint with one of smaller rank in the
-    chunk hear so at once; the fingerprint goes out for the document of smallest rank."""
+    chunk hear so at once; the fingerprint goes out for those of smallest rank, once for each of their keys."""
     keys, ranks, docs, hashes, _ = gathered.columns()
     order = np.argsort(hashes, kind="stable")
     hashes, docs = hashes[order], docs[order]
     first = np.r_[True, hashes[1:] != hashes[:-1]]
     least = ranks[docs[first]][np.cumsum(first) - 1]
     later = ranks[docs] > least
+    asks = ~later & (first | np.r_[True, keys[docs[1:]] != keys[docs[:-1]]])
     yield from _pack(keys, ranks, docs[later], hashes[later], parts, width, answer=True)
-    yield from _pack(keys, ranks, docs[first], hashes[first], parts, width)
+    yield from _pack(keys, ranks, docs[asks], hashes[asks], parts, width)
 
 
 def _pack(

@@ -68,6 +68,29 @@ def test_any_two_positions_share_an_anchor():
             assert any((a + s) % cover.PERIOD in cover.COVER and (b + s) % cover.PERIOD in cover.COVER for s in range(cover.PERIOD))
 
 
+def test_owners_that_tie_hear_of_a_smaller_id(spark, documents):
+    """Rows without an id, and different texts under one id, share passages with a smaller id in another partition."""
+    rng = random.Random(8)
+    some = lambda n: " ".join(f"v{rng.randrange(10_000)}" for _ in range(n))
+    passages = [some(20) for _ in range(3)]
+    rows = [(1, f"{some(5)} {passages[0]}"), (4, f"{passages[1]} {some(5)}")]
+    rows += [(i, f"{some(8)} {passages[k]} {some(8)}") for i in (None, 9) for k in (0, 1, 2) for _ in range(20)]
+    rows += rows[2:6] + [(None, rows[30][1])]
+    rng.shuffle(rows)
+    expected = sorted(brute.without_repeated_words(rows), key=repr)
+    for partitions in (1, 5):
+        assert words_removed(remove_repeated_words(documents(rows).repartition(partitions))) == expected
+
+
+def test_every_owner_of_the_smallest_rank_asks():
+    gathered = fp.Gathered()
+    for key, rank in ((11, 5), (12, 5), (11, 5), (13, 7), (12, 5)):
+        gathered.add(key, rank, np.array([77], np.uint64))
+    rows = [r for batch in fp.pack_first(gathered, 3, fp.EXACT) for r in batch.to_pylist()]
+    keys = lambda answer: sorted(k for r in rows if r["answer"] == answer for k in np.frombuffer(r["keys"], "<i8").tolist())
+    assert keys(False) == [11, 12] and keys(True) == [13]
+
+
 def test_texts_longer_than_a_piece(monkeypatch):
     rng = random.Random(5)
     text = bytes(rng.choice(b"ab") for _ in range(5_000))
