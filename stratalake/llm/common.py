@@ -58,6 +58,17 @@ def uniform(*parts: Column) -> Column:
     return (digits.cast("double") + F.lit(0.5)) / F.lit(float(16**13))
 
 
+def salted_lookup(facts: DataFrame, dims: DataFrame, key: str, spread: list[str], salts: int = 64) -> DataFrame:
+    """Inner join of facts, of which any number may share a key, with ``dims``, which have one row per key.
+
+    Facts of one key are dealt into ``salts`` parts by the columns ``spread``; a key is sent once to each part that exists. So a hot
+    key is ``salts`` tasks' work, without knowing which keys are hot. Both are read more than once: pass them stored.
+    """
+    salted = facts.withColumn("__salt", F.pmod(F.xxhash64(*spread), F.lit(salts)))
+    parts = salted.select(key, "__salt").distinct().join(dims, key)
+    return salted.join(parts, [key, "__salt"]).drop("__salt")
+
+
 class WordHashes(dict):
     """64-bit hash by word, computed once. Holds at most ``limit`` words, then starts anew."""
 

@@ -149,10 +149,66 @@ select query_id, cast(row_number() over (partition by query_id order by score de
 from scored qualify rank <= 20
 """
 
+#: CRC-32 bit by bit: a byte comes in, or -1 asks for one shift. Nodes are told by their whole paths, subtrees by a row per ancestor.
+_TRIE = r"""
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first,
+            md5(octet_length(encode(coalesce(role, '')))::varchar || ' ' || coalesce(role, '') || coalesce(text, ''))) - 1 as place
+    from conversations where conv_id is not null
+),
+convs as (
+    select conv_id, conv_id - conv_id % 5 as first,
+        xor(list_reduce(
+            list_prepend(4294967295, flatten(list_transform(string_split(conv_id::varchar, ''),
+                lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+            lambda x, t: case when t >= 0 then xor(x, t) when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end
+        ), 4294967295) % 9 as taken
+    from (select distinct conv_id from turns)
+),
+rebuilt as (
+    select c.conv_id, 0 as part, place, role, text from convs c join turns t on t.conv_id = c.first and t.place < c.taken
+    union all
+    select c.conv_id, 1, place, role, text from convs c join turns t on t.conv_id = c.conv_id and t.place >= c.taken
+),
+numbered as (
+    select *, row_number() over w as depth,
+        string_agg(length(role) || ':' || length(text) || ':' || role || text, '') over w as path
+    from rebuilt window w as (partition by conv_id order by part, place rows between unbounded preceding and current row)
+),
+steps as (
+    select conv_id, 0 as depth, '' as path, null as parent, '' as text from convs
+    union all
+    select conv_id, depth, path, coalesce(lag(path) over (partition by conv_id order by depth), ''), text from numbered
+),
+nodes as (
+    select path, depth, any_value(parent) as parent, min(conv_id) as conv_id, count(*) as n_convs,
+        any_value(octet_length(encode(text))) as size
+    from steps group by path, depth
+),
+children as (select parent as path, count(*) as n from nodes where parent is not null group by 1),
+whole as (
+    select n.*, coalesce(c.n, 0) as n_children, (n_convs - 1) * size as saved, c.n is null as leaf
+    from nodes n left join children c using (path)
+),
+below as (
+    select s.path, sum(w.saved) as saved_tokens, count(*) filter (where w.leaf) as n_leaves
+    from whole w join steps s on s.conv_id = w.conv_id and s.depth <= w.depth group by 1
+),
+ends as (
+    select path, string_agg(conv_id::varchar, ',' order by conv_id) as ids
+    from (select conv_id, max_by(path, depth) as path from steps group by 1) group by 1
+)
+select w.conv_id, cast(w.depth as bigint) as depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children,
+    b.n_leaves, cast(b.saved_tokens as bigint) as saved_tokens, sha256(coalesce(e.ids, '')) as ends_sha256
+from whole w join below b using (path) left join whole p on p.path = w.parent left join ends e on e.path = w.path
+"""
+
 ORACLES: dict[str, str] = {
     "op1_minhash_dedup": _NEAR,
     "op2_mix_sources": _MIX,
     "op6_chat_formatting": _CHATS,
     "op7_substring_dedup": _REPEATED_WORDS,
     "op8_nearest_neighbours": _NEAREST,
+    "op13_prefix_trie": _TRIE,
 }

@@ -13,8 +13,10 @@ from stratalake.llm.importance import resample
 from stratalake.llm.line_crf import quality_rules, train_on_labels
 from stratalake.llm.minhash import near_duplicates
 from stratalake.llm.mixing import mix_sources
+from stratalake.llm.prefix_trie import describe_turns, prefix_trie, share_heads
 from stratalake.llm.repair import token_files
 from stratalake.llm.suffixes import remove_repeated_strings
+from stratalake.sources.scratch import stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,6 +104,12 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_ngrams", "log_weight", "key", "kept")
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    described = stage(describe_turns(read(spark, sf_dir, "conversations")), "described_turns")
+    columns = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+    return prefix_trie(share_heads(described)).select(*columns)
+
+
 def _shipped(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_library(spark)
@@ -123,5 +131,6 @@ QUERIES: dict[str, Query] = {
         "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_token_files": op9_token_files,
         "op10_importance_resampling": op10_importance_resampling,
+        "op13_prefix_trie": op13_prefix_trie,
     }.items()
 }
