@@ -149,6 +149,35 @@ select query_id, cast(row_number() over (partition by query_id order by score de
 from scored qualify rank <= 20
 """
 
+_LEXICAL = r"""
+with spoken as (
+    select doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from documents
+),
+asked as (
+    select distinct item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+    from benchmark
+),
+counted as (select doc_id, term, count(*) as tf from spoken group by 1, 2),
+lengths as (select doc_id, sum(tf)::bigint as n from counted group by 1),
+corpus as (select count(*) as docs, sum(n)::bigint as words from lengths),
+weighed as (
+    select term, floor(1000 * ln((2 * any_value(docs) + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from counted, corpus group by 1
+),
+scored as (
+    select item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))))::bigint as score
+    from asked join counted using (term) join weighed using (term) join lengths using (doc_id), corpus
+    group by 1, 2
+)
+select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score
+from scored where score > 0 qualify rank <= 10
+"""
+
 #: CRC-32 bit by bit: a byte comes in, or -1 asks for one shift. Nodes are told by their whole paths, subtrees by a row per ancestor.
 _TRIE = r"""
 with turns as (
@@ -210,5 +239,6 @@ ORACLES: dict[str, str] = {
     "op6_chat_formatting": _CHATS,
     "op7_substring_dedup": _REPEATED_WORDS,
     "op8_nearest_neighbours": _NEAREST,
+    "op12_lexical_search": _LEXICAL,
     "op13_prefix_trie": _TRIE,
 }

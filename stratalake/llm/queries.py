@@ -10,6 +10,7 @@ from stratalake.llm.chat import format_chats, read_loss_texts, read_turns
 from stratalake.llm.common import read, ship_library
 from stratalake.llm.cover import remove_repeated_words
 from stratalake.llm.importance import resample
+from stratalake.llm.lexical import lexical_search
 from stratalake.llm.line_crf import quality_rules, train_on_labels
 from stratalake.llm.minhash import near_duplicates
 from stratalake.llm.mixing import mix_sources
@@ -104,6 +105,10 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_ngrams", "log_weight", "key", "kept")
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     described = stage(describe_turns(read(spark, sf_dir, "conversations")), "described_turns")
     columns = ("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
@@ -131,6 +136,7 @@ QUERIES: dict[str, Query] = {
         "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_token_files": op9_token_files,
         "op10_importance_resampling": op10_importance_resampling,
+        "op12_lexical_search": op12_lexical_search,
         "op13_prefix_trie": op13_prefix_trie,
     }.items()
 }
