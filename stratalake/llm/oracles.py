@@ -149,6 +149,61 @@ select query_id, cast(row_number() over (partition by query_id order by score de
 from scored qualify rank <= 20
 """
 
+_KEYWORD = (
+    "([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
+)
+_ASSIGN = _KEYWORD + r"""["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+
+#: A document is a repository of its source. Spans by the lengths of the pieces between the matches.
+_SECRETS = rf"""
+with texts as (select row_number() over () as r, doc_id, source, coalesce(text, '') as text from documents),
+patterns as (
+    select * from (values (0, 'assign', '{_ASSIGN}', 6), (1, 'access', 'AKIA[A-Z0-9]+', 20), (2, 'hex', '[0-9a-f]+', 24),
+        (3, 'token', '[A-Za-z0-9+/_=-]+', 20)) t(kind_no, kind, pattern, least)
+),
+pieces as (
+    select r, doc_id, source, kind_no, kind, pattern, least, string_split_regex(text, pattern) as gaps,
+        regexp_extract_all(text, pattern) as matches
+    from texts, patterns where regexp_matches(text, pattern)
+),
+each as (
+    select r, doc_id, source, kind_no, kind, pattern, least, unnest(matches) as said, unnest(gaps[:len(matches)]) as gap,
+        generate_subscripts(matches, 1) as nth
+    from pieces
+),
+ends as (
+    select *, sum(length(gap) + length(said)) over (partition by r, kind_no order by nth) as "end",
+        case kind when 'assign' then regexp_extract(said, pattern, 2) else said end as value
+    from each
+),
+found as (select *, "end" - length(said) as start from ends where length(value) >= least),
+owned as (
+    select value, count(distinct coalesce(doc_id::varchar, 'none') || '|' || coalesce(source, 'none')) as repositories,
+        count(distinct coalesce('s' || source, 'none')) as owners
+    from found group by 1
+),
+taken as (
+    select f.* from found f join owned o using (value)
+    where kind_no < 3 or (
+        owners < 3 and repositories < 20
+        and regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
+        and len(list_distinct(string_split(value, ''))) >= 10
+        and not regexp_matches(lower(value), 'example|sample|dummy|placeholder|changeme|your|xxxx|1234567|abcdef|redacted')
+        and not exists (select 1 from found b where b.r = f.r and b.kind_no < 3 and b.start < f."end" and f.start < b."end")
+    )
+),
+told as (
+    select r, count(*) filter (where kind_no = 0) as n_assign, count(*) filter (where kind_no = 1) as n_access,
+        count(*) filter (where kind_no = 2) as n_hex,
+        string_agg(kind || ':' || start || ':' || "end", ',' order by start, kind_no) filter (where kind_no < 3) as base,
+        string_agg(kind || ':' || start || ':' || "end", ',' order by start, kind_no) as spans
+    from taken group by 1
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+    sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from texts left join told using (r)
+"""
+
 _LEXICAL = r"""
 with spoken as (
     select doc_id, unnest(regexp_extract_all(
@@ -239,6 +294,7 @@ ORACLES: dict[str, str] = {
     "op6_chat_formatting": _CHATS,
     "op7_substring_dedup": _REPEATED_WORDS,
     "op8_nearest_neighbours": _NEAREST,
+    "op11_secret_scan": _SECRETS,
     "op12_lexical_search": _LEXICAL,
     "op13_prefix_trie": _TRIE,
 }

@@ -16,6 +16,7 @@ from stratalake.llm.minhash import near_duplicates
 from stratalake.llm.mixing import mix_sources
 from stratalake.llm.prefix_trie import describe_turns, prefix_trie, share_heads
 from stratalake.llm.repair import token_files
+from stratalake.llm.secrets import base_spans, count_kind, find_secrets, told
 from stratalake.llm.suffixes import remove_repeated_strings
 from stratalake.sources.scratch import stage
 
@@ -105,6 +106,16 @@ def op10_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_ngrams", "log_weight", "key", "kept")
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = F.col("spans")
+    return find_secrets(read(spark, sf_dir, "documents")).select(
+        "doc_id",
+        *[count_kind(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(told(base_spans(spans)), 256).alias("base_sha256"),
+        told(spans).alias("spans"),
+    )
+
+
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -136,6 +147,7 @@ QUERIES: dict[str, Query] = {
         "op8_nearest_neighbours": op8_nearest_neighbours,
         "op9_token_files": op9_token_files,
         "op10_importance_resampling": op10_importance_resampling,
+        "op11_secret_scan": op11_secret_scan,
         "op12_lexical_search": op12_lexical_search,
         "op13_prefix_trie": op13_prefix_trie,
     }.items()
