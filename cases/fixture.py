@@ -37,6 +37,9 @@ JOBS = {
 }
 # Versions of a job with the same load time differ in one of these.
 JOB_TIE_BREAKERS = ["device_id", "estimated_cost", "technician_id"]
+# What is wrong with the record of a job in the faulty files: 0 and 1 text for an amount, 2 a column too many, 3 too few.
+FAULT = "case when estimated_cost < 1000000000 then cast(round(estimated_cost * 100) as bigint) % 50 else -1 end"
+FEW_COLUMNS = 9
 JOBS_REDELIVERED = "l_orderkey % 150 = 0"
 
 # The first copy of a customer or device is the current one. The second, an older one, differs in `city` or

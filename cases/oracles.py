@@ -1,6 +1,17 @@
 """The same results in DuckDB SQL, written independently of the Spark code."""
 
-from cases.fixture import AS_OF, CUSTOMERS, DEVICES, JOB_TIE_BREAKERS, JOBS, RAW_CUSTOMERS_SQL, RAW_DEVICES_SQL, RAW_JOBS_SQL
+from cases.fixture import (
+    AS_OF,
+    CUSTOMERS,
+    DEVICES,
+    FAULT,
+    FEW_COLUMNS,
+    JOB_TIE_BREAKERS,
+    JOBS,
+    RAW_CUSTOMERS_SQL,
+    RAW_DEVICES_SQL,
+    RAW_JOBS_SQL,
+)
 
 JOB_COLUMNS = [c for c in JOBS if not c.startswith("_")]
 CUSTOMER_COLUMNS = [c for c in CUSTOMERS if not c.startswith("_")]
@@ -175,25 +186,36 @@ _QUALITY = "\nunion all\n".join(
     ]
 )
 
+# What is left of the records of faulty files.
+_FAULTY = ", ".join(
+    f"case when fault = 3 or ({c!r}, fault) in (('estimated_cost', 0), ('actual_cost', 1)) then null else {c} end as {c}"
+    if i >= FEW_COLUMNS
+    else c
+    for i, c in enumerate(JOB_COLUMNS)
+)
+_FAULTY_JOBS = f"(select fault, {_FAULTY} from (select {FAULT} as fault, * from raw_jobs) r) faulty"
 _UNREADABLE = "count(*) filter (where trim({0}) <> '' and try_strptime(trim({0}), '%Y-%m-%d') is null)"
 _QUALITY_RAW = "\nunion all\n".join(
     [
-        _check("not_empty", "count(*)", "< 1", "raw_jobs"),
-        _check("no_job_id", "count(*) filter (where coalesce(trim(job_id), '') = '')", None, "raw_jobs"),
+        _check("not_empty", "count(*)", "< 1", _FAULTY_JOBS),
+        _check("no_job_id", "count(*) filter (where coalesce(trim(job_id), '') = '')", None, _FAULTY_JOBS),
         _check(
             "unnamed_technician",
             "count(*) filter (where trim(technician_id) <> '' and coalesce(trim(technician_name), '') = '')",
             None,
-            "raw_jobs",
+            _FAULTY_JOBS,
         ),
         *[
-            _check(f"unreadable_{c}", _UNREADABLE.format(c), None, "raw_jobs")
+            _check(f"unreadable_{c}", _UNREADABLE.format(c), None, _FAULTY_JOBS)
             for c in ("received_date", "promised_date", "completed_date")
         ],
         *[
-            _check(f"unreadable_{c}", f"count({c}) - count(try_cast({c} as decimal(20,2)))", None, "raw_jobs")
+            _check(f"unreadable_{c}", f"count({c}) - count(try_cast({c} as decimal(20,2)))", None, _FAULTY_JOBS)
             for c in ("estimated_cost", "actual_cost")
         ],
+        _check("lost_estimated_cost", "count(*) filter (where fault = 0)", None, _FAULTY_JOBS),
+        _check("lost_actual_cost", "count(*) filter (where fault = 1)", None, _FAULTY_JOBS),
+        _check("wrong_column_count", "count(*) filter (where fault in (2, 3))", None, _FAULTY_JOBS),
     ]
 )
 _QUALITY_CUSTOMERS = "\nunion all\n".join(
@@ -239,6 +261,12 @@ ORACLES: dict[str, str] = {
     "csv_ingest_customers": _select(f"select {', '.join(CUSTOMER_COLUMNS)} from raw_customers"),
     "csv_ingest_devices": _select(f"select {', '.join(DEVICE_COLUMNS)} from raw_devices"),
     "csv_ingest_jobs": _select(f"select {_JOB_LIST} from raw_jobs"),
+    "csv_quarantine": _select(
+        f"""select {', '.join(JOB_COLUMNS)},
+  case fault when 0 then 'estimated_cost=on request' when 1 then 'actual_cost=12,50 EUR' else '' end as lost,
+  fault in (2, 3) as has_record, case fault when 2 then 'extra' when 3 then '' end as record_end
+from {_FAULTY_JOBS} where fault between 0 and 3"""
+    ),
     "ingest_metadata": _select(
         """select job_id, '20240101000000' as batch_id, 'service_jobs.csv' as source_file, true as is_stamped
 from raw_jobs"""

@@ -21,13 +21,14 @@ from stratalake.plans.pipeline import (
     customer_checks,
     device_checks,
     job_checks,
+    quarantine,
     raw_job_checks,
     refresh_dimensions,
     run_incremental,
     run_pipeline,
 )
 from stratalake.sources import schemas
-from stratalake.sources.raw_csv import read_raw_csv, with_ingestion_metadata
+from stratalake.sources.raw_csv import LOST, RECORD, read_checked_csv, read_raw_csv, with_ingestion_metadata
 from stratalake.sources.scratch import scratch_folder, stage
 from stratalake.sources.tables import Layout, replace_table
 from stratalake.streaming.ingest import ingest_new_files
@@ -85,6 +86,25 @@ def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     ).mode(mode).csv(path)
 
 
+def _faulty_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job files without a header in which some records have text for an amount, a column too many, or too few."""
+    columns = [F.col(c).cast("string").alias(c) for c in JOB_COLUMNS]
+    jobs = fixture.raw_jobs(spark, sf_dir).select(F.expr(fixture.FAULT).alias("fault"), *columns)
+    jobs = jobs.withColumns(
+        {
+            "estimated_cost": F.when(F.col("fault") == 0, "on request").otherwise(F.col("estimated_cost")),
+            "actual_cost": F.when(F.col("fault") == 1, "12,50 EUR").otherwise(F.col("actual_cost")),
+        }
+    )
+    options = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    whole = F.to_csv(F.struct(*JOB_COLUMNS), options)
+    short = F.to_csv(F.struct(*JOB_COLUMNS[: fixture.FEW_COLUMNS]), options)
+    lines = F.when(F.col("fault") == 2, F.concat(whole, F.lit(",extra"))).when(F.col("fault") == 3, short).otherwise(whole)
+    folder = scratch_folder(spark, "faulty_jobs")
+    jobs.select(lines.alias("value")).write.text(folder)
+    return stage(read_checked_csv(spark, folder, schemas.SERVICE_JOBS, header=False), "checked_jobs")
+
+
 def _raw_folder(spark: SparkSession, sf_dir: str, *names: str) -> str:
     """A folder with the raw files of the given tables."""
     folder = scratch_folder(spark, "raw")
@@ -297,7 +317,18 @@ def quality_of_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_of_raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(fixture.raw_jobs(spark, sf_dir), raw_job_checks())
+    return quality_report(_faulty_jobs(spark, sf_dir), raw_job_checks())
+
+
+def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records that lost something as they were read, with what they lost."""
+    kept = quarantine(_faulty_jobs(spark, sf_dir))
+    return kept.select(
+        *JOB_COLUMNS,
+        F.array_join(F.transform(LOST, lambda x: F.concat_ws("=", x["column"], x["text"])), ";").alias("lost"),
+        F.col(RECORD).isNotNull().alias("has_record"),
+        F.regexp_extract(RECORD, ",(extra)$", 1).alias("record_end"),
+    )
 
 
 def quality_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,6 +409,7 @@ def refreshed_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     run_pipeline(spark, layout, as_of=fixture.AS_OF, batch_id=BATCH_ID)
     marts = {name: spark.table(layout.gold(name)) for name in MARTS}
     inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
+    inputs += [layout.bronze(f"{name}_quarantine") for name in RAW_FILES]
     more = [layout.silver(name) for name in ("technicians", "service_jobs_without_id")]
     _forget(spark, layout, *inputs, *more, *[layout.gold(name) for name in MARTS])
     return marts
@@ -404,6 +436,7 @@ def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         run_incremental(spark, layout, landing, checkpoints, as_of=fixture.AS_OF)
     marts = {name: spark.table(layout.gold(name)) for name in MARTS}
     inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
+    inputs += [layout.bronze(f"{name}_quarantine") for name in RAW_FILES]
     more = [layout.silver(name) for name in ("technicians", "service_jobs_latest")]
     _forget(spark, layout, *inputs, *more, *[layout.gold(name) for name in MARTS])
     return _all_rows(marts)
@@ -413,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "csv_ingest_customers": csv_ingest_customers,
     "csv_ingest_devices": csv_ingest_devices,
     "csv_ingest_jobs": csv_ingest_jobs,
+    "csv_quarantine": csv_quarantine,
     "ingest_metadata": ingest_metadata,
     "snapshot_roundtrip": snapshot_roundtrip,
     "dedupe_exact": dedupe_exact,

@@ -5,6 +5,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructType
 
 from stratalake.functions.numbers import unreadable_money
 from stratalake.functions.text import tidy_key, unreadable_date
@@ -22,7 +23,17 @@ from stratalake.operators.quality import (
 )
 from stratalake.plans import gold, silver
 from stratalake.sources import schemas
-from stratalake.sources.raw_csv import new_batch_id, read_raw_csv, with_ingestion_metadata
+from stratalake.sources.raw_csv import (
+    LOST,
+    LOST_TYPE,
+    RECORD,
+    lost_from,
+    lost_something,
+    new_batch_id,
+    read_checked_csv,
+    read_raw_csv,
+    with_ingestion_metadata,
+)
 from stratalake.sources.scratch import stage
 from stratalake.sources.tables import Layout, replace_table
 from stratalake.streaming.ingest import ingest_new_files
@@ -47,12 +58,34 @@ def load_bronze(
     strict: bool = False,
     multi_line: Mapping[str, bool] | None = None,
 ) -> DataFrame:
-    """``multi_line`` says by table name whether fields may hold line breaks; a big feed without can then be split."""
+    """``multi_line`` says by table name whether fields may hold line breaks; a big feed without can then be split.
+
+    Text that a number column cannot hold, and records with the wrong number of columns, are kept in two columns of their own;
+    ``strict`` refuses such files instead.
+    """
     file_name, schema, by_default = RAW_FILES[name]
-    raw = read_raw_csv(spark, layout.raw_file(file_name), schema, (multi_line or {}).get(name, by_default), strict)
+    path, lines = layout.raw_file(file_name), (multi_line or {}).get(name, by_default)
+    if strict:
+        nothing = {LOST: F.array().cast(LOST_TYPE), RECORD: F.lit(None).cast("string")}
+        raw = read_raw_csv(spark, path, schema, lines, strict).withColumns(nothing)
+    else:
+        raw = read_checked_csv(spark, path, schema, lines)
     return with_ingestion_metadata(raw, batch_id=batch_id)
 
 
+def loss_checks(name: str) -> list[Check]:
+    """How many rows of a raw table lost the text of each column but text, and how many had the wrong number of columns."""
+    fields = StructType.fromDDL(RAW_FILES[name][1]).fields
+    typed = [f.name for f in fields if not isinstance(f.dataType, StringType)]
+    lost = [rows_where(f"lost_{c}", lost_from(c)) for c in typed]
+    return [*lost, rows_where("wrong_column_count", F.col(RECORD).isNotNull())]
+
+
+def quarantine(bronze: DataFrame) -> DataFrame:
+    """The rows of a raw table that lost something, with the text that was lost, to be mended by whoever sent it."""
+    return bronze.filter(lost_something())
+
+
 def customer_checks() -> list[Check]:
     return [rows(), expect_unique("customer_id"), nulls("email"), nulls("registration_date")]
 
@@ -65,7 +98,7 @@ def raw_job_checks() -> list[Check]:
     unreadable = [rows_where(f"unreadable_{c}", unreadable_date(c)) for c in JOB_DATES]
     unreadable += [rows_where(f"unreadable_{c}", unreadable_money(c)) for c in JOB_AMOUNTS]
     unnamed = rows_where("unnamed_technician", tidy_key("technician_id").isNotNull() & tidy_key("technician_name").isNull())
-    return [expect_not_empty(), rows_where("no_job_id", tidy_key("job_id").isNull()), unnamed, *unreadable]
+    return [expect_not_empty(), rows_where("no_job_id", tidy_key("job_id").isNull()), unnamed, *unreadable, *loss_checks("service_jobs")]
 
 
 def job_checks() -> list[Check]:
@@ -97,6 +130,12 @@ class _Publisher:
         self.run.counts[table] = replace_table(df, self.layout, table, checks)
         return self.spark.table(table)
 
+    def bronze(self, name: str, loaded: DataFrame, checks: list[Check]) -> DataFrame:
+        """A raw table, and beside it the rows of it that lost something."""
+        stored = self(self.layout.bronze(name), loaded, checks)
+        self(self.layout.bronze(f"{name}_quarantine"), quarantine(stored), [rows()])
+        return stored
+
     def dimensions(self, customers: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Silver customers and devices from bronze. Versions and rows without a key that were left out are counted."""
         stored = []
@@ -148,7 +187,7 @@ def refresh_dimensions(
     run = Refresh(batch_id or new_batch_id())
     publish = _Publisher(spark, layout, run)
     bronze = [
-        publish(layout.bronze(name), load_bronze(spark, layout, name, run.batch_id, strict, multi_line), [expect_not_empty()])
+        publish.bronze(name, load_bronze(spark, layout, name, run.batch_id, strict, multi_line), [expect_not_empty(), *loss_checks(name)])
         for name in ("customers", "devices")
     ]
     publish.dimensions(*bronze)
@@ -172,7 +211,7 @@ def run_pipeline(
     publish = _Publisher(spark, layout, run)
     customers, devices = spark.table(layout.silver("customers")), spark.table(layout.silver("devices"))
     loaded = load_bronze(spark, layout, "service_jobs", run.batch_id, strict, multi_line)
-    bronze = publish(layout.bronze("service_jobs"), loaded, raw_job_checks())
+    bronze = publish.bronze("service_jobs", loaded, raw_job_checks())
     publish(layout.silver("service_jobs_without_id"), silver.keyless_jobs(bronze), [rows()])
     # Stored, as the names, the jobs and the marts all come from it.
     latest = stage(silver.latest_jobs(bronze), "latest_jobs")

@@ -12,15 +12,21 @@ from stratalake.functions.text import iso_date, tidy, tidy_key, title_case
 from stratalake.operators.backfill import backfill_from_group
 from stratalake.operators.dedupe import keep_latest_per_key
 from stratalake.operators.references import flag_reference
+from stratalake.sources.raw_csv import LOST, RECORD
 
 
 # From the first to the last status that a job goes through.
 STATUS_ORDER = ("Pending", "In Progress", "Cancelled", "Completed")
 
 
+def _without_losses(bronze: DataFrame) -> DataFrame:
+    """What a column could not hold stays in bronze."""
+    return bronze.drop(LOST, RECORD)
+
+
 def standardise_customers(bronze: DataFrame) -> DataFrame:
     """Tidy text and typed registration date; rows without a key are left out."""
-    return bronze.withColumns(
+    return _without_losses(bronze).withColumns(
         {
             "customer_id": tidy_key("customer_id"),
             "customer_name": tidy("customer_name"),
@@ -35,7 +41,7 @@ def standardise_customers(bronze: DataFrame) -> DataFrame:
 def standardise_devices(bronze: DataFrame) -> DataFrame:
     """Tidy text and the price label split into tier and bounds; rows without a key are left out."""
     lowest, highest = price_bounds("price_range")
-    return bronze.withColumns(
+    return _without_losses(bronze).withColumns(
         {
             "device_id": tidy_key("device_id"),
             "brand": tidy("brand"),
@@ -51,7 +57,7 @@ def standardise_devices(bronze: DataFrame) -> DataFrame:
 
 def standardise_jobs(bronze: DataFrame) -> DataFrame:
     """Tidy text, typed dates and exact amounts. It comes first, so that ``'T1 '`` and ``'T1'`` are one id."""
-    return bronze.withColumns(
+    return _without_losses(bronze).withColumns(
         {
             "job_id": tidy_key("job_id"),
             "customer_id": tidy_key("customer_id"),

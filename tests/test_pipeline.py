@@ -116,6 +116,26 @@ def test_bad_deliveries_do_not_replace_good_tables(spark, site):
     assert state(spark, layout) == before
 
 
+def test_rows_that_lose_something_are_kept_and_counted(spark, site):
+    raw, layout = site
+    (raw / "devices.csv").write_text(DEVICES + "D3,Acme,TV,M3,a year,Budget\n")
+    (raw / "service_jobs.csv").write_text(JOBS + "J8,C1,D1,Fan,Pending,,,,,,,ask,7\nJ9,C1,D1,Fan,Pending,,,,,,,1,2,3\n")
+    run = run_pipeline(spark, layout, as_of="2024-02-01")
+    jobs = run.counts[layout.bronze("service_jobs")]
+    assert (jobs["lost_estimated_cost"], jobs["lost_actual_cost"], jobs["wrong_column_count"]) == (1, 0, 1)
+    assert run.counts[layout.bronze("devices")] == {"not_empty": 3, "lost_warranty_months": 1, "wrong_column_count": 0}
+    kept = spark.table(layout.bronze("service_jobs_quarantine"))
+    assert rows(kept.selectExpr("job_id", "get(_lost, 0).column", "get(_lost, 0).text", "_raw_record")) == [
+        ("J8", "estimated_cost", "ask", None),
+        ("J9", None, None, "J9,C1,D1,Fan,Pending,,,,,,,1,2,3"),
+    ]
+    assert run.counts[layout.bronze("customers_quarantine")] == {"rows": 0}
+    # The rest of such a row goes on.
+    silver = spark.table(layout.silver("service_jobs"))
+    assert rows(silver.filter("job_id in ('J8', 'J9')"), "job_id", "estimated_cost", "actual_cost") == [("J8", None, 7), ("J9", 1, 2)]
+    assert not {"_lost", "_raw_record"} & {*silver.columns, *spark.table(layout.silver("devices")).columns}
+
+
 def test_strict_loads_refuse_malformed_rows(spark, site):
     raw, layout = site
     (raw / "devices.csv").write_text(DEVICES + "D3,Acme,TV,M3,a year,Budget\n")

@@ -5,7 +5,16 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.quality import DataQualityError, expect_not_empty
 from stratalake.sources import schemas
-from stratalake.sources.raw_csv import new_batch_id, read_raw_csv, with_ingestion_metadata
+from stratalake.sources.raw_csv import (
+    LOST,
+    RECORD,
+    lost_from,
+    lost_something,
+    new_batch_id,
+    read_checked_csv,
+    read_raw_csv,
+    with_ingestion_metadata,
+)
 from stratalake.sources.scratch import scratch_folder, stage
 from stratalake.sources.tables import Layout, replace_table
 from tests.helpers import rows
@@ -44,6 +53,31 @@ def test_bad_values_become_null_unless_strict(spark, tmp_path):
             read_raw_csv(spark, path, schemas.DEVICES, False, strict=True).select(column).collect()
 
 
+@pytest.mark.parametrize("multi_line", [False, True])
+def test_a_checked_read_keeps_what_it_cannot_hold(spark, tmp_path, multi_line):
+    lines = ["D1,Acme,TV,M1,twelve,Budget", "D2,Acme,TV,M1,6,Budget,extra", "D3,Acme", "D4,Acme,TV,M1, ,", "D5,,TV,M1,6.5,x", "D6,a,b,c, 7 ,d"]
+    path = write(tmp_path / "devices.csv", DEVICES_HEADER + "\n".join(lines) + "\n")
+    read = read_checked_csv(spark, path, schemas.DEVICES, multi_line)
+    assert dict(read.dtypes)["warranty_months"] == "int"
+    assert rows(read, "device_id", "brand", "warranty_months", "price_range") == [
+        ("D1", "Acme", None, "Budget"),
+        ("D2", "Acme", 6, "Budget"),
+        ("D3", "Acme", None, None),
+        ("D4", "Acme", None, None),
+        ("D5", None, None, "x"),
+        ("D6", "a", 7, "d"),
+    ]
+    kept = read.filter(lost_something())
+    assert rows(kept.selectExpr("device_id", f"{LOST}.text", RECORD)) == [
+        ("D1", ["twelve"], None),
+        ("D2", [], lines[1]),
+        ("D3", [], lines[2]),
+        ("D5", ["6.5"], None),
+    ]
+    # Counting reads the column that is counted, so a column too many must still be seen.
+    assert read.agg(F.count_if(F.col(RECORD).isNotNull()), F.count_if(lost_from("warranty_months"))).first() == (2, 2)
+
+
 def test_a_reordered_header_raises_only_if_strict(spark, tmp_path):
     path = write(tmp_path / "devices.csv", "brand,device_id,device_type,model_series,warranty_months,price_range\nAcme,D1,TV,M,6,B\n")
     assert read_raw_csv(spark, path, schemas.DEVICES, False).first().device_id == "Acme"
