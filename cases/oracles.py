@@ -357,4 +357,11 @@ qualify row_number() over (partition by job_id order by _ingest_ts desc, estimat
     "jobs_without_id": _select(f"select {_JOB_LIST} from raw_jobs where coalesce(trim(job_id), '') = ''"),
     "refresh_all": _ctes("file") + _ALL_MARTS,
     "refresh_incremental": _ctes("delivery") + _ALL_MARTS,
+    "silver_jobs_incremental": _ctes("delivery")
+    + f"select {_JOB_LIST}, {_LIFECYCLE}, has_valid_customer, has_valid_device from silver_jobs",
+    "turnaround_quantiles": _select(
+        """select issue_type, count(turnaround_days) as timed_jobs, quantile_disc(turnaround_days, 0.25) as q25,
+  quantile_disc(turnaround_days, 0.5) as q50, quantile_disc(turnaround_days, 0.9) as q90
+from silver_jobs where is_completed and completed_date between date '1994-01-01' and date '1995-12-31' group by 1"""
+    ),
 }

@@ -15,9 +15,11 @@ from stratalake.operators.quality import quality_report
 from stratalake.operators.references import flag_reference, orphans
 from stratalake.operators.visits import visit_gaps
 from stratalake.plans import gold, silver
+from stratalake.plans.mart_state import STATES, TURNAROUND, signed, turnaround_quantiles as stored_quantiles
 from stratalake.plans.pipeline import (
     MARTS,
     RAW_FILES,
+    current_jobs,
     customer_checks,
     device_checks,
     job_checks,
@@ -393,6 +395,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
             "_ingest_ts",
             f"{layout.storage}/checkpoint",
             fixture.JOB_TIE_BREAKERS,
+            buckets=BUCKETS,
         )
     current = spark.table(table)
     _forget(spark, layout, table)
@@ -425,21 +428,42 @@ def refresh_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _all_rows(refreshed_marts(spark, sf_dir))
 
 
-def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries of jobs, each taken in by a run of its own."""
+# Of stored tables that changes are added to: at the size of the given tables a bucket holds few rows anyway.
+BUCKETS = 8
+
+
+def _after_deliveries(spark: SparkSession, sf_dir: str, read: Callable[[Layout], dict[str, DataFrame]]) -> dict[str, DataFrame]:
+    """Two deliveries of jobs, each taken in by a run of its own; returns what is read from the tables."""
     layout = _layout(spark, _raw_folder(spark, sf_dir, "customers", "devices"))
     refresh_dimensions(spark, layout, batch_id=BATCH_ID)
     landing, checkpoints = f"{layout.storage}/landing", f"{layout.storage}/checkpoints"
     jobs = stage(fixture.raw_jobs(spark, sf_dir), "raw_jobs")
     for delivery in _deliveries(jobs):
         write_csv(delivery.select(JOB_COLUMNS), landing, mode="append")
-        run_incremental(spark, layout, landing, checkpoints, as_of=fixture.AS_OF)
-    marts = {name: spark.table(layout.gold(name)) for name in MARTS}
+        run_incremental(spark, layout, landing, checkpoints, as_of=fixture.AS_OF, buckets=BUCKETS)
+    found = read(layout)
     inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
     inputs += [layout.bronze(f"{name}_quarantine") for name in RAW_FILES]
-    more = [layout.silver(name) for name in ("technicians", "service_jobs_latest")]
+    more = [layout.silver(n) for n in ("technicians", "service_jobs_latest", *[f"state_{s.name}" for s in STATES])]
     _forget(spark, layout, *inputs, *more, *[layout.gold(name) for name in MARTS])
-    return _all_rows(marts)
+    return found
+
+
+def refresh_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _all_rows(_after_deliveries(spark, sf_dir, lambda layout: {n: spark.table(layout.gold(n)) for n in MARTS}))
+
+
+def silver_jobs_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver jobs, which an incremental run need not store."""
+    jobs = _after_deliveries(spark, sf_dir, lambda layout: {"jobs": current_jobs(spark, layout, fixture.AS_OF)})["jobs"]
+    return jobs.select(*JOB_COLUMNS, *LIFECYCLE, "has_valid_customer", "has_valid_device")
+
+
+def turnaround_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles over two years of months, from stored counts per day and without the jobs."""
+    signed_jobs = signed(_latest(spark, sf_dir).limit(0), _latest(spark, sf_dir))
+    state = stage(TURNAROUND.of(signed_jobs), "turnaround_state")
+    return stored_quantiles(state, ["issue_type"], [0.25, 0.5, 0.9], ("1994-01-01", "1995-12-01"))
 
 
 QUERIES: dict[str, Query] = {
@@ -482,4 +506,6 @@ QUERIES: dict[str, Query] = {
     "upsert_repeated_keys": upsert_repeated_keys,
     "refresh_all": refresh_all,
     "refresh_incremental": refresh_incremental,
+    "silver_jobs_incremental": silver_jobs_incremental,
+    "turnaround_quantiles": turnaround_quantiles,
 }

@@ -1,12 +1,14 @@
 """Refresh all tables, from raw files to marts."""
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
+from stratalake.functions.lifecycle import add_lifecycle_fields
 from stratalake.functions.numbers import unreadable_money
 from stratalake.functions.text import tidy_key, unreadable_date
 from stratalake.operators.backfill import group_lookup
@@ -22,6 +24,8 @@ from stratalake.operators.quality import (
     rows_where,
 )
 from stratalake.plans import gold, silver
+from stratalake.plans.graph import Once, Step, run_steps
+from stratalake.plans.mart_state import Marts, apply_changes
 from stratalake.sources import schemas
 from stratalake.sources.raw_csv import (
     LOST,
@@ -35,8 +39,8 @@ from stratalake.sources.raw_csv import (
     with_ingestion_metadata,
 )
 from stratalake.sources.scratch import stage
-from stratalake.sources.tables import Layout, replace_table
-from stratalake.streaming.ingest import ingest_new_files
+from stratalake.sources.tables import Layout, counts_of_run, replace_table
+from stratalake.streaming.ingest import ingest_new_files, ledger_of
 from stratalake.streaming.upsert import upsert_stream
 
 # The raw files and their schemas. Only the catalogue has no line breaks in its fields.
@@ -94,11 +98,17 @@ def device_checks() -> list[Check]:
     return [rows(), expect_unique("device_id"), rows_where("unknown_price_range", ~F.col("price_range_known"))]
 
 
-def raw_job_checks() -> list[Check]:
+def technician_checks() -> list[Check]:
+    return [rows(), expect_unique("technician_id"), rows_where("several_names", F.col("value_count") > 1)]
+
+
+def raw_job_checks(strict: bool = False) -> list[Check]:
+    """A ``strict`` read has lost nothing, and no columns that say so."""
     unreadable = [rows_where(f"unreadable_{c}", unreadable_date(c)) for c in JOB_DATES]
     unreadable += [rows_where(f"unreadable_{c}", unreadable_money(c)) for c in JOB_AMOUNTS]
     unnamed = rows_where("unnamed_technician", tidy_key("technician_id").isNotNull() & tidy_key("technician_name").isNull())
-    return [expect_not_empty(), rows_where("no_job_id", tidy_key("job_id").isNull()), unnamed, *unreadable, *loss_checks("service_jobs")]
+    losses = [] if strict else loss_checks("service_jobs")
+    return [expect_not_empty(), rows_where("no_job_id", tidy_key("job_id").isNull()), unnamed, *unreadable, *losses]
 
 
 def job_checks() -> list[Check]:
@@ -121,58 +131,86 @@ class Refresh:
 
 
 class _Publisher:
-    """Stores, checks and publishes the tables of a run."""
+    """Stores, checks and publishes the tables of a run. ``resume`` leaves out what the same run has published already."""
+
+    def __init__(self, spark: SparkSession, layout: Layout, run: Refresh, resume: bool = False) -> None:
+        self.spark, self.layout, self.run, self.resume = spark, layout, run, resume
+
+    def __call__(self, table: str, df: DataFrame, checks: list[Check]) -> None:
+        self.run.counts[table] = replace_table(df, self.layout, table, checks, self.run.batch_id)
 
-    def __init__(self, spark: SparkSession, layout: Layout, run: Refresh) -> None:
-        self.spark, self.layout, self.run = spark, layout, run
+    def step(self, table: str, make: Callable[[], DataFrame], checks: list[Check], *needs: str) -> dict[str, Step]:
+        """The step that makes a table from the published tables ``needs``."""
+        return {table: Step(lambda: self(table, make(), checks), needs, lambda: self._recall(table))}
 
-    def __call__(self, table: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-        self.run.counts[table] = replace_table(df, self.layout, table, checks)
-        return self.spark.table(table)
+    def _recall(self, table: str) -> bool:
+        counts = counts_of_run(self.spark, table, self.run.batch_id) if self.resume else None
+        if counts is None:
+            return False
+        self.run.counts[table] = counts
+        return True
 
-    def bronze(self, name: str, loaded: DataFrame, checks: list[Check]) -> DataFrame:
+    def bronze_steps(self, name: str, load: Callable[[], DataFrame], checks: list[Check]) -> dict[str, Step]:
         """A raw table, and beside it the rows of it that lost something."""
-        stored = self(self.layout.bronze(name), loaded, checks)
-        self(self.layout.bronze(f"{name}_quarantine"), quarantine(stored), [rows()])
-        return stored
-
-    def dimensions(self, customers: DataFrame, devices: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Silver customers and devices from bronze. Versions and rows without a key that were left out are counted."""
-        stored = []
-        for name, bronze, key, make, checks in (
-            ("customers", customers, "customer_id", silver.silver_customers, customer_checks()),
-            ("devices", devices, "device_id", silver.silver_devices, device_checks()),
-        ):
-            table = self.layout.silver(name)
-            stored.append(self(table, make(bronze), checks))
-            self.left_out(table, bronze, key)
-        return stored[0], stored[1]
-
-    def left_out(self, table: str, bronze: DataFrame, key: str) -> None:
-        seen = enforce(quality_report(bronze, [rows("received"), rows_where("no_key", tidy_key(key).isNull())]))
-        self.run.counts[table] |= seen | {"superseded": seen["received"] - seen["no_key"] - self.run.counts[table]["rows"]}
-
-    def jobs_and_marts(
-        self, latest: DataFrame, customers: DataFrame, devices: DataFrame, as_of: "dt.date | str | None"
-    ) -> None:
-        """Silver jobs and the marts from the current version of each job, which is read from storage several times."""
-        layout = self.layout
-        technicians = self(
-            layout.silver("technicians"),
-            group_lookup(latest, "technician_id", "technician_name"),
-            [rows(), expect_unique("technician_id"), rows_where("several_names", F.col("value_count") > 1)],
-        )
-        jobs = self(
-            layout.silver("service_jobs"), silver.silver_jobs(latest, customers, devices, as_of, technicians), job_checks()
-        )
-        marts = (
-            gold.repair_turnaround(jobs, devices),
-            gold.technician_performance(jobs),
-            gold.repeat_customers(jobs, customers),
-            gold.device_failures(jobs, devices),
-        )
-        for name, mart in zip(MARTS, marts, strict=True):
-            self(layout.gold(name), mart, [rows()])
+        table, beside = self.layout.bronze(name), self.layout.bronze(f"{name}_quarantine")
+        return self.step(table, load, checks) | self.step(beside, lambda: quarantine(self.spark.table(table)), [rows()], table)
+
+    def left_out(self, silver_table: str, bronze_table: str, no_key: str) -> None:
+        """Versions and rows without a key that did not reach the silver table."""
+        bronze, kept = self.run.counts[bronze_table], self.run.counts[silver_table]
+        seen = {"received": bronze["not_empty"], "no_key": bronze[no_key]}
+        kept |= seen | {"superseded": seen["received"] - seen["no_key"] - kept["rows"]}
+
+
+def _dimensions() -> tuple[tuple[str, str, Callable[[DataFrame], DataFrame], list[Check]], ...]:
+    return (
+        ("customers", "customer_id", silver.silver_customers, customer_checks()),
+        ("devices", "device_id", silver.silver_devices, device_checks()),
+    )
+
+
+def _dimension_steps(publish: _Publisher, load: Callable[[str], DataFrame]) -> dict[str, Step]:
+    steps: dict[str, Step] = {}
+    for name, key, make, checks in _dimensions():
+        bronze = publish.layout.bronze(name)
+        raw_checks = [expect_not_empty(), rows_where("no_key", tidy_key(key).isNull()), *loss_checks(name)]
+        steps |= publish.bronze_steps(name, lambda name=name: load(name), raw_checks)
+        steps |= publish.step(publish.layout.silver(name), lambda b=bronze, make=make: make(publish.spark.table(b)), checks, bronze)
+    return steps
+
+
+def _dimensions_left_out(publish: _Publisher) -> None:
+    for name, *_ in _dimensions():
+        publish.left_out(publish.layout.silver(name), publish.layout.bronze(name), "no_key")
+
+
+def _job_steps(publish: _Publisher, load: Callable[[str], DataFrame], as_of: "dt.date | str | None") -> dict[str, Step]:
+    spark, layout = publish.spark, publish.layout
+    bronze, jobs, technicians = layout.bronze("service_jobs"), layout.silver("service_jobs"), layout.silver("technicians")
+    customers, devices = layout.silver("customers"), layout.silver("devices")
+    # Stored, as the names and the jobs both come from it.
+    latest = Once(lambda: stage(silver.latest_jobs(spark.table(bronze)), "latest_jobs"))
+
+    def made_jobs() -> DataFrame:
+        return silver.silver_jobs(latest(), spark.table(customers), spark.table(devices), as_of, spark.table(technicians))
+
+    def lookup() -> DataFrame:
+        return group_lookup(latest(), "technician_id", "technician_name")
+
+    steps = publish.bronze_steps("service_jobs", lambda: load("service_jobs"), raw_job_checks())
+    without_id = layout.silver("service_jobs_without_id")
+    steps |= publish.step(without_id, lambda: silver.keyless_jobs(spark.table(bronze)), [rows()], bronze)
+    steps |= publish.step(technicians, lookup, technician_checks(), bronze)
+    steps |= publish.step(jobs, made_jobs, job_checks(), bronze, customers, devices, technicians)
+    marts = (
+        lambda: gold.repair_turnaround(spark.table(jobs), spark.table(devices)),
+        lambda: gold.technician_performance(spark.table(jobs)),
+        lambda: gold.repeat_customers(spark.table(jobs), spark.table(customers)),
+        lambda: gold.device_failures(spark.table(jobs), spark.table(devices)),
+    )
+    for name, mart in zip(MARTS, marts, strict=True):
+        steps |= publish.step(layout.gold(name), mart, [rows()], jobs)
+    return steps
 
 
 def refresh_dimensions(
@@ -181,16 +219,16 @@ def refresh_dimensions(
     batch_id: str | None = None,
     strict: bool = False,
     multi_line: Mapping[str, bool] | None = None,
+    resume: bool = False,
+    side_by_side: int = 4,
 ) -> Refresh:
-    """Refresh bronze and silver customers and devices."""
+    """Refresh bronze and silver customers and devices; the arguments are those of :func:`run_pipeline`."""
     layout.ensure_schema(spark)
     run = Refresh(batch_id or new_batch_id())
-    publish = _Publisher(spark, layout, run)
-    bronze = [
-        publish.bronze(name, load_bronze(spark, layout, name, run.batch_id, strict, multi_line), [expect_not_empty(), *loss_checks(name)])
-        for name in ("customers", "devices")
-    ]
-    publish.dimensions(*bronze)
+    publish = _Publisher(spark, layout, run, resume)
+    load = partial(load_bronze, spark, layout, batch_id=run.batch_id, strict=strict, multi_line=multi_line)
+    run_steps(spark, _dimension_steps(publish, load), side_by_side)
+    _dimensions_left_out(publish)
     return run
 
 
@@ -201,22 +239,23 @@ def run_pipeline(
     batch_id: str | None = None,
     strict: bool = False,
     multi_line: Mapping[str, bool] | None = None,
+    resume: bool = False,
+    side_by_side: int = 4,
 ) -> Refresh:
-    """Refresh bronze, silver and gold in dependency order.
+    """Refresh bronze, silver and gold: each table after those that it is made from, up to ``side_by_side`` at a time.
 
     Every table is written once, checked, and only then published; the next step reads the published table. Of the versions of
     a job in the load, the newest wins (:func:`silver.newest_job_first`). Jobs without an id go to a table of their own.
+
+    After a failure, a call with the same ``batch_id`` and ``resume`` leaves out the tables that this batch has already published.
     """
-    run = refresh_dimensions(spark, layout, batch_id, strict, multi_line)
-    publish = _Publisher(spark, layout, run)
-    customers, devices = spark.table(layout.silver("customers")), spark.table(layout.silver("devices"))
-    loaded = load_bronze(spark, layout, "service_jobs", run.batch_id, strict, multi_line)
-    bronze = publish.bronze("service_jobs", loaded, raw_job_checks())
-    publish(layout.silver("service_jobs_without_id"), silver.keyless_jobs(bronze), [rows()])
-    # Stored, as the names, the jobs and the marts all come from it.
-    latest = stage(silver.latest_jobs(bronze), "latest_jobs")
-    publish.jobs_and_marts(latest, customers, devices, as_of)
-    publish.left_out(layout.silver("service_jobs"), bronze, "job_id")
+    layout.ensure_schema(spark)
+    run = Refresh(batch_id or new_batch_id())
+    publish = _Publisher(spark, layout, run, resume)
+    load = partial(load_bronze, spark, layout, batch_id=run.batch_id, strict=strict, multi_line=multi_line)
+    run_steps(spark, _dimension_steps(publish, load) | _job_steps(publish, load, as_of), side_by_side)
+    _dimensions_left_out(publish)
+    publish.left_out(layout.silver("service_jobs"), layout.bronze("service_jobs"), "no_job_id")
     return run
 
 
@@ -228,33 +267,78 @@ def run_incremental(
     as_of: "dt.date | str | None" = None,
     strict: bool = False,
     multi_line: Mapping[str, bool] | None = None,
+    silver_jobs: bool = False,
+    buckets: int = 64,
 ) -> Refresh:
-    """Take in the job files that are new in the folder ``landing``, and refresh silver jobs and marts.
+    """Take in the job files that are new in the folder ``landing``, and refresh the marts, at the cost of what the files change.
+
+    New files are checked, then appended to the bronze files of the layout's storage. Their jobs are upserted into the table
+    ``silver_service_jobs_latest``: a later delivery wins, within one the newest version. What that changes is added to the stored sums of
+    :mod:`mart_state`, from which the marts and the counts follow as in a full run; no unchanged job is read. Customers and
+    devices are the published ones (:func:`refresh_dimensions`). Two streams with own checkpoints below ``checkpoints`` remember what is
+    done; either can be lost.
 
-    New files are appended to the bronze files of the layout's storage and checked as a whole there. Their jobs are
-    upserted into the table ``silver_service_jobs_latest``: a later delivery wins, within one the newest version. Silver jobs
-    and marts follow from it as in a full run. Customers and devices are the published ones (:func:`refresh_dimensions`). Two streams
-    with own checkpoints below ``checkpoints`` remember what is done; either can be lost.
+    The columns of silver jobs depend on the day and on other tables, so each run would have to write them all: ``silver_jobs``
+    asks for that. :func:`current_jobs` gives the same rows without storing them. Jobs and sums are stored in ``buckets``
+    (:class:`Buckets`), of which a run reads and writes those that it changes.
     """
     layout.ensure_schema(spark)
     run = Refresh(new_batch_id())
     publish = _Publisher(spark, layout, run)
     _, schema, by_default = RAW_FILES["service_jobs"]
     bronze_path = layout.version_path(layout.bronze("service_jobs_incremental"), "files")
-    ingest_new_files(
-        spark, landing, schema, bronze_path, f"{checkpoints}/bronze", (multi_line or {}).get("service_jobs", by_default), strict
-    )
-    bronze = spark.read.parquet(bronze_path)
-    run.counts[layout.bronze("service_jobs_incremental")] = enforce(quality_report(bronze, raw_job_checks()))
+    lines = (multi_line or {}).get("service_jobs", by_default)
+    ingest_new_files(spark, landing, schema, bronze_path, f"{checkpoints}/bronze", lines, strict, checks=raw_job_checks(strict))
+    run.counts[layout.bronze("service_jobs_incremental")] = ledger_of(spark, bronze_path).totals()
 
+    bronze = spark.read.parquet(bronze_path)
     changes = silver.standardise_jobs(spark.readStream.schema(bronze.schema).parquet(bronze_path))
-    changes = changes.filter(F.col("job_id").isNotNull()).drop("_query", "_batch_id")
+    changes = changes.filter(F.col("job_id").isNotNull()).drop("_batch_id")
     table = layout.silver("service_jobs_latest")
+
+    def change_marts(old: DataFrame, new: DataFrame, batch: str) -> None:
+        in_order = expect_all("turnaround_not_negative", F.col("turnaround_days") >= 0)
+        enforce(quality_report(add_lifecycle_fields(new, as_of), [expect_unique("job_id"), in_order]))
+        apply_changes(spark, layout, old, new, batch, buckets)
+
+    tie_breakers = silver.newest_job_first(changes.columns)
     upsert_stream(
-        changes, layout, table, ["job_id"], "_ingest_ts", f"{checkpoints}/silver", silver.newest_job_first(changes.columns)
+        changes,
+        layout,
+        table,
+        ["job_id"],
+        "_ingest_ts",
+        f"{checkpoints}/silver",
+        tie_breakers,
+        buckets=buckets,
+        on_change=change_marts,
     )
-    publish.jobs_and_marts(
-        spark.table(table), spark.table(layout.silver("customers")), spark.table(layout.silver("devices")), as_of
+
+    customers, devices = spark.table(layout.silver("customers")), spark.table(layout.silver("devices"))
+    marts = Marts(spark, layout, customers, devices, as_of)
+    technicians = layout.silver("technicians")
+    steps = publish.step(technicians, marts.technicians, technician_checks())
+    made = (
+        (marts.repair_turnaround,),
+        (lambda: marts.technician_performance(spark.table(technicians)), technicians),
+        (marts.repeat_customers,),
+        (marts.device_failures,),
     )
-    publish.left_out(layout.silver("service_jobs"), bronze, "job_id")
+    for name, (mart, *needs) in zip(MARTS, made, strict=True):
+        steps |= publish.step(layout.gold(name), mart, [rows()], *needs)
+    jobs_table = layout.silver("service_jobs")
+    if silver_jobs:
+        steps |= publish.step(jobs_table, lambda: current_jobs(spark, layout, as_of), job_checks(), technicians)
+    run_steps(spark, steps)
+
+    run.counts[jobs_table] = run.counts.get(jobs_table, {}) | marts.counts(spark.table(technicians))
+    publish.left_out(jobs_table, layout.bronze("service_jobs_incremental"), "no_job_id")
     return run
+
+
+def current_jobs(spark: SparkSession, layout: Layout, as_of: "dt.date | str | None" = None) -> DataFrame:
+    """Silver jobs as of a day, from what :func:`run_incremental` has stored."""
+    latest, customers, devices, technicians = (
+        spark.table(layout.silver(t)) for t in ("service_jobs_latest", "customers", "devices", "technicians")
+    )
+    return silver.silver_jobs(latest, customers, devices, as_of, technicians)

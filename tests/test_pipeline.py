@@ -3,7 +3,7 @@ from dataclasses import replace
 import pytest
 
 from stratalake.operators.quality import DataQualityError
-from stratalake.plans import gold
+from stratalake.plans import gold, pipeline
 from stratalake.plans.pipeline import run_incremental, run_pipeline
 from stratalake.sources.tables import Layout
 from tests.helpers import d, plan, rows
@@ -123,7 +123,12 @@ def test_rows_that_lose_something_are_kept_and_counted(spark, site):
     run = run_pipeline(spark, layout, as_of="2024-02-01")
     jobs = run.counts[layout.bronze("service_jobs")]
     assert (jobs["lost_estimated_cost"], jobs["lost_actual_cost"], jobs["wrong_column_count"]) == (1, 0, 1)
-    assert run.counts[layout.bronze("devices")] == {"not_empty": 3, "lost_warranty_months": 1, "wrong_column_count": 0}
+    assert run.counts[layout.bronze("devices")] == {
+        "not_empty": 3,
+        "no_key": 0,
+        "lost_warranty_months": 1,
+        "wrong_column_count": 0,
+    }
     kept = spark.table(layout.bronze("service_jobs_quarantine"))
     assert rows(kept.selectExpr("job_id", "get(_lost, 0).column", "get(_lost, 0).text", "_raw_record")) == [
         ("J8", "estimated_cost", "ask", None),
@@ -176,15 +181,41 @@ def test_incremental_runs_equal_one_full_run(spark, site, tmp_path):
     landing.mkdir()
     for name, part in (("a", lines[1:3]), ("b", lines[3:])):
         (landing / f"{name}.csv").write_text("\n".join([lines[0], *part]) + "\n")
-        run = run_incremental(spark, layout, str(landing), f"{tmp_path}/checkpoints", as_of="2024-02-01")
+        run = run_incremental(spark, layout, str(landing), f"{tmp_path}/checkpoints", as_of="2024-02-01", silver_jobs=True)
     assert state(spark, layout) == full
     counts = run.counts[layout.silver("service_jobs")]
     assert (counts["rows"], counts["received"], counts["superseded"]) == (4, 6, 1)
     # Lost checkpoints change nothing.
-    run_incremental(spark, layout, str(landing), f"{tmp_path}/new_checkpoints", as_of="2024-02-01")
+    run_incremental(spark, layout, str(landing), f"{tmp_path}/new_checkpoints", as_of="2024-02-01", silver_jobs=True)
     assert state(spark, layout) == full
 
 
+def test_a_run_can_be_resumed(spark, site, monkeypatch):
+    _, layout = site
+    real = pipeline.replace_table
+
+    def fail_at_gold(df, at, table, *args):
+        if table == layout.gold("repeat_customers"):
+            raise RuntimeError("lost")
+        return real(df, at, table, *args)
+
+    monkeypatch.setattr(pipeline, "replace_table", fail_at_gold)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B1")
+    made = []
+    monkeypatch.setattr(pipeline, "replace_table", lambda df, at, table, *args: made.append(table) or real(df, at, table, *args))
+    resumed = run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B1", resume=True)
+    assert layout.gold("repeat_customers") in made and layout.silver("service_jobs") not in made and layout.bronze("customers") not in made
+    # Counts of what was left out are those of the first attempt.
+    found = state(spark, layout)
+    whole = run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B2")
+    assert resumed.counts == whole.counts and state(spark, layout) == found
+    # Another batch has nothing to resume.
+    made.clear()
+    run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B3", resume=True)
+    assert layout.bronze("customers") in made
+
+
 def test_partitioned_tables_are_pruned(spark, site):
     raw, layout = site
     layout = replace(layout, partition_by={"gold_repair_turnaround": ("completion_month",)})

@@ -3,11 +3,13 @@ from pyspark.sql import functions as F
 
 from stratalake.operators.profile import profile
 from stratalake.operators.quality import (
+    Counting,
     DataQualityError,
     enforce,
     expect_all,
     expect_not_empty,
     expect_unique,
+    fail_if_broken,
     nulls,
     quality_report,
     rows as count_rows,
@@ -50,6 +52,21 @@ def test_empty_data_fails_only_where_rows_are_expected(spark, checks):
     assert [name for name, passed in report.items() if not passed] == ["not_empty"]
 
 
+def test_counts_in_passing_equal_those_of_a_query(spark, checks, tmp_path):
+    data = [("a", 1), ("a", -2), (None, 3), (None, 9), ("b", None)]
+    for i, df in enumerate((spark.createDataFrame(data, "k string, v int"), spark.createDataFrame([], "k string, v int"))):
+        counting = Counting(df.repartition(3), checks)
+        counting.frame.write.parquet(f"{tmp_path}/{i}")
+        stored = spark.read.schema("k string, v int").parquet(f"{tmp_path}/{i}")
+        counts = counting.counts(stored)
+        assert list(counts) == [c.name for c in checks]
+        report = quality_report(stored, checks).collect()
+        assert counts == {r.check_name: r.observed for r in report}
+        assert [c.holds(counts[c.name]) for c in checks] == [r.passed for r in report]
+        with pytest.raises(DataQualityError):
+            fail_if_broken(checks, counts)
+
+
 def test_one_scan_for_all_checks(spark, checks):
     df = spark.range(10).selectExpr("cast(id as string) as k", "cast(id as int) as v")
     assert plan(quality_report(df, checks)).split("\n\n")[0].count("Range") == 1
