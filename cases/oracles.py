@@ -359,9 +359,18 @@ qualify row_number() over (partition by job_id order by _ingest_ts desc, estimat
     "refresh_incremental": _ctes("delivery") + _ALL_MARTS,
     "silver_jobs_incremental": _ctes("delivery")
     + f"select {_JOB_LIST}, {_LIFECYCLE}, has_valid_customer, has_valid_device from silver_jobs",
+    "sketched_units": _select(
+        """select issue_type, count(*) as failure_count, count(distinct device_id) as units, true as is_close
+from silver_jobs where has_valid_device and received_date between date '1996-01-01' and date '1996-06-30' group by 1"""
+    ),
+    "profile_of_deliveries": _select(f"select *, true as is_close from ({_PROFILE}) p"),
+    "bucketed_failures": _select(
+        """select job_id, j.device_id, j.issue_type, j.received_date, d.brand, d.device_type, d.price_tier
+from silver_jobs j left join silver_devices d on j.device_id = d.device_id"""
+    ),
     "turnaround_quantiles": _select(
         """select issue_type, count(turnaround_days) as timed_jobs, quantile_disc(turnaround_days, 0.25) as q25,
   quantile_disc(turnaround_days, 0.5) as q50, quantile_disc(turnaround_days, 0.9) as q90
-from silver_jobs where is_completed and completed_date between date '1994-01-01' and date '1995-12-31' group by 1"""
+from silver_jobs where is_completed and completed_date between date '1995-03-01' and date '1997-02-28' group by 1"""
     ),
 }

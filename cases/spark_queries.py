@@ -13,6 +13,7 @@ from stratalake.operators.dedupe import dedupe_exact_rows, keep_latest_per_key
 from stratalake.operators.profile import profile
 from stratalake.operators.quality import quality_report
 from stratalake.operators.references import flag_reference, orphans
+from stratalake.operators.sketches import merged_profile, profile_sketch, unit_sketches, units_affected
 from stratalake.operators.visits import visit_gaps
 from stratalake.plans import gold, silver
 from stratalake.plans.mart_state import STATES, TURNAROUND, signed, turnaround_quantiles as stored_quantiles
@@ -463,7 +464,53 @@ def turnaround_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quantiles over two years of months, from stored counts per day and without the jobs."""
     signed_jobs = signed(_latest(spark, sf_dir).limit(0), _latest(spark, sf_dir))
     state = stage(TURNAROUND.of(signed_jobs), "turnaround_state")
-    return stored_quantiles(state, ["issue_type"], [0.25, 0.5, 0.9], ("1994-01-01", "1995-12-01"))
+    return stored_quantiles(state, ["issue_type"], [0.25, 0.5, 0.9], ("1995-03-01", "1997-02-01"))
+
+
+# --- sketches and buckets ---
+
+
+def sketched_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct devices of half a year by issue, merged from stored sketches of each day; exact ones beside them."""
+    devices = _devices(spark, sf_dir)
+    jobs = stage(_latest(spark, sf_dir).select("received_date", "device_id", "issue_type"), "jobs")
+    days = ("1996-01-01", "1996-06-30")
+    estimated = units_affected(stage(unit_sketches(jobs, devices), "unit_sketches"), ["issue_type"], days)
+    known = jobs.filter(F.col("received_date").between(*days)).join(devices, "device_id", "left_semi")
+    exact = known.groupBy("issue_type").agg(F.count_distinct("device_id").alias("units"))
+    error = F.abs(F.col("distinct_units_affected") - F.col("units")) / F.col("units")
+    return estimated.join(exact, "issue_type").select("issue_type", "failure_count", "units", (error < 0.08).alias("is_close"))
+
+
+def profile_of_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles of two deliveries, stored apart and merged; estimates within 8 % of the exact counts."""
+    jobs = stage(fixture.raw_jobs(spark, sf_dir), "raw_jobs")
+    states = [profile_sketch(delivery) for delivery in _deliveries(jobs)]
+    merged = merged_profile(stage(states[0].unionByName(states[1]), "profiles"))
+    exact = profile(jobs).select("column_name", "distinct_count", "duplicate_rows")
+    close = lambda a, b, of: F.abs(F.col(a) - F.col(b)) <= 0.08 * F.col(of)
+    joined = merged.withColumnsRenamed({"distinct_count": "d", "duplicate_rows": "r"}).join(exact, "column_name")
+    return joined.select(
+        "column_name",
+        "row_count",
+        "null_count",
+        "distinct_count",
+        "duplicate_rows",
+        (close("d", "distinct_count", "distinct_count") & close("r", "duplicate_rows", "row_count")).alias("is_close"),
+    )
+
+
+def bucketed_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jobs and devices are stored in buckets of the device, so that they meet without a shuffle of the jobs."""
+    storage = scratch_folder(spark, "tables")
+    buckets = {"silver_service_jobs": (BUCKETS, ("device_id",)), "silver_devices": (BUCKETS, ("device_id",))}
+    layout = Layout(schema=f"stratalake_{storage[-12:]}", raw_path="", storage=storage, bucket_by=buckets)
+    layout.ensure_schema(spark)
+    columns = ["job_id", "device_id", "issue_type", "received_date"]
+    replace_table(_latest(spark, sf_dir).select(columns), layout, layout.silver("service_jobs"))
+    replace_table(silver.silver_devices(fixture.raw_devices(spark, sf_dir)), layout, layout.silver("devices"))
+    jobs, devices = spark.table(layout.silver("service_jobs")), spark.table(layout.silver("devices"))
+    return jobs.join(devices.select("device_id", "brand", "device_type", "price_tier"), "device_id", "left")
 
 
 QUERIES: dict[str, Query] = {
@@ -508,4 +555,7 @@ QUERIES: dict[str, Query] = {
     "refresh_incremental": refresh_incremental,
     "silver_jobs_incremental": silver_jobs_incremental,
     "turnaround_quantiles": turnaround_quantiles,
+    "sketched_units": sketched_units,
+    "profile_of_deliveries": profile_of_deliveries,
+    "bucketed_failures": bucketed_failures,
 }
