@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: White space that separates words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -69,6 +70,33 @@ def salted_lookup(facts: DataFrame, dims: DataFrame, key: str, spread: list[str]
     return salted.join(parts, [key, "__salt"]).drop("__salt")
 
 
+def pack_text(rows: DataFrame, column: str) -> DataFrame:
+    """Compresses a binary column, so that rows take less room while they are dealt out anew. :func:`unpack_texts` undoes it."""
+    at = rows.columns.index(column)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            packed = pa.array([squeeze(x) for x in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([packed if i == at else c for i, c in enumerate(batch.columns)], schema=batch.schema)
+
+    return rows.mapInArrow(pack, rows.schema)
+
+
+def unpack_texts(packed: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts of a packed column in slices of a few megabytes, each with the row that it starts with."""
+    widen = zstandard.ZstdDecompressor().decompress
+    start, texts, held = 0, [], 0
+    for i, x in enumerate(packed):
+        texts.append(widen(x.as_py()))
+        held += len(texts[-1])
+        if held >= 4_000_000:
+            yield start, texts
+            start, texts, held = i + 1, [], 0
+    if texts:
+        yield start, texts
+
+
 class WordHashes(dict):
     """64-bit hash by word, computed once. Holds at most ``limit`` words, then starts anew."""
 
@@ -86,6 +114,67 @@ class WordHashes(dict):
         return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
+_IS_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: The first so many of eight bytes, read as a little-endian number.
+_FIRST_BYTES = np.array([(1 << (8 * n)) - 1 for n in range(9)], np.uint64)
+#: Longer words are hashed one by one.
+_LONG_WORD = 256
+
+
+class SplitTexts:
+    """The words of several texts as places in one array of bytes: ``starts`` and ``lengths`` of all, and how many each text has."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        #: Space around all texts, and enough at the end to read eight bytes from anywhere in a word.
+        self.joined = b" " + b" ".join(texts) + b" " * 8
+        self.bytes = np.frombuffer(self.joined, np.uint8)
+        is_space = _IS_SPACE[self.bytes]
+        edges = np.flatnonzero(is_space[1:] != is_space[:-1]) + 1
+        self.starts, ends = edges[::2], edges[1::2]
+        self.lengths = ends - self.starts
+        begins = 1 + np.cumsum([0, *[len(t) + 1 for t in texts]])
+        #: Number of the first word of each text, and of all words.
+        self.bounds = np.searchsorted(self.starts, begins)
+
+    def hashes(self) -> np.ndarray:
+        return hash_ranges(self.joined, self.starts, self.lengths)
+
+    def by_text(self, values: np.ndarray) -> list[np.ndarray]:
+        """Values of all words, text by text."""
+        return [values[a:b] for a, b in zip(self.bounds[:-1].tolist(), self.bounds[1:].tolist())]
+
+
+def hash_ranges(data: bytes, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """64-bit hash of each range of bytes. At least eight bytes must follow the last start. Ranges of up to eight bytes and equal length never collide."""
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    out = mix((eight[starts] & _FIRST_BYTES[np.minimum(lengths, 8)]) ^ (lengths.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
+    longer, at = np.flatnonzero(lengths > 8), 8
+    while len(longer):
+        if at >= _LONG_WORD:
+            for i in longer.tolist():
+                out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + lengths[i]])
+            break
+        left = lengths[longer] - at
+        out[longer] = mix(out[longer] + (eight[starts[longer] + at] & _FIRST_BYTES[np.minimum(left, 8)]))
+        longer, at = longer[left > 8], at + 8
+    return out
+
+
+def run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """The 64-bit hash of every run of ``n`` word hashes, by start, from runs of powers of two."""
+    if len(words) < n:
+        return np.empty(0, np.uint64)
+    count = len(words) - n + 1
+    out, taken, piece, width = np.zeros(count, np.uint64), 0, words, 1
+    while taken < n:
+        if n & width:
+            out = mix(out * np.uint64(3) + piece[taken : taken + count])
+            taken += width
+        if taken < n:
+            piece, width = mix(piece[:-width] * np.uint64(5) + piece[width:]), 2 * width
+    return out
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit over all others."""
     values = (values ^ (values >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)

@@ -7,14 +7,15 @@ a repeated anchor are thus unique; the others extend their anchors to whole wind
 """
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.llm import fingerprints as fp
-from stratalake.llm.common import WordHashes, id_and_text, ngram_hashes, release
+from stratalake.llm.common import SplitTexts, id_and_text, pack_text, run_hashes, text_slices, unpack_texts
 
 WINDOW = 13
 #: A perfect difference cover: 0, 1 and 3 differ by every distance modulo 7.
@@ -24,14 +25,17 @@ ANCHOR = WINDOW - PERIOD + 1
 LAST = 2**63 - 1
 
 _SPACE = re.compile(rb"([\x20\x09-\x0D]+)")
+_BLANK = b" \t\n\r\x0b\x0c"
 
 
 def _anchors(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the anchors of a document; none if it has no window."""
     if len(words) < WINDOW:
         return np.empty(0, np.int64), np.empty(0, np.uint64)
-    hashes = ngram_hashes(words, ANCHOR)
-    at = np.flatnonzero(np.isin(np.arange(len(hashes)) % PERIOD, COVER))
+    hashes = run_hashes(words, ANCHOR)
+    starts = np.arange(0, len(hashes), PERIOD)
+    at = (starts[:, None] + np.array(COVER)).ravel()
+    at = at[at < len(hashes)]
     return at, hashes[at]
 
 
@@ -45,6 +49,20 @@ def _candidates(words: np.ndarray, repeated: np.ndarray) -> np.ndarray:
     return np.flatnonzero(before[PERIOD : PERIOD + n] > before[:n])
 
 
+def _by_text(slices: Iterable[tuple[int, list[bytes]]]) -> Iterator[tuple[int, np.ndarray]]:
+    """Row and word hashes of each text that has a window."""
+    for start, texts in slices:
+        split = SplitTexts(texts)
+        for i, words in enumerate(split.by_text(split.hashes()), start):
+            if len(words) >= WINDOW:
+                yield i, words
+
+
+def _plain(texts: pa.Array) -> Iterator[tuple[int, list[bytes]]]:
+    for start, end in text_slices(texts):
+        yield start, texts.slice(start, end - start).to_pylist()
+
+
 def remove_repeated_words(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", keep_layout: bool = False
 ) -> DataFrame:
@@ -68,10 +86,11 @@ def remove_repeated_words(
     )
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, gathered = WordHashes(), fp.Gathered()
+        gathered = fp.Gathered()
         for batch in batches:
-            for key, rank, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                gathered.add(key, rank, np.unique(_anchors(words.of(text.as_py().split()))[1]))
+            keys, ranks = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, words in _by_text(_plain(batch.column(2))):
+                gathered.add(keys[i], ranks[i], np.unique(_anchors(words)[1]))
                 if gathered.size >= fp.CHUNK:
                     yield from fp.pack_shared(gathered, parts, fp.ROUGH, tell=True)
                     gathered = fp.Gathered()
@@ -80,44 +99,37 @@ def remove_repeated_words(
 
     anchors = texts.select("key", "rank", "text").mapInArrow(send_anchors, fp.PACKED)
     repeated = fp.exchange(anchors, parts, fp.ROUGH, fp.SHARED, "cover_anchors")
-    release(spark)
 
     def send_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, gathered = WordHashes(), fp.Gathered()
+        gathered = fp.Gathered()
         for batch in batches:
-            for key, rank, text, answers in zip(*(batch.column(i) for i in range(4))):
-                found = words.of(text.as_py().split())
-                starts = _candidates(found, fp.unpack(answers.as_py(), fp.ROUGH))
-                gathered.add(key.as_py(), rank.as_py(), np.unique(ngram_hashes(found, WINDOW)[starts]))
+            keys, ranks, answers = (batch.column(i).to_pylist() for i in (0, 1, 3))
+            for i, words in _by_text(unpack_texts(batch.column(2))):
+                starts = _candidates(words, fp.unpack(answers[i], fp.ROUGH))
+                gathered.add(keys[i], ranks[i], np.unique(run_hashes(words, WINDOW)[starts]))
                 if gathered.size >= fp.CHUNK:
                     yield from fp.pack_first(gathered, parts, fp.EXACT)
                     gathered = fp.Gathered()
         if gathered.size:
             yield from fp.pack_first(gathered, parts, fp.EXACT)
 
-    windows = texts.join(repeated, "key").select("key", "rank", "text", "answers").mapInArrow(send_windows, fp.PACKED)
+    # Texts travel packed.
+    sent = pack_text(texts.select("key", "rank", "text"), "text")
+    windows = sent.join(repeated, "key").select("key", "rank", "text", "answers").mapInArrow(send_windows, fp.PACKED)
     earlier = fp.exchange(windows, parts, fp.EXACT, fp.NOT_FIRST, "cover_windows")
-    release(spark)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
-            rows = []
-            for text, answers in zip(batch.column(1), batch.column(2)):
-                pieces = _SPACE.split(text.as_py().strip(b" \t\n\r\x0b\x0c"))
-                split = pieces[::2] if pieces[0] else []
-                gone = np.zeros(len(split), bool)
-                if answers.is_valid:
-                    hashes = ngram_hashes(words.of(split), WINDOW)
-                    gone = covered(fp.contains(fp.unpack(answers.as_py(), fp.EXACT), hashes), WINDOW, len(split))
-                if not gone.any():
-                    kept = text.as_py() if keep_layout else b" ".join(split)
-                elif keep_layout:
-                    spaces = [*pieces[1::2], b""]
-                    kept = b"".join(x for w, space, g in zip(split, spaces, gone) if not g for x in (w, space))
-                else:
-                    kept = b" ".join(w for w, g in zip(split, gone) if not g)
-                rows.append((len(split), int(gone.sum()), kept))
+            answers, rows = batch.column(2).to_pylist(), []
+            for start, texts in unpack_texts(batch.column(1)):
+                # Only documents that were told of a repeat are hashed again.
+                told = [i for i in range(len(texts)) if answers[start + i] is not None]
+                gone_in = {}
+                for i, words in _by_text([(0, [texts[i] for i in told])]):
+                    repeated = fp.contains(fp.unpack(answers[start + told[i]], fp.EXACT), run_hashes(words, WINDOW))
+                    if repeated.any():
+                        gone_in[told[i]] = covered(repeated, WINDOW, len(words))
+                rows += [_without(text, gone_in.get(i), keep_layout) for i, text in enumerate(texts)]
             columns = zip(*rows) if rows else ((), (), ())
             types = (pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -125,11 +137,24 @@ def remove_repeated_words(
                 ["doc_id", "n_words", "n_removed", "kept", "text_hash"],
             )
 
-    joined = texts.join(earlier, "key", "left").select("doc_id", "text", "answers", F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
-    out = joined.mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept binary, text_hash long")
+    hashed = texts.select("key", "doc_id", "text", F.xxhash64(F.col("text").cast("string")).alias("text_hash"))
+    joined = pack_text(hashed, "text").join(earlier, "key", "left")
+    out = joined.select("doc_id", "text", "answers", "text_hash").mapInArrow(cut, "doc_id long, n_words long, n_removed long, kept binary, text_hash long")
     return out.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_text"), "text_hash")
 
 
+def _without(text: bytes, gone: np.ndarray | None, keep_layout: bool) -> tuple[int, int, bytes]:
+    """Words, removed words, and what is left of a text."""
+    split = text.split()
+    if gone is None:
+        return len(split), 0, text if keep_layout else b" ".join(split)
+    keeps = (~gone).tolist()
+    if not keep_layout:
+        return len(split), int(gone.sum()), b" ".join(compress(split, keeps))
+    spaces = [*_SPACE.split(text.strip(_BLANK))[1::2], b""]
+    return len(split), int(gone.sum()), b"".join(x for pair in compress(zip(split, spaces), keeps) for x in pair)
+
+
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Places covered by windows of a length, given whether one starts at each place that has one."""
     change = np.zeros(n + 1, np.int64)
