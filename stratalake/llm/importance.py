@@ -14,16 +14,14 @@ TARGET_SAMPLE labelled documents of each kind, whose ids can so be broadcast: no
 driver: BUCKETS or WORD_BUCKETS numbers each, whatever the input.
 """
 
-import re
 import string
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.llm.common import WordHashes, id_and_text, mix, text_slices, uniform
+from stratalake.llm.common import SplitTexts, hash_ranges, id_and_text, mix, text_slices, uniform
 from stratalake.sources.scratch import stage
 
 BUCKETS = 1 << 16
@@ -52,46 +50,54 @@ _CLASSES = bytes(
     ord("A") if 65 <= b <= 90 else ord("a") if 97 <= b <= 122 or b >= 128 else ord("0") if 48 <= b <= 57 else b
     for b in range(256)
 )
-_RUN = re.compile(rb"(.)\1+", re.DOTALL)
-_PUNCTUATION = string.punctuation.encode()
+_CLASS_OF = np.frombuffer(_CLASSES, np.uint8)
+_IS_PUNCTUATION = np.isin(np.arange(256), list(string.punctuation.encode()))
 
 
-class _Shapes(WordHashes):
-    """Hash of a word's shape: letters as A or a, digits as 0, runs of the same character as one."""
+def _shape_hashes(texts: SplitTexts) -> np.ndarray:
+    """Hash of each word's shape: letters as A or a, digits as 0, runs of the same character as one."""
+    classes = _CLASS_OF[texts.bytes]
+    # A word follows white space, so its first character is never the one before.
+    new = np.r_[True, classes[1:] != classes[:-1]]
+    place = np.cumsum(new) - 1
+    starts, last = place[texts.starts], place[texts.starts + texts.lengths - 1]
+    return mix(hash_ranges(classes[new].tobytes() + bytes(8), starts, last - starts + 1))
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(_RUN.sub(rb"\1", word.translate(_CLASSES)), 1)
-        return value
 
-
-class _Plain(WordHashes):
-    """Hash of a word with A-Z in lower case and without punctuation around it."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.strip(_PUNCTUATION).lower() or word, 2)
-        return value
+def _plain_hashes(texts: SplitTexts) -> np.ndarray:
+    """Hash of each word with A-Z in lower case and without punctuation around it, unless it is nothing else."""
+    letters = np.flatnonzero(~_IS_PUNCTUATION[texts.bytes])
+    ends = texts.starts + texts.lengths
+    first, after = np.searchsorted(letters, texts.starts), np.searchsorted(letters, ends)
+    some = after > first
+    starts = np.where(some, letters[np.minimum(first, len(letters) - 1)], texts.starts)
+    stops = np.where(some, letters[after - 1] + 1, ends)
+    return mix(hash_ranges(texts.joined.lower(), starts, stops - starts) + np.uint64(1))
 
 
 class Ngrams:
-    """Buckets of a text's n-grams: words, word pairs, word shapes, pairs of shapes, and whether a word repeats the one before;
-    and, apart, the buckets of its distinct words."""
-
-    def __init__(self) -> None:
-        self.words, self.shapes, self.plain = WordHashes(), _Shapes(), _Plain()
-
-    def distinct_words(self, text: bytes) -> np.ndarray:
-        return np.unique(self.plain.of(list(set(text.split()))) % np.uint64(WORD_BUCKETS)).astype(np.int64)
-
-    def buckets(self, text: bytes) -> np.ndarray:
-        split = text.split()
-        words, shapes = self.words.of(split), self.shapes.of(split)
-        again = (words[1:] == words[:-1]).astype(np.uint64)
-        of_pairs = [mix(x[:-1] * np.uint64(3) + x[1:] + np.uint64(i)) for i, x in enumerate((words, shapes))]
-        return (np.concatenate([words, shapes, *of_pairs, mix(again)]) % np.uint64(BUCKETS)).astype(np.int64)
+    """Buckets of the n-grams of some texts: words, word pairs, word shapes, pairs of shapes, and whether a word repeats the one before;
+    and, apart, the buckets of their distinct words."""
+
+    def __init__(self, texts: list[bytes]) -> None:
+        self.texts = SplitTexts(texts)
+
+    def buckets(self) -> list[np.ndarray]:
+        """Text by text."""
+        words, shapes = self.texts.hashes(), _shape_hashes(self.texts)
+        # Of the whole slice; the pair of the last word of a text and the first of the next is left out below.
+        after = [np.r_[x[1:], np.zeros(1, np.uint64)][: len(x)] for x in (words, shapes)]
+        pairs = [mix(x * np.uint64(3) + y + np.uint64(i)) for i, (x, y) in enumerate(zip((words, shapes), after))]
+        again = mix((words == after[0]).astype(np.uint64))
+        own, paired = ([(x % np.uint64(BUCKETS)).astype(np.int64) for x in some] for some in ((words, shapes), (*pairs, again)))
+        out = []
+        for a, b in zip(self.texts.bounds[:-1].tolist(), self.texts.bounds[1:].tolist()):
+            out.append(np.concatenate([*[x[a:b] for x in own], *[x[a : max(a, b - 1)] for x in paired]]))
+        return out
+
+    def distinct_words(self) -> list[np.ndarray]:
+        places = (_plain_hashes(self.texts) % np.uint64(WORD_BUCKETS)).astype(np.int64)
+        return [np.unique(x) for x in self.texts.by_text(places)]
 
 
 class Models:
@@ -108,19 +114,18 @@ def count_ngrams(texts: DataFrame) -> Models:
     as many sums come to the driver."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ngrams, own = Ngrams(), Models()
+        own = Models()
         for batch in batches:
             for start, end in text_slices(batch.column(0), 1_000_000):
-                rows = batch.slice(start, end - start)
-                labels = rows.column(1).to_pylist()
-                found = [ngrams.buckets(text.as_py()) for text in rows.column(0)]
+                texts, labels = (batch.column(i).slice(start, end - start).to_pylist() for i in (0, 1))
+                found = Ngrams(texts).buckets()
                 own.raw += np.bincount(np.concatenate(found), minlength=BUCKETS)
                 good = [x for x, label in zip(found, labels) if label == TARGET]
                 if good:
                     own.target += np.bincount(np.concatenate(good), minlength=BUCKETS)
-                for text, label in zip(rows.column(0), labels):
-                    if label is not None:
-                        (own.toxic if label == TOXIC else own.clean)[ngrams.distinct_words(text.as_py())] += 1
+                known = [(text, label) for text, label in zip(texts, labels) if label is not None]
+                for words, (_, label) in zip(Ngrams([text for text, _ in known]).distinct_words(), known):
+                    (own.toxic if label == TOXIC else own.clean)[words] += 1
                 own.n_toxic += labels.count(TOXIC)
                 own.n_clean += labels.count(TARGET) + labels.count(OTHER)
         # The numbers of rows go where no bucket is.
@@ -204,16 +209,14 @@ def importance(
     raw, target = models.raw.astype(float), models.target.astype(float)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ngrams = Ngrams()
         for batch in batches:
             for start, end in text_slices(batch.column(3)):
                 rows = batch.slice(start, end - start)
-                found = [ngrams.buckets(text.as_py()) for text in rows.column(3)]
-                ratios = [log_ratio(x, target, raw, own.as_py()) for x, own in zip(found, rows.column(2))]
-                toxic = [
-                    toxic_ratio(ngrams.distinct_words(text.as_py()), models, label.as_py())
-                    for text, label in zip(rows.column(3), rows.column(4))
-                ]
+                ngrams = Ngrams(rows.column(3).to_pylist())
+                found = ngrams.buckets()
+                ratios = [log_ratio(x, target, raw, own) for x, own in zip(found, rows.column(2).to_pylist())]
+                labelled = zip(ngrams.distinct_words(), rows.column(4).to_pylist())
+                toxic = [toxic_ratio(words, models, label) for words, label in labelled]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *rows.columns[:3],
@@ -249,8 +252,13 @@ def kth_largest(rows: DataFrame, column: str, k: int) -> float:
             rank -= row["n"]
     if low == high:
         return low
-    found = sorted((r["v"] for r in values.where(F.col("v").between(low, high)).collect()), reverse=True)
-    return found[rank - 1]
+    # Few rows, or a range that cannot be cut, in which there are few different values.
+    found = values.where(F.col("v").between(low, high)).groupBy("v").agg(F.count("v").alias("n")).collect()
+    for row in sorted(found, key=lambda r: -r["v"]):
+        if rank <= row["n"]:
+            return row["v"]
+        rank -= row["n"]
+    return low
 
 
 def resample(

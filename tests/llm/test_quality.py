@@ -1,12 +1,16 @@
 import itertools
+import math
 import random
+import re
+import string
+from collections import Counter
 
 import numpy as np
 import pytest
 
-from stratalake.llm import line_crf
-from stratalake.llm.common import read
-from stratalake.llm.importance import kth_largest, resample
+from stratalake.llm import importance, line_crf
+from stratalake.llm.common import SplitTexts, read
+from stratalake.llm.importance import PRIOR, Ngrams, kth_largest, resample
 from stratalake.llm.line_crf import FEATURES, LineCrf, base_counts, quality_rules, train, train_on_labels
 from tests.llm import brute
 from tests.llm.conftest import ODD
@@ -160,6 +164,56 @@ def test_weights_follow_the_counts(spark, documents):
     assert {i for i, r in found.items() if r.kept} >= set(range(29))
 
 
+def shape(word):
+    kinds = "".join("A" if c.isascii() and c.isupper() else "a" if not c.isascii() or c.islower() else "0" if c.isdigit() else c for c in word)
+    return re.sub(r"(.)\1+", r"\1", kinds)
+
+
+def test_words_shapes_and_plain_words_are_told_apart_as_by_hand():
+    rng = random.Random(8)
+    parts = ["a", "B", "é", "7", "00", ".", "--", "(", "xyz", "longer-word", "😀", "'s", "ABC", "q" * 300]
+    texts = [" ".join("".join(rng.choices(parts, k=rng.randrange(1, 5))) for _ in range(rng.randrange(0, 40))) for _ in range(60)]
+    split = SplitTexts([t.encode() for t in texts])
+    words = [w for t in texts for w in t.split()]
+    assert np.diff(split.bounds).tolist() == [len(t.split()) for t in texts]
+    plain = [w.strip(string.punctuation).lower() if w.strip(string.punctuation) else w for w in words]
+    # Only A-Z change their case; a character of several bytes has a shape of one or more letters, as before.
+    for hashes, said in ((split.hashes(), words), (importance._plain_hashes(split), plain), (importance._shape_hashes(split), map(shape, words))):
+        pairs = set(zip(hashes.tolist(), said, strict=True))
+        assert len(pairs) == len({h for h, _ in pairs}) == len({w for _, w in pairs})
+
+
+def test_weights_and_draw_equal_a_plain_version(spark, documents):
+    rng = random.Random(5)
+    word = lambda: rng.choice(("Good", "bad,", "vile", "w1", "w2", "w22", "(x)", "ok"))
+    rows = [(i, " ".join(word() for _ in range(rng.randrange(0, 30)))) for i in range(120)]
+    known = {i: (int(i % 3 > 0), int(i % 7 == 0)) for i in range(60)}
+    labels = spark.createDataFrame([(i, *q) for i, q in known.items()], "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r for r in resample(documents(rows).repartition(3), labels, k=40).collect()}
+
+    grams = {i: Counter(Ngrams([t.encode()]).buckets()[0].tolist()) for i, t in rows}
+    told = {i: set(Ngrams([t.encode()]).distinct_words()[0].tolist()) for i, t in rows}
+    target = [i for i, q in known.items() if q == (1, 0)]
+    toxic, clean = [i for i, q in known.items() if q[1]], [i for i, q in known.items() if not q[1]]
+    raw, of_target = sum(grams.values(), Counter()), sum((grams[i] for i in target), Counter())
+    for i, own in grams.items():
+        mine = own if i in target else Counter()
+        share = max(of_target.total() - mine.total(), 0) / max(raw.total() - own.total(), 1)
+        weight = sum(
+            n * math.log((of_target[g] - mine[g] + PRIOR) / ((raw[g] - n) * share + PRIOR)) for g, n in own.items()
+        )
+        assert found[i].n_ngrams == own.total() and found[i].log_weight == pytest.approx(weight, abs=1e-9)
+        bad, good = [j for j in toxic if j != i], [j for j in clean if j != i]
+        ratios = sorted(
+            math.log((sum(w in told[j] for j in bad) + 1) / (sum(w in told[j] for j in good) * len(bad) / len(good) + 1)) for w in told[i]
+        )
+        assert found[i].toxic_ratio == pytest.approx(sum(ratios[-3:]), abs=1e-9)
+    cut = sorted(found[i].toxic_ratio for i in target)[-1 - int(len(target) * importance.CLEAN_LOST)]
+    left = sorted((r for r in found.values() if r.toxic_ratio <= cut), key=lambda r: -r.key)
+    assert {i for i, r in found.items() if r.kept} == {r.doc_id for r in left[:40]}
+    assert all(r.key == float("-inf") for r in found.values() if r.toxic_ratio > cut)
+
+
 def test_odd_documents_are_weighed(spark, documents):
     labels = spark.createDataFrame([(4, 1, 0), (4, 1, None), (7, 0, 0), (None, 1, 0), (5, 1, 1)], "doc_id long, quality int, toxic int")
     found = resample(documents(ODD), labels, k=3).collect()
@@ -174,8 +228,6 @@ def test_odd_documents_are_weighed(spark, documents):
 
 @pytest.mark.parametrize("values", [[1.0], [2.0] * 9, [float(i * i % 101) for i in range(300)], [1e-300 * i for i in range(50)] + [1e300]])
 def test_kth_largest(spark, values, monkeypatch):
-    from stratalake.llm import importance
-
     monkeypatch.setattr(importance, "SEARCH_BINS", 4)
     df = spark.createDataFrame([(v,) for v in values], "v double")
     ordered = sorted(values, reverse=True)
