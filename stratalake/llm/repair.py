@@ -13,6 +13,7 @@ File format: a Parquet table, one row per block, sorted by ``shard`` and ``block
     rule_lengths     binary  unsigned 32-bit number of ids in the expansion of each rule
     symbols          binary  the compressed block, unsigned 32-bit
     first_symbol, n_ids long smallest new symbol, number of ids in the block
+    first_id, last_id long   smallest and largest document id; null if the block has none
 """
 
 import os
@@ -30,76 +31,117 @@ from stratalake.sources.scratch import scratch_folder, stage
 
 END_ID = 0
 BLOCK_IDS = 2_000_000
-ROUNDS = 4
-#: Pairs seen less often in a block are not replaced, and at most so many rules come from one round.
-LEAST_COUNT, RULES_PER_ROUND = 16, 8192
-#: Pairs are counted by hash, in 2 ** BIN_BITS bins.
-BIN_BITS = 18
+#: Pairs seen less often in a block are not replaced. A rule takes the room of three symbols, so one that is used less often than this
+#: would gain nothing.
+LEAST_COUNT, LEAST_USES = 16, 4
+TABLE_BITS = 20
 
 SCHEMA = (
     "shard long, block long, doc_ids binary, has_id binary, doc_lengths binary, rules binary, rule_lengths binary, "
-    "symbols binary, first_symbol long, n_ids long"
+    "symbols binary, first_symbol long, n_ids long, first_id long, last_id long"
 )
 
 
 # --- grammar of one block ---
 
 
-def compress(ids: np.ndarray, first_symbol: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Symbols, rules (two symbols each) and expansion lengths of the rules."""
+def compress(ids: np.ndarray, first_symbol: int, least: int = LEAST_COUNT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Symbols, rules (two symbols each) and expansion lengths of the rules. No pair of the symbols is left ``least`` times or more.
+
+    A round counts all pairs and gives each frequent one a rule; where frequent pairs overlap, the more frequent one is replaced.
+    """
     symbols = ids.astype(np.uint32)
     rules, lengths = [np.empty((0, 2), np.uint32)], [np.empty(0, np.uint32)]
     next_symbol = first_symbol
     of_symbol = np.ones(first_symbol, np.uint32)
-    for _ in range(rounds):
-        pairs, bins = _pairs(symbols)
-        chosen, rule_of_bin = _frequent_pairs(pairs, bins)
-        if not len(chosen):
-            break
+    # Only pairs with a new symbol, and frequent ones that were in the way of others, can be frequent in the next round.
+    look = np.arange(max(len(symbols) - 1, 0))
+    while True:
+        pairs = symbols[look].astype(np.uint64) << np.uint64(32) | symbols[look + 1]
+        frequent, counts = _frequent_pairs(pairs, least)
+        if not len(frequent):
+            return symbols.astype("<u4"), np.concatenate(rules).astype("<u4"), np.concatenate(lengths).astype("<u4")
+        found, rule = _places(pairs, frequent)
+        at = look[found]
+        taken = _best_places(len(symbols), at, counts[rule])
+        worth = np.bincount(rule[taken], minlength=len(frequent)) >= LEAST_USES
+        if not worth.any():
+            # Frequent pairs in each other's way: the most frequent one alone is replaced at half of its places at least.
+            worth[np.argmax(counts)] = True
+            taken = np.flatnonzero(worth[rule])
+            taken = taken[_every_second(at[taken])]
+        taken = taken[worth[rule[taken]]]
+        number = np.cumsum(worth) - 1
+        chosen = frequent[worth]
         rules.append(np.stack([chosen >> np.uint64(32), chosen & np.uint64(0xFFFFFFFF)], axis=1).astype(np.uint32))
         lengths.append(of_symbol[rules[-1][:, 0]] + of_symbol[rules[-1][:, 1]])
         of_symbol = np.concatenate([of_symbol, lengths[-1]])
-        symbols = _replace(symbols, pairs, rule_of_bin[bins], chosen, next_symbol)
+        symbols[at[taken]] = next_symbol + number[rule[taken]]
+        watched, stay = np.zeros(len(symbols), bool), np.ones(len(symbols), bool)
+        watched[at] = True
+        stay[at[taken] + 1] = False
+        symbols, watched = symbols[stay], watched[stay]
+        fresh = symbols >= next_symbol
+        look = np.flatnonzero(watched[:-1] | fresh[:-1] | fresh[1:])
         next_symbol += len(chosen)
-    return symbols.astype("<u4"), np.concatenate(rules).astype("<u4"), np.concatenate(lengths).astype("<u4")
-
-
-def _pairs(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each neighbouring pair, and the bin that its hash falls in."""
-    pairs = symbols[:-1].astype(np.uint64) << np.uint64(32) | symbols[1:]
-    return pairs, ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BIN_BITS)).astype(np.int32)
-
-
-def _frequent_pairs(pairs: np.ndarray, bins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs, and the number of a bin's rule (-1: none). Of the pairs in a bin, one can have a rule in a
-    round; the others have another chance in the next."""
-    speaker = np.zeros(1 << BIN_BITS, np.uint64)
-    speaker[bins] = pairs
-    counts = np.bincount(bins[speaker[bins] == pairs], minlength=1 << BIN_BITS)
-    found = np.flatnonzero(counts >= LEAST_COUNT)
-    found = np.sort(found[np.argsort(-counts[found], kind="stable")[:RULES_PER_ROUND]])
-    rule_of_bin = np.full(1 << BIN_BITS, -1, np.int32)
-    rule_of_bin[found] = np.arange(len(found), dtype=np.int32)
-    return speaker[found], rule_of_bin
 
 
-def _replace(symbols: np.ndarray, pairs: np.ndarray, rule: np.ndarray, chosen: np.ndarray, first: int) -> np.ndarray:
-    """Replaces chosen pairs; where they overlap, every second one of a run from its left."""
+def _frequent_pairs(pairs: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs that occur at least so often, ascending, and how often."""
+    ordered = np.sort(pairs)
+    # Equal pairs are neighbours, so a frequent one is the same as the one ``least - 1`` places on.
+    some = np.flatnonzero(ordered[least - 1 :] == ordered[: len(ordered) - least + 1]) if len(ordered) >= least else np.empty(0, np.int64)
+    frequent = ordered[some]
+    first = np.r_[True, frequent[1:] != frequent[:-1]] if len(frequent) else np.empty(0, bool)
+    starts = np.flatnonzero(first)
+    return frequent[first], np.diff(np.r_[starts, len(frequent)]) + least - 1
+
+
+def _places(pairs: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a frequent pair stands, and which. Looked up in a table by hash; only pairs that share a place there are searched for."""
+    hashed = lambda x: ((x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - TABLE_BITS)).astype(np.int32)
+    slots = hashed(frequent)
+    table = np.full(1 << TABLE_BITS, -1, np.int32)
+    table[slots] = np.arange(len(frequent), dtype=np.int32)
+    slot = hashed(pairs)
+    rule = table[slot]
     at = np.flatnonzero(rule >= 0)
-    at = at[chosen[rule[at]] == pairs[at]]
+    rule = rule[at]
+    real = frequent[rule] == pairs[at]
+    hidden = np.flatnonzero(table[slots] != np.arange(len(frequent)))
+    if len(hidden):
+        crowded = np.zeros(1 << TABLE_BITS, bool)
+        crowded[slots[hidden]] = True
+        ask = np.flatnonzero(~real & crowded[slot[at]])
+        found = np.minimum(np.searchsorted(frequent, pairs[at[ask]]), len(frequent) - 1)
+        good = frequent[found] == pairs[at[ask]]
+        rule[ask[good]], real[ask[good]] = found[good], True
+    return at[real], rule[real]
+
+
+def _best_places(n: int, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of the places ``at`` (as indexes), those whose pair is no less frequent than the ones that overlap it; of a run of equals every second."""
+    weight = np.zeros(n + 2, np.int32)
+    weight[at + 1] = counts
+    best = np.flatnonzero((counts >= weight[at]) & (counts >= weight[at + 2]))
+    return best[_every_second(at[best])]
+
+
+def _every_second(at: np.ndarray) -> np.ndarray:
+    """Which places to take so that none follows another: in each run of neighbours every second one, from its left."""
+    if not len(at):
+        return np.empty(0, np.int64)
     fresh = np.r_[True, at[1:] != at[:-1] + 1]
     place = np.arange(len(at))
-    at = at[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]
-    out = symbols.copy()
-    out[at] = first + rule[at]
-    stay = np.ones(len(symbols), bool)
-    stay[at + 1] = False
-    return out[stay]
+    return np.flatnonzero((place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0)
 
 
 def _expansions(rules: np.ndarray, first_symbol: int) -> np.ndarray:
     """The ids behind all rules, one rule after the other."""
-    symbols = np.arange(first_symbol, first_symbol + len(rules), dtype=np.int64)
+    return _replaced(np.arange(first_symbol, first_symbol + len(rules), dtype=np.int64), rules, first_symbol)
+
+
+def _replaced(symbols: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndarray:
     while len(symbols) and (compound := symbols >= first_symbol).any():
         at = np.cumsum(1 + compound) - (1 + compound)
         out = np.empty(len(symbols) + int(compound.sum()), np.int64)
@@ -111,13 +153,17 @@ def _expansions(rules: np.ndarray, first_symbol: int) -> np.ndarray:
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, first_symbol: int) -> np.ndarray:
-    """All ids behind some symbols: each is a place and a length in the list of plain ids and expansions."""
+    """All ids behind some symbols. Each is a place and a length in the list of plain ids and expansions, unless all expansions
+    together would be much longer than the ids that are asked for; then symbols are replaced by their parts again and again."""
+    counts = np.concatenate([np.ones(first_symbol, np.int64), lengths.astype(np.int64)])
+    asked = int(counts[symbols].sum())
+    if int(lengths.sum(dtype=np.int64)) > 2 * asked + 1_000_000:
+        return _replaced(symbols.astype(np.int64), rules, first_symbol)
     ids = np.concatenate([np.arange(first_symbol, dtype="<u4"), _expansions(rules, first_symbol)])
-    counts = np.concatenate([np.ones(first_symbol, np.int32), lengths.astype(np.int32)])
-    starts = np.cumsum(counts, dtype=np.int32) - counts
+    starts = np.cumsum(counts) - counts
     counts = counts[symbols]
-    before = np.cumsum(counts, dtype=np.int32) - counts
-    return ids[np.repeat(starts[symbols] - before, counts) + np.arange(int(counts.sum()), dtype=np.int32)]
+    before = np.cumsum(counts) - counts
+    return ids[np.repeat(starts[symbols] - before, counts) + np.arange(asked)]
 
 
 def expand_range(
@@ -183,12 +229,20 @@ def write_token_files(
 ) -> None:
     """Writes the ids of all documents, ascending by id, each followed by ``end_id``, to token files in ``path``.
 
-    A null text has only the end id. Documents without an id come last; equal ids are ordered by text. An empty table
-    writes files without blocks. Other columns are ignored. A block is written as soon as it holds ``block_ids``
-    ids, so no task holds a shard.
+    A null text has only the end id. Documents without an id come last; equal ids are ordered by a hash of the text. An empty
+    table writes files without blocks. Other columns are ignored. A block is written as soon as it holds ``block_ids`` ids, so no
+    task holds a shard; and rows of one id, or of none, are dealt to as many tasks as they need, be they copies.
     """
-    sorted_docs = id_and_text(docs, id_column, text_column).withColumn("no_id", F.col("doc_id").isNull())
-    sorted_docs = sorted_docs.repartitionByRange("no_id", "doc_id").sortWithinPartitions("no_id", "doc_id", "text")
+    order = ["no_id", "doc_id", "digest", "nth"]
+    sorted_docs = id_and_text(docs, id_column, text_column).withColumns(
+        {
+            "no_id": F.col("doc_id").isNull(),
+            "digest": F.xxhash64("text"),
+            # Copies may come in any order.
+            "nth": F.monotonically_increasing_id(),
+        }
+    )
+    sorted_docs = sorted_docs.repartitionByRange(*order).sortWithinPartitions(*order)
     first_symbol = 1 << 16
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,6 +280,8 @@ def _block(shard: int, block: int, names: list, parts: list[bytes], first_symbol
         "symbols": symbols.tobytes(),
         "first_symbol": first_symbol,
         "n_ids": len(ids),
+        "first_id": min((n for n in names if n is not None), default=None),
+        "last_id": max((n for n in names if n is not None), default=None),
     }
     return pa.RecordBatch.from_pylist([row], schema=_ARROW)
 
@@ -283,16 +339,21 @@ def _grammar(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
 
 
 def read_document(spark: SparkSession, path: str, doc_id: int) -> list[np.ndarray]:
-    """The ids of the documents with one id, each read alone out of its block."""
-    holds = F.udf(lambda ids, has: doc_id in np.frombuffer(ids, "<i8")[np.frombuffer(has, "u1") == 1], "boolean")
-    found = []
-    for row in spark.read.schema(SCHEMA).parquet(path).where(holds("doc_ids", "has_id")).toLocalIterator():
-        lengths = np.frombuffer(row["doc_lengths"], "<u4").astype(np.int64)
-        ends = np.cumsum(lengths)
-        own = (np.frombuffer(row["doc_ids"], "<i8") == doc_id) & (np.frombuffer(row["has_id"], "u1") == 1)
-        for i in np.flatnonzero(own):
-            found.append(expand_range(*_grammar(row.asDict()), int(ends[i] - lengths[i]), int(ends[i])))
-    return found
+    """The ids of the documents with one id, each read alone out of its block. Blocks without it are left out by their first and last id."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                lengths = np.frombuffer(row["doc_lengths"], "<u4").astype(np.int64)
+                ends = np.cumsum(lengths)
+                own = (np.frombuffer(row["doc_ids"], "<i8") == doc_id) & (np.frombuffer(row["has_id"], "u1") == 1)
+                places = zip((ends - lengths)[own].tolist(), ends[own].tolist())
+                found = [expand_range(*_grammar(row), a, b).tobytes() for a, b in places]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["ids"])
+
+    blocks = spark.read.schema(SCHEMA).parquet(path).where((F.col("first_id") <= doc_id) & (F.col("last_id") >= doc_id))
+    return [np.frombuffer(row["ids"], "<u4") for row in blocks.mapInArrow(find, "ids binary").toLocalIterator()]
 
 
 def token_files(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:

@@ -1,5 +1,7 @@
+import itertools
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -102,6 +104,40 @@ def test_grammar_round_trip(seed):
             assert (repair.expand_range(*packed, 1 << 16, a, b) == data[a:b]).all()
 
 
+def pair_counts(symbols):
+    """How often each pair could be replaced: overlapping ones of a run of equals count once."""
+    counts, last = Counter(), {}
+    for i, pair in enumerate(itertools.pairwise(symbols.tolist())):
+        if last.get(pair) != i - 1:
+            counts[pair] += 1
+            last[pair] = i
+        else:
+            last.pop(pair)
+    return counts
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_no_frequent_pair_is_left(seed):
+    rng = np.random.default_rng(seed)
+    phrase = rng.integers(0, 40_000, 400)
+    data = np.concatenate([np.tile(phrase, 500), rng.zipf(1.2, 20_000) % 300, [7] * 1000, np.tile([1, 2, 1, 2, 3], 300)])
+    symbols, rules, lengths = repair.compress(data.astype("<u4"), 1 << 16)
+    assert max(pair_counts(symbols).values()) < repair.LEAST_COUNT
+    assert (repair.expand(symbols, rules, lengths, 1 << 16) == data).all()
+    assert lengths.max() >= 400 * 16  # the phrase, many times over
+    repeated = repair.compress(np.tile(phrase, 500).astype("<u4"), 1 << 16)
+    assert len(repeated[0]) < 40 and len(repeated[1]) < 500
+    # The long way of expanding gives the same.
+    assert (repair._replaced(symbols.astype(np.int64), rules, 1 << 16) == data).all()
+
+
+def test_frequent_pairs_that_are_in_each_others_way():
+    """Each pair is frequent, but so is each overlap."""
+    ring = np.tile(np.arange(3), 17)
+    symbols, rules, lengths = repair.compress(ring.astype("<u4"), 1 << 16)
+    assert (repair.expand(symbols, rules, lengths, 1 << 16) == ring).all() and len(symbols) <= 17
+
+
 @pytest.mark.parametrize("data", [[], [5], [5, 5], [1] * 100])
 def test_small_grammars(data):
     packed = repair.compress(np.array(data, "<u4"), 1 << 16)
@@ -113,7 +149,10 @@ def test_files_keep_order_and_odd_rows(spark, documents, library):
     rows = [*ODD, *[(100 + i, f"text number {i} " * 5) for i in range(40)]]
     repair.write_token_files(documents(rows).repartition(6), path, tokenizer_path(), block_ids=500)
     found = sorted(repair.read_token_files(spark, path).collect(), key=lambda r: r.start)
-    wanted = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1] or ""))
+    place = {(r.doc_id, tuple(ids(r.ids))): r.start for r in found}
+    known = lambda r: (r[0], (*library.encode(r[1] or "", add_special_tokens=False).ids, 0))
+    # Ascending by id; rows of one id may come in any order.
+    wanted = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, place[known(r)]))
     assert [r.doc_id for r in found] == [i for i, _ in wanted]
     assert [r.start for r in found] == [sum(r.n_tokens for r in found[:k]) for k in range(len(found))]
     assert [ids(r.ids) for r in found] == [[*library.encode(t or "", add_special_tokens=False).ids, 0] for _, t in wanted]
@@ -123,5 +162,16 @@ def test_files_keep_order_and_odd_rows(spark, documents, library):
     assert len(repair.read_document(spark, path, 7)) == 2 and repair.read_document(spark, path, 999) == []
 
 
+def test_rows_of_one_id_are_dealt_to_many_tasks(spark, documents, conf):
+    conf({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    path = scratch_folder(spark, "test_token_files")
+    rows = [(None, f"{'same' if i % 2 else 'text'} {i % 5}") for i in range(3000)] + [(5, "copy")] * 2000 + [(1, "first"), (9, "last")]
+    repair.write_token_files(documents(rows).repartition(6), path, tokenizer_path(), block_ids=500)
+    assert spark.read.parquet(path).select("shard").distinct().count() > 2
+    found = sorted(repair.read_token_files(spark, path).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [i for i, _ in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0))]
+    assert len(repair.read_document(spark, path, 5)) == 2000 and len(repair.read_document(spark, path, 9)) == 1
+
+
 def test_empty_table(spark, documents):
     assert repair.token_files(documents([]), tokenizer_path()).collect() == []
