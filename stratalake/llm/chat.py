@@ -14,6 +14,7 @@ A conversation becomes one string, so it has to fit in one row, as any formatted
 from pyspark.sql import Column, DataFrame, functions as F
 
 END, JOINT = "<|end|>", "<|+|>"
+_BLOCK = 256
 
 
 def escape(text: Column) -> Column:
@@ -53,7 +54,7 @@ def format_chats(
             F.col(turn_column).isNull().alias("no_turn"),
             F.col(turn_column).alias("turn"),
             F.coalesce(F.col(role_column), F.lit("")).alias("role"),
-            escape(F.coalesce(F.col(text_column), F.lit(""))).alias("text"),
+            F.coalesce(F.col(text_column), F.lit("")).alias("text"),
         ).alias("turn"),
     )
     collected = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
@@ -65,7 +66,7 @@ def format_chats(
         last = (i == n - 1) | (F.get("turns", i + 1)["role"] != turn["role"])
         return F.struct(
             F.when(joined, F.lit(JOINT)).otherwise(F.concat(F.lit("<|"), _escape_role(turn["role"]), F.lit("|>"))).alias("head"),
-            turn["text"].alias("text"),
+            escape(turn["text"]).alias("text"),
             F.when(last, F.lit(END)).otherwise(F.lit("")).alias("tail"),
             turn["role"].isin(*learn_from).alias("learn"),
         )
@@ -81,12 +82,24 @@ def format_chats(
         return F.struct((state["at"] + length(p)).alias("at"), spans.alias("spans"))
 
     pieces = collected.select("conv_id", F.transform("turns", piece).alias("pieces"))
-    return pieces.select(
-        "conv_id",
-        F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["text"], p["tail"])), "").alias("formatted"),
-        F.aggregate("pieces", start, measure)["spans"].alias("loss_spans"),
+    # An array grows by copying, so spans are gathered in blocks, each from its own start, and then moved to the starts of the blocks.
+    starts = F.sequence(F.lit(1), F.size("pieces"), F.lit(_BLOCK))
+    blocks = F.transform(starts, lambda i: F.aggregate(F.slice("pieces", i, F.lit(_BLOCK)), start, measure))
+    offsets = F.aggregate(
+        F.transform("blocks", lambda b: b["at"]),
+        F.array(F.lit(0)),
+        lambda state, n: F.concat(state, F.array(F.element_at(state, -1) + n)),
     )
 
+    def moved(block: Column, i: Column) -> Column:
+        at = F.get("offsets", i)
+        return F.transform(block["spans"], lambda s: F.struct((s["start"] + at).alias("start"), s["length"].alias("length")))
+
+    formatted = F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["text"], p["tail"])), "")
+    measured = pieces.select("conv_id", formatted.alias("formatted"), blocks.alias("blocks"))
+    placed = measured.select("conv_id", "formatted", "blocks", offsets.alias("offsets"))
+    return placed.select("conv_id", "formatted", F.flatten(F.transform("blocks", moved)).alias("loss_spans"))
+
 
 def read_turns(formatted: Column) -> Column:
     """The turns, as an array of structs of role and text, from a formatted conversation."""

@@ -1,13 +1,17 @@
 """Mixing sources to target weights by Pareto order sampling, with Spark expressions only.
 
 A source that shall give ``target`` words out of ``size`` words gives ``target / size`` copies of each document on
-average. The whole part is certain: so many whole copies of every document. The rest is drawn: each document has an
-inclusion probability ``p`` and a random number ``u``, and documents are taken in the order of ``u / (1 - u)`` divided by
-``p / (1 - p)`` until the words that are still missing are found. The sample has a fixed size in words, not only on
+average. The whole part is certain: so many whole copies of every document. The words that are still missing are drawn from one more copy
+of each, with unequal probabilities: a document of class ``floor(log2(size))`` weighs one more than its class, so longer documents are
+likelier to come once more. Inclusion probabilities are the weights times a factor per source, such that the expected words are
+those missing; where that would reach 1, the copy is certain too, and the factor follows from the others.
+
+The draw: each document has an inclusion probability ``p`` and a random number ``u``, and documents are taken in the order of
+``u / (1 - u)`` divided by ``p / (1 - p)`` until the missing words are found. The sample has a fixed size in words, not only on
 average: the last document is taken in part.
 
-Nothing is collected per source. The ranking variable is cut into bins; sums per bin show where the target falls, and
-only documents of the same bin are sorted together.
+Nothing is collected per source. Probabilities come from sums per source and class. The ranking variable is cut into bins; sums per
+bin show where the target falls, and only documents of the same bin are sorted together.
 """
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -68,6 +72,36 @@ def targets(sources: DataFrame, max_repeats: int = MAX_REPEATS) -> DataFrame:
     )
 
 
+def inclusions(classes: DataFrame) -> DataFrame:
+    """Which classes of a source are drawn with certainty, and with what probability the others.
+
+    Takes ``source``, ``class``, ``class_size`` (words) and ``missing`` (words that the source still has to give). Adds ``certain``, ``p`` and
+    ``left`` (missing words without those of certain classes). The classes that weigh most become certain first, one after the other.
+    """
+    weight = F.col("class") + 1
+    heavier = W.partitionBy("source").orderBy(F.col("class").desc()).rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy("source")
+    summed = classes.select(
+        "*",
+        F.coalesce(F.sum("class_size").over(heavier), F.lit(0)).alias("size_before"),
+        F.coalesce(F.sum(weight * F.col("class_size")).over(heavier), F.lit(0)).alias("weighed_before"),
+        F.sum(weight * F.col("class_size")).over(whole).alias("weighed"),
+    )
+    reaches = weight * (F.col("missing") - F.col("size_before")) >= F.col("weighed") - F.col("weighed_before")
+    judged = summed.withColumn("certain", reaches & (F.col("missing") > 0))
+    certain, weighed = F.col("certain"), weight * F.col("class_size")
+    rest = judged.select(
+        "source",
+        "class",
+        "certain",
+        (F.col("missing") - F.sum(F.when(certain, F.col("class_size")).otherwise(0)).over(whole)).alias("left"),
+        F.sum(F.when(certain, 0).otherwise(weighed)).over(whole).alias("uncertain"),
+    )
+    factor = F.when(F.col("uncertain") > 0, F.col("left").cast("double") / F.col("uncertain").cast("double")).otherwise(F.lit(0.0))
+    p = F.least(F.greatest(factor * weight.cast("double"), F.lit(1e-12)), F.lit(1 - 1e-12))
+    return rest.select("source", "class", "certain", "left", p.alias("p"))
+
+
 def mix_sources(
     docs: DataFrame,
     weigh=cycle_weights,
@@ -78,50 +112,71 @@ def mix_sources(
     source_column: str = "source",
     bins: int = BINS,
 ) -> DataFrame:
-    """One row per input row: ``doc_id, text_hash, source, size, source_size, target, copies, taken``.
+    """One row per input row: ``doc_id, text_hash, source, size, source_size, target, p, copies, taken``.
 
     ``taken`` counts words with repeats: ``copies`` whole copies, and in the last drawn document a part. Sums of ``taken`` per
-    source equal the rounded target. ``weigh`` adds the column ``weight`` to the table of sources. Inclusion
-    probabilities differ by source; within a source all its documents have the same.
+    source equal the rounded target. ``weigh`` adds the column ``weight`` to the table of sources. ``p`` is the probability of the copy
+    that is drawn, 1 where it is certain.
 
-    Empty and null texts have size 0 and take nothing; a null source is a source. Repeated rows are documents of their own;
-    rows that also share id and size are interchangeable, so it does not matter which of them is drawn first. An
-    empty table gives no rows. Reruns agree, whatever the partitioning.
+    Empty and null texts have size 0 and take nothing; a null source is a source. Repeated rows are documents of their own: rows of one
+    id, text and source are numbered, so each has a random number of its own. An empty table gives no rows. Reruns agree, whatever the
+    partitioning, also for rows without an id.
     """
-    sized = stage(
-        docs.select(
-            F.col(id_column).alias("doc_id"),
-            F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("text_hash"),
-            F.col(source_column).alias("source"),
-            count_words(F.col(text_column)).alias("size"),
-        ),
-        "mix_sizes",
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    rows = docs.select(
+        F.col(id_column).alias("doc_id"),
+        F.xxhash64(text).alias("text_hash"),
+        F.md5(text.cast("binary")).alias("digest"),
+        F.col(source_column).alias("source"),
+        count_words(F.col(text_column)).alias("size"),
     )
-    per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = stage(targets(weigh(per_source), max_repeats), "mix_targets")
+    # Counted in the tasks, so copies are numbered without meeting.
+    sized = stage(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("times")), "mix_sizes")
+    size_class = F.length(F.bin("size")) - 1
+    classes = sized.groupBy("source", size_class.alias("class")).agg(F.sum(F.col("size") * F.col("times")).alias("class_size"))
+    classes = stage(classes, "mix_classes")
+    per_source = classes.groupBy("source").agg(F.sum("class_size").alias("source_size"))
+    plan = targets(weigh(per_source), max_repeats)
 
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     planned = plan.withColumn("whole", F.least(F.floor(rate), F.lit(max_repeats)))
     planned = planned.withColumn("missing", F.round("target").cast("long") - F.col("whole") * F.col("source_size"))
-    planned = planned.withColumn("p", F.least(F.greatest(rate - F.col("whole"), F.lit(1e-12)), F.lit(1 - 1e-12)))
-
-    u = uniform(F.lit(seed), F.col("doc_id"), F.col("size"))
+    planned = stage(planned, "mix_targets")
+    drawn_from = stage(inclusions(_same_source(classes, planned)), "mix_classes_drawn")
+
+    # Numbers of copies in two steps, as they may be many.
+    many = F.lit(10_000).cast("long")
+    copies = sized.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("times") - 1) / many))))
+    first = F.col("block") * many + 1
+    copies = copies.withColumn("copy", F.explode(F.sequence(first, F.least(first + many - 1, F.col("times")))))
+
+    of_source = planned.select(F.col("source").alias("s"), "source_size", "target", "whole")
+    of_class = drawn_from.select(F.col("source").alias("c"), "class", "certain", "left", "p")
+    known = copies.join(of_source, F.col("source").eqNullSafe(F.col("s"))).join(
+        of_class, F.col("source").eqNullSafe(F.col("c")) & (size_class == F.col("class"))
+    )
+    u = uniform(F.lit(seed), F.col("doc_id"), F.col("size"), F.col("digest"), F.col("copy"))
     odds = (u / (1 - u)) / (F.col("p") / (1 - F.col("p")))
-    ranked = _same_source(sized, planned).withColumn("rank", odds)
+    # What is certain does not compete, so it takes no room in the order.
+    ranked = known.withColumn("rank", odds).withColumn("asks", F.when(F.col("certain"), 0).otherwise(F.col("size")))
     # rank / (1 + rank) lies in (0, 1) and keeps the order.
     ranked = ranked.withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * bins).cast("int"))
 
-    per_bin = ranked.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"))
+    per_bin = ranked.groupBy("source", "bin").agg(F.sum("asks").alias("bin_size"))
     before = W.partitionBy("source").orderBy("bin").rowsBetween(W.unboundedPreceding, -1)
     bin_starts = per_bin.select(
-        F.col("source").alias("s"), F.col("bin").alias("b"), F.coalesce(F.sum("bin_size").over(before), F.lit(0)).alias("bin_start")
+        F.col("source").alias("bin_source"), F.col("bin").alias("b"), F.coalesce(F.sum("bin_size").over(before), F.lit(0)).alias("bin_start")
     )
-    placed = ranked.join(bin_starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bin") == F.col("b")))
+    placed = ranked.join(bin_starts, F.col("source").eqNullSafe(F.col("bin_source")) & (F.col("bin") == F.col("b")))
     inside = (
-        W.partitionBy("source", "bin").orderBy("rank", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+        W.partitionBy("source", "bin")
+        .orderBy("rank", "doc_id", "size", "digest", "copy")
+        .rowsBetween(W.unboundedPreceding, -1)
+    )
+    start = F.col("bin_start") + F.coalesce(F.sum("asks").over(inside), F.lit(0))
+    drawn = F.when(F.col("certain"), F.col("size")).otherwise(
+        F.least(F.col("size"), F.greatest(F.lit(0), F.col("left") - start))
     )
-    start = F.col("bin_start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
-    drawn = F.least(F.col("size"), F.greatest(F.lit(0), F.col("missing") - start))
     return placed.select(
         "doc_id",
         "text_hash",
@@ -129,6 +184,7 @@ def mix_sources(
         "size",
         "source_size",
         "target",
+        F.when(F.col("certain"), 1.0).otherwise(F.col("p")).alias("p"),
         (F.col("whole") + F.when(drawn > 0, 1).otherwise(0)).alias("copies"),
         (F.col("whole") * F.col("size") + drawn).cast("long").alias("taken"),
     )

@@ -28,8 +28,9 @@ from marked group by conv_id
 
 _MIX = r"""
 with sized as (
-    select doc_id, source,
-        cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size
+    select doc_id, source, md5(coalesce(text, '')) as digest,
+        cast(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as bigint) as size,
+        row_number() over (partition by doc_id, source, coalesce(text, '')) as copy
     from documents
 ),
 per_source as (select source, sum(size)::bigint as source_size from sized group by source),
@@ -58,23 +59,39 @@ rates as (
 ),
 wholes as (
     select *, least(floor(rate), 3)::bigint as whole,
-        round(target)::bigint - least(floor(rate), 3)::bigint * source_size as missing,
-        least(greatest(rate - least(floor(rate), 3), 1e-12::double), 1 - 1e-12::double) as p
+        round(target)::bigint - least(floor(rate), 3)::bigint * source_size as missing
     from rates
 ),
+classes as (select source, length(bin(size)) - 1 as class, sum(size)::bigint as class_size from sized group by 1, 2),
+summed as (
+    select c.*, w.missing,
+        coalesce(sum(class_size) over (partition by c.source order by class desc rows between unbounded preceding and 1 preceding), 0) as size_before,
+        sum((class + 1) * class_size) over (partition by c.source order by class rows between unbounded preceding and current row) as weighed_rest
+    from classes c join wholes w on c.source is not distinct from w.source
+),
+judged as (select *, missing > 0 and (class + 1) * (missing - size_before) >= weighed_rest as certain from summed),
+chances as (
+    select source, class, certain,
+        missing - sum(case when certain then class_size else 0 end) over (partition by source) as left_over,
+        sum(case when certain then 0 else (class + 1) * class_size end) over (partition by source) as uncertain
+    from judged
+),
 drawn as (
-    select s.*, w.source_size, w.target, w.whole, w.missing, w.p,
-        (('0x' || substr(md5('42|' || coalesce(s.doc_id::varchar, 'null') || '|' || s.size::varchar), 1, 13))::bigint::double
-            + 0.5::double) / 4503599627370496.0::double as u
+    select s.*, w.source_size, w.target, w.whole, c.certain, c.left_over, case when c.certain then 0 else s.size end as asks,
+        least(greatest(case when uncertain > 0 then left_over::double / uncertain::double else 0.0::double end
+            * (class + 1)::double, 1e-12::double), 1 - 1e-12::double) as p,
+        (('0x' || substr(md5('42|' || coalesce(s.doc_id::varchar, 'null') || '|' || s.size::varchar || '|' || s.digest || '|'
+            || s.copy::varchar), 1, 13))::bigint::double + 0.5::double) / 4503599627370496.0::double as u
     from sized s join wholes w on s.source is not distinct from w.source
+        join chances c on s.source is not distinct from c.source and length(bin(s.size)) - 1 = c.class
 ),
 placed as (
-    select *, coalesce(sum(size) over (partition by source order by (u / (1 - u)) / (p / (1 - p)), doc_id, size
+    select *, coalesce(sum(asks) over (partition by source order by (u / (1 - u)) / (p / (1 - p)), doc_id, size, digest, copy
         rows between unbounded preceding and 1 preceding), 0) as start
     from drawn
 )
 select doc_id, size, source_size, target,
-    cast(whole * size + least(size, greatest(0, missing - start)) as bigint) as taken
+    cast(whole * size + case when certain then size else least(size, greatest(0, left_over - start)) end as bigint) as taken
 from placed
 """
 

@@ -19,7 +19,7 @@ SF_DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "conversations", "embeddings"):
+    for table in ("documents", "conversations", "embeddings", "benchmark"):
         duck.execute(f"create view {table} as select * from '{SF_DIR}/{table}.parquet'")
     df = QUERIES[name](spark, SF_DIR)
     wanted = duck.execute(f"select {', '.join(df.columns)} from ({ORACLES[name]})").fetchall()
@@ -62,6 +62,47 @@ def test_each_document_has_its_chance(spark, documents):
     assert min(shares) > 0.15
 
 
+def test_reruns_agree_without_ids(spark, documents, conf):
+    """Texts of one size that have no id, or all the same, and copies of them, however they are dealt to tasks."""
+    rows = [(None if i % 2 else 5, f"text {i // 3} and more", "ab"[i % 2 if i % 7 else 0]) for i in range(3_000)]
+    taken = []
+    for n in (2, 7):
+        conf({"spark.sql.shuffle.partitions": str(n)})
+        found = mix_sources(documents(rows).repartition(n), bins=64).collect()
+        taken.append(sorted((r.doc_id or 0, r.source, r.text_hash, r.taken) for r in found))
+    assert taken[0] == taken[1]
+    # They do not share one random number: in a source some come once more, others do not.
+    assert {r.copies for r in found if r.source == "a"} == {0, 1}
+
+
+def test_long_documents_are_drawn_more_often(spark, documents):
+    """Over many seeds, shares of draws come near the inclusion probabilities, which rise with the size class."""
+    sizes = [2, 9, 40, 200, 600]
+    rows = [(i, "w " * sizes[i % 5], "ab"[i // 5 % 2]) for i in range(200)]
+    docs, drawn, seen = documents(rows).cache(), defaultdict(int), {}
+    seeds = 25
+    for seed in range(seeds):
+        for r in mix_sources(docs, seed=seed).where("source = 'a'").collect():
+            drawn[r.size] += r.copies
+            seen[r.size] = r.p
+    shares = {size: n / (seeds * 20) for size, n in drawn.items()}
+    assert [seen[s] for s in sizes] == sorted(seen.values()) and seen[600] > 3 * seen[2]
+    assert all(shares[s] == pytest.approx(seen[s], abs=0.12) for s in sizes)
+    assert sum(seen[s] * s * 20 for s in sizes) == pytest.approx(sum(sizes) * 20 * 2 / 3, rel=0.01)
+
+
+def test_what_is_heavy_enough_is_certain(spark, documents):
+    """Most of the words lie in light documents, so the few heavy ones reach probability 1."""
+    rows = [(i, "w " * 2, "a") for i in range(500)] + [(1_000 + i, "w " * 300, "a") for i in range(2)]
+    rows += [(5_000 + i, "w " * 2, "b") for i in range(600)]
+    found = mix_sources(documents(rows)).collect()
+    heavy = [r for r in found if r.size == 300]
+    assert all(r.p == 1 and r.taken == 300 for r in heavy)
+    light = [r for r in found if r.source == "a" and r.size == 2]
+    assert len({r.p for r in light}) == 1 and 0 < light[0].p < 1
+    assert sum(r.taken for r in found if r.source == "a") == round(light[0].target)
+
+
 def test_odd_documents(spark, documents):
     found = mix_sources(documents([(i, t, None if i == 4 else "s") for i, t in ODD])).collect()
     assert len(found) == len(ODD)
@@ -109,6 +150,20 @@ def test_odd_turns(spark):
     assert chats(spark, []).collect() == []
 
 
+def test_ties_go_by_the_text_as_it_was(spark):
+    """Escaping changes the order of texts, so it comes after sorting."""
+    (found,) = chats(spark, [(1, 0, "user", t) for t in ("<b", "A", "\\", "Z")]).collect()
+    assert [t.text for t in found.turns] == ["<b", "A", "Z", "\\"]
+
+
+@pytest.mark.parametrize("n", [1, 255, 256, 257, 3000])
+def test_spans_of_long_conversations(spark, n):
+    rows = [(1, i, ("user", "assistant", "assistant")[i % 3], f"<{i}>") for i in range(n)]
+    (found,) = chats(spark, rows).collect()
+    assert [(t.role, t.text) for t in found.turns] == [(r[2], r[3]) for r in rows]
+    assert found.loss == [r[3] for r in rows if r[2] == "assistant"]
+
+
 def test_hash_of_turns(spark):
     row = next(r for r in QUERIES["op6_chat_formatting"](spark, SF_DIR).collect() if r.conv_id == -7)
     said = "</s>[INST] ok [/INST]"
