@@ -210,7 +210,7 @@ def importance(
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, end in text_slices(batch.column(3)):
+            for start, end in text_slices(batch.column(3), 1_000_000):
                 rows = batch.slice(start, end - start)
                 ngrams = Ngrams(rows.column(3).to_pylist())
                 found = ngrams.buckets()

@@ -107,6 +107,34 @@ def test_odd_documents_pass_all_stages(spark, documents):
     assert Counter(r.doc_id for r in once) == Counter({1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 1, 7: 1, None: 2})
 
 
+def test_rows_that_differ_in_other_columns_only(spark):
+    """Whatever the partitioning, one and the same of them stays; the mix does not confuse their sources."""
+    rng = random.Random(3)
+    text, other = sentence(rng, 50), sentence(rng, 50)
+    rows = [(1, text, s, lang) for s, lang in (("b", "x"), ("a", "z"), ("a", "y"), (None, "w"))] + [(None, other, "a", str(i)) for i in range(30)]
+    schema = "doc_id long, text string, source string, lang string, __row_id string, __doc_id int, row_id string, decided_doc_id string, n_chars int"
+    results = set()
+    for n in (1, 3, 5):
+        docs = spark.createDataFrame([(*r, "x", 1, "y", "z", 7) for r in rows], schema).repartition(n)
+        (kept,) = [r for r in near_dedup(spark, docs, SF_DIR).collect() if r.doc_id == 1]
+        mixed = sorted((tuple(r)[:4] for r in mix(spark, docs, SF_DIR).collect() if r.doc_id == 1), key=repr)
+        results.add((kept.source, kept.lang, tuple(map(str, mixed))))
+    assert len(results) == 1
+    ((source, lang, mixed),) = results
+    assert (source, lang) == ("a", "y") and all("'z'" not in m for m in mixed)
+
+
+def test_clashing_names_pass_all_stages(spark):
+    names = "__row_id, __row_text_hash, __doc_id, __text_hash, row_id, Row_Text_Hash, row_id_, decided_doc_id, decided_copies, whole_row, copy"
+    schema = "doc_id long, text string, source string, " + ", ".join(f"{c.strip()} string" for c in names.split(","))
+    docs = table = spark.createDataFrame([(i, t, "s", *["x"] * 11) for i, t in ODD], schema)
+    for _, function in STAGES[:-1]:
+        docs = function(spark, docs, SF_DIR)
+        assert docs.columns == table.columns
+        assert all(r.row_id == r.copy == r["__doc_id"] == "x" for r in docs.collect())
+    assert encode(spark, docs, SF_DIR).count() == docs.count() > 0
+
+
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF_DIR).collect()
     assert len(rows) > 50 and all(len(r.ids) == 4 * r.n_tokens for r in rows)
