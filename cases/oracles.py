@@ -333,6 +333,7 @@ from ({_REPEAT}) r"""
         """select technician_id, min(technician_name) as technician_name, count(distinct technician_name) as value_count
 from latest_jobs where technician_id is not null and technician_name is not null group by 1"""
     ),
+    "issue_types": _select("select issue_type, count(*) as jobs from latest_jobs where issue_type is not null group by 1"),
     "profile_jobs": _select(_PROFILE),
     "incremental_ingest": _select(
         f"select {_JOB_LIST}, concat('b000000000', {_DELIVERY}) as batch_no from raw_jobs"

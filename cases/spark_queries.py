@@ -346,6 +346,10 @@ def technician_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_lookup(_latest(spark, sf_dir), "technician_id", "technician_name")
 
 
+def issue_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.issue_types(_latest(spark, sf_dir))
+
+
 def profile_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(fixture.raw_jobs(spark, sf_dir))
 
@@ -414,7 +418,7 @@ def refreshed_marts(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     marts = {name: spark.table(layout.gold(name)) for name in MARTS}
     inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
     inputs += [layout.bronze(f"{name}_quarantine") for name in RAW_FILES]
-    more = [layout.silver(name) for name in ("technicians", "service_jobs_without_id")]
+    more = [layout.silver(name) for name in ("technicians", "issue_types", "service_jobs_without_id")]
     _forget(spark, layout, *inputs, *more, *[layout.gold(name) for name in MARTS])
     return marts
 
@@ -445,7 +449,7 @@ def _after_deliveries(spark: SparkSession, sf_dir: str, read: Callable[[Layout],
     found = read(layout)
     inputs = [layer(name) for layer in (layout.bronze, layout.silver) for name in RAW_FILES]
     inputs += [layout.bronze(f"{name}_quarantine") for name in RAW_FILES]
-    more = [layout.silver(n) for n in ("technicians", "service_jobs_latest", *[f"state_{s.name}" for s in STATES])]
+    more = [layout.silver(n) for n in ("technicians", "issue_types", "service_jobs_latest", *[f"state_{s.name}" for s in STATES])]
     _forget(spark, layout, *inputs, *more, *[layout.gold(name) for name in MARTS])
     return found
 
@@ -547,6 +551,7 @@ QUERIES: dict[str, Query] = {
     "quality_customers": quality_of_customers,
     "quality_devices": quality_of_devices,
     "technician_names": technician_names,
+    "issue_types": issue_types,
     "profile_jobs": profile_jobs,
     "incremental_ingest": incremental_ingest,
     "upsert_latest": upsert_latest,

@@ -102,6 +102,10 @@ def technician_checks() -> list[Check]:
     return [rows(), expect_unique("technician_id"), rows_where("several_names", F.col("value_count") > 1)]
 
 
+def issue_type_checks() -> list[Check]:
+    return [rows(), expect_unique("issue_type")]
+
+
 def raw_job_checks(strict: bool = False) -> list[Check]:
     """A ``strict`` read has lost nothing, and no columns that say so."""
     unreadable = [rows_where(f"unreadable_{c}", unreadable_date(c)) for c in JOB_DATES]
@@ -201,6 +205,7 @@ def _job_steps(publish: _Publisher, load: Callable[[str], DataFrame], as_of: "dt
     without_id = layout.silver("service_jobs_without_id")
     steps |= publish.step(without_id, lambda: silver.keyless_jobs(spark.table(bronze)), [rows()], bronze)
     steps |= publish.step(technicians, lookup, technician_checks(), bronze)
+    steps |= publish.step(layout.silver("issue_types"), lambda: silver.issue_types(latest()), issue_type_checks(), bronze)
     steps |= publish.step(jobs, made_jobs, job_checks(), bronze, customers, devices, technicians)
     marts = (
         lambda: gold.repair_turnaround(spark.table(jobs), spark.table(devices)),
@@ -318,6 +323,7 @@ def run_incremental(
     marts = Marts(spark, layout, customers, devices, as_of)
     technicians = layout.silver("technicians")
     steps = publish.step(technicians, marts.technicians, technician_checks())
+    steps |= publish.step(layout.silver("issue_types"), marts.issue_types, issue_type_checks())
     made = (
         (marts.repair_turnaround,),
         (lambda: marts.technician_performance(spark.table(technicians)), technicians),

@@ -110,6 +110,12 @@ def keyless_jobs(bronze: DataFrame) -> DataFrame:
     return bronze.filter(tidy_key("job_id").isNull())
 
 
+def issue_types(jobs: DataFrame) -> DataFrame:
+    """The dimension of issue types: each one that occurs, and in how many jobs. ``jobs`` may also be sums with a column ``jobs``."""
+    number = F.sum("jobs") if "jobs" in jobs.columns else F.count(F.lit(1))
+    return jobs.filter(F.col("issue_type").isNotNull()).groupBy("issue_type").agg(number.alias("jobs"))
+
+
 def backfill_technician_names(jobs: DataFrame, technicians: DataFrame | None = None) -> DataFrame:
     return backfill_from_group(jobs, "technician_id", "technician_name", technicians)
 

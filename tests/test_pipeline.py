@@ -41,7 +41,7 @@ def site(tmp_path):
 
 def state(spark, layout):
     names = {
-        layout.silver: ("customers", "devices", "service_jobs"),
+        layout.silver: ("customers", "devices", "service_jobs", "technicians", "issue_types"),
         layout.gold: ("repair_turnaround", "technician_performance", "repeat_customers", "device_failure_trends"),
     }
     result = {}
