@@ -4,15 +4,18 @@ Each line of a document is content or boilerplate. A line has yes/no features (i
 label through the chain); Viterbi decoding finds the most likely labels of all lines together, and the share of words in
 content lines decides whether the document stays.
 
-The model is trained here, on a bounded sample of labelled documents: lines of documents labelled good count as content, lines
-of documents labelled bad as boilerplate.
+The model is trained here, on a bounded sample of labelled documents. Lines of documents labelled bad count as boilerplate. So do lines of
+documents labelled good that are not their own: lines that the document repeats, and lines that several documents of the sample share
+which have little else in common. All other lines of good documents count as content. So the chain sees both labels in one document, and
+learns how they follow each other.
 """
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.llm.common import id_and_text, text_slices
@@ -22,6 +25,8 @@ SAMPLE = 2_000
 #: Long documents train as pieces of so many lines; decoding sees whole documents.
 TRAIN_LINES = 40
 CONTENT_SHARE = 0.5
+#: A line of so many documents is boilerplate, if no two of them share more than this part of the lines of the shorter one.
+SHARED_DOCUMENTS, SHARED_PART = 3, 0.5
 
 #: Fixed values of the base rules.
 SYMBOLS = "#*$%&|<>"
@@ -199,21 +204,60 @@ def train_on_labels(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for doc_id, text, quality in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                packed = np.packbits(line_features(split_lines(text)).astype(bool), axis=1).tobytes()
-                yield pa.RecordBatch.from_pydict({"doc_id": [doc_id], "quality": [quality], "packed": [packed]})
-
-    featured = texts.mapInArrow(features, "doc_id long, quality long, packed binary")
-    rows = featured.groupBy("doc_id", "quality").agg(F.min("packed").alias("packed")).orderBy("doc_id").collect()
+                lines = split_lines(text)
+                packed = np.packbits(line_features(lines).astype(bool), axis=1).tobytes()
+                hashes = np.array([xxhash.xxh3_64_intdigest(line.strip()) if line.strip() else 0 for line in lines], "<u8").tobytes()
+                yield pa.RecordBatch.from_pydict({"doc_id": [doc_id], "quality": [quality], "packed": [packed], "hashes": [hashes]})
+
+    featured = texts.mapInArrow(features, "doc_id long, quality long, packed binary, hashes binary")
+    least = F.min(F.struct("packed", "hashes")).alias("least")
+    rows = featured.groupBy("doc_id", "quality").agg(least).select("doc_id", "quality", "least.*").orderBy("doc_id").collect()
+    hashes = [np.frombuffer(bytes(row["hashes"]), "<u8") for row in rows]
+    labels_of = line_labels(hashes, [row["quality"] == 1 for row in rows])
     sequences = []
     width = (len(FEATURES) + 7) // 8
-    for row in rows:
+    for row, found in zip(rows, labels_of):
         bits = np.unpackbits(np.frombuffer(bytes(row["packed"]), np.uint8).reshape(-1, width), axis=1)[:, : len(FEATURES)]
         for start in range(0, len(bits), TRAIN_LINES):
-            piece = bits[start : start + TRAIN_LINES]
-            sequences.append((piece, np.full(len(piece), int(row["quality"] == 0))))
+            sequences.append((bits[start : start + TRAIN_LINES], found[start : start + TRAIN_LINES]))
     return train(sequences)
 
 
+def line_labels(documents: list[np.ndarray], good: list[bool]) -> list[np.ndarray]:
+    """0 (content) or 1 (boilerplate) for each line of some documents, given as line hashes, 0 for a line without words.
+
+    Copies of a document, and near copies, count as one where lines are counted over documents: else all lines of a text that
+    many documents hold would pass for boilerplate.
+    """
+    sets = [set(lines.tolist()) - {0} for lines in documents]
+    holders: dict[int, list[int]] = defaultdict(list)
+    for i, lines in enumerate(sets):
+        for line in lines:
+            holders[line].append(i)
+
+    def alike(a: int, b: int) -> bool:
+        return len(sets[a] & sets[b]) > SHARED_PART * min(len(sets[a]), len(sets[b]))
+
+    def is_shared(line: int) -> bool:
+        different: list[int] = []
+        for i in holders[line]:
+            if not any(alike(i, j) for j in different):
+                different.append(i)
+                if len(different) >= SHARED_DOCUMENTS:
+                    return True
+        return False
+
+    shared = {line for line, of in holders.items() if len(of) >= SHARED_DOCUMENTS and is_shared(line)}
+    out = []
+    for lines, is_good in zip(documents, good):
+        if not is_good:
+            out.append(np.ones(len(lines), np.int64))
+            continue
+        count = Counter(lines.tolist())
+        out.append(np.array([int(x != 0 and (count[x] > 1 or x in shared)) for x in lines.tolist()], np.int64))
+    return out
+
+
 # --- documents ---
 
 

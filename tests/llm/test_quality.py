@@ -110,6 +110,58 @@ def test_without_labels_every_line_is_content(spark, documents):
     assert row.kept and row.content_share == 1
 
 
+def hashed(*documents):
+    return [np.array([hash(line) % 10**9 + 1 if line else 0 for line in lines], np.uint64) for lines in documents]
+
+
+def test_lines_that_are_not_a_documents_own_are_boilerplate():
+    own = [[f"line {i} of {d}" for i in range(4)] for d in range(8)]
+    menu = [[*lines[:2], "menu", *lines[2:]] for lines in own[:3]]
+    copies = [own[3] + [f"end {i}"] for i in range(5)]
+    repeats = [*own[4], "again", "", "", "again"]
+    found = line_crf.line_labels(hashed(*menu, *copies, repeats, own[5], [], ["alone"]), [True] * 9 + [False, True, True])
+    assert [x.tolist() for x in found[:3]] == [[0, 0, 1, 0, 0]] * 3
+    # A text that many documents hold is still their own.
+    assert [x.tolist() for x in found[3:8]] == [[0] * 5] * 5
+    assert found[8].tolist() == [0, 0, 0, 0, 1, 0, 0, 1]
+    assert [x.tolist() for x in found[9:]] == [[1] * 4, [], [0]]
+
+
+def test_planted_boilerplate_lines_are_found(spark, documents):
+    """Menus and notices stand in good documents, which are kept for the rest of their lines."""
+    rng = random.Random(7)
+    prose = lambda: " ".join(f"word{rng.randrange(400)}" for _ in range(rng.randrange(14, 25))).capitalize() + "."
+    menus = [f"Home | {x} | Login" for x in ("News", "Shop", "Help")] + ["* Share * Print * Save", "<< back | next >>"]
+
+    def page(d):
+        lines = [prose() for _ in range(8)]
+        at = rng.randrange(2, 6)
+        lines[at:at] = rng.sample(menus, 2)
+        return lines
+
+    pages = {d: page(d) for d in range(80)}
+    rows = [(d, "\n".join(lines)) for d, lines in pages.items()]
+    rows += [(1000 + d, "\n".join("$$ WIN *** NOW " * 4 for _ in range(9))) for d in range(30)]
+    labels = spark.createDataFrame([(d, 1) for d in range(40)] + [(1000 + d, 0) for d in range(15)], "doc_id long, quality int")
+    docs = documents(rows)
+    model = train_on_labels(docs, labels)
+    found = {r.doc_id: r for r in quality_rules(docs, model).collect()}
+    for d in range(40, 80):
+        lines = pages[d]
+        marked = model.decode(line_crf.line_features([line.encode() for line in lines])).tolist()
+        assert marked == [line in menus for line in lines]
+        words = sum(len(line.split()) for line in lines if line not in menus)
+        assert found[d].kept and found[d].content_share == pytest.approx(words / found[d].n_words)
+        assert 0 < found[d].content_share < 1
+    assert not any(found[1000 + d].kept for d in range(30))
+
+
+def test_documents_of_the_corpus_have_both_labels(spark):
+    docs, labels, truth = held_out(spark)
+    shares = [r.content_share for r in quality_rules(docs, train_on_labels(docs, labels)).collect()]
+    assert sum(0 < s < 1 for s in shares) > 0.2 * len(shares)
+
+
 # --- importance resampling ---
 
 
