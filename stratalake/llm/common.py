@@ -1,8 +1,6 @@
 """Small helpers shared by the operators of this subpackage."""
 
-import gc
 import tempfile
-import time
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -39,15 +37,6 @@ def ship_library(spark: SparkSession) -> None:
     context._stratalake_shipped = True
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete the shuffle files of finished steps now. It does so when the driver has collected its garbage, which may
-    be much later than the next step needs the disk. What the first collection finds is only let go by the second."""
-    for _ in range(2):
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.5)
-
-
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

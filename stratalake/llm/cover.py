@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from stratalake.llm import fingerprints as fp
-from stratalake.llm.common import SplitTexts, id_and_text, pack_text, run_hashes, text_slices, unpack_texts
+from stratalake.llm.common import SplitTexts, id_and_text, mix, pack_text, run_hashes, text_slices, unpack_texts
 
 WINDOW = 13
 #: A perfect difference cover: 0, 1 and 3 differ by every distance modulo 7.
@@ -24,6 +24,8 @@ ANCHOR = WINDOW - PERIOD + 1
 #: Rank of documents without an id: after all others.
 LAST = 2**63 - 1
 
+#: Makes the second hash of a window another one.
+_SECOND = np.uint64(0xA24BAED4963EE407)
 _SPACE = re.compile(rb"([\x20\x09-\x0D]+)")
 _BLANK = b" \t\n\r\x0b\x0c"
 
@@ -49,6 +51,11 @@ def _candidates(words: np.ndarray, repeated: np.ndarray) -> np.ndarray:
     return np.flatnonzero(before[PERIOD : PERIOD + n] > before[:n])
 
 
+def _windows(words: np.ndarray) -> np.ndarray:
+    """The fingerprint of every window, by start."""
+    return fp.pair(run_hashes(words, WINDOW), run_hashes(mix(words ^ _SECOND), WINDOW))
+
+
 def _by_text(slices: Iterable[tuple[int, list[bytes]]]) -> Iterator[tuple[int, np.ndarray]]:
     """Row and word hashes of each text that has a window."""
     for start, texts in slices:
@@ -76,14 +83,13 @@ def remove_repeated_words(
     after all ids. Rows that share an id, such as repeated rows, do not count as smaller than each other, so none of
     them loses words to another. An empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
-    parts = fp.parts_of(spark)
     texts = id_and_text(docs, id_column, text_column).select(
         F.xxhash64("doc_id", "text").alias("key"),
         F.coalesce("doc_id", F.lit(LAST)).alias("rank"),
         F.col("text").cast("binary").alias("text"),
         "doc_id",
     )
+    parts = fp.parts_of(texts)
 
     def send_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered = fp.Gathered()
@@ -106,7 +112,7 @@ def remove_repeated_words(
             keys, ranks, answers = (batch.column(i).to_pylist() for i in (0, 1, 3))
             for i, words in _by_text(unpack_texts(batch.column(2))):
                 starts = _candidates(words, fp.unpack(answers[i], fp.ROUGH))
-                gathered.add(keys[i], ranks[i], np.unique(run_hashes(words, WINDOW)[starts]))
+                gathered.add(keys[i], ranks[i], fp.distinct(_windows(words)[starts])[0])
                 if gathered.size >= fp.CHUNK:
                     yield from fp.pack_first(gathered, parts, fp.EXACT)
                     gathered = fp.Gathered()
@@ -126,7 +132,7 @@ def remove_repeated_words(
                 told = [i for i in range(len(texts)) if answers[start + i] is not None]
                 gone_in = {}
                 for i, words in _by_text([(0, [texts[i] for i in told])]):
-                    repeated = fp.contains(fp.unpack(answers[start + told[i]], fp.EXACT), run_hashes(words, WINDOW))
+                    repeated = fp.contains(fp.unpack(answers[start + told[i]], fp.EXACT), _windows(words))
                     if repeated.any():
                         gone_in[told[i]] = covered(repeated, WINDOW, len(words))
                 rows += [_without(text, gone_in.get(i), keep_layout) for i, text in enumerate(texts)]

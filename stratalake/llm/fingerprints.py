@@ -6,6 +6,10 @@ sends one, on behalf of at most one document, and answers to the others itself w
 many documents share a passage, a task that gathers a part gets each fingerprint at most once from each sending task.
 Only where ranks decide, and several different documents share the smallest one (those without an id do), each of them asks.
 
+Fingerprints that only propose candidates are numbers of 64 bits, of which 48 are sent. Those that decide (:func:`pair`) hold 32
+more bits, from a second hash that shares nothing with the first: at 10**14 windows some 10**8 pairs of different ones would
+agree in 64 bits, and less than one in 96. Sorting goes by the first 64 bits and looks at the others only where these agree.
+
 Documents are known by a 64-bit key here. Answers are about contents, so documents that share a key by chance are safe.
 """
 
@@ -30,15 +34,69 @@ PACKED = "part int, answer boolean, keys binary, ranks binary, counts binary, ha
 _TOLD = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
 _TOLD_DDL = "part int, keys binary, counts binary, hashes binary"
 _ANSWERS = pa.schema([("key", pa.int64()), ("answers", pa.binary())])
-#: Bytes of a fingerprint that are sent: eight where equality decides, six where it only proposes candidates.
-EXACT, ROUGH = 8, 6
+#: Bytes of a fingerprint that are sent: twelve where equality decides, six where it only proposes candidates.
+EXACT, ROUGH = 12, 6
+_PAIR = np.dtype([("first", "<u8"), ("second", "<u4")])
+#: Text that one part of the hash range stands for, and the most parts that the 16 bits which choose a part can tell apart.
+PART_BYTES, MOST_PARTS = 256 << 20, 1 << 16
+
+
+def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Fingerprints that decide, from two independent hashes; of the second the low 32 bits count."""
+    out = np.empty(len(first), _PAIR)
+    out["first"], out["second"] = first, second.astype(np.uint32)
+    return out
+
+
+def _first(hashes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(hashes["first"]) if hashes.dtype.names else hashes
+
+
+def _order(hashes: np.ndarray, *then: np.ndarray) -> np.ndarray:
+    """Stable order by fingerprint, then by other values."""
+    first = _first(hashes)
+    order = np.lexsort((*then[::-1], first)) if then else np.argsort(first, kind="stable")
+    if hashes.dtype.names:
+        a, second = first[order], hashes["second"][order]
+        if ((a[1:] == a[:-1]) & (second[1:] != second[:-1])).any():
+            order = np.lexsort((*then[::-1], hashes["second"], first))
+    return order
+
+
+def _find(level: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each fingerprint the first place in a sorted array that holds it, and whether there is one."""
+    if not len(level):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    sorted_first, first = _first(level), _first(wanted)
+    at = np.searchsorted(sorted_first, first)
+    while True:
+        inside, place = at < len(level), np.minimum(at, len(level) - 1)
+        same = inside & (level[place] == wanted)
+        # Different fingerprints may agree in their first 64 bits.
+        again = inside & ~same & (sorted_first[place] == first)
+        if not again.any():
+            return place, same
+        at = at + again
+
+
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct fingerprints, and how often each occurs."""
+    if not len(hashes):
+        return hashes, np.empty(0, np.int64)
+    ordered = hashes[_order(hashes)]
+    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+    return ordered[starts], np.diff(np.r_[starts, len(ordered)])
 
 
 def to_bytes(hashes: np.ndarray, width: int) -> bytes:
+    if hashes.dtype.names:
+        return hashes.tobytes()
     return hashes.astype("<u8").view("u1").reshape(-1, 8)[:, :width].tobytes()
 
 
 def from_bytes(data: bytes, width: int) -> np.ndarray:
+    if width == _PAIR.itemsize:
+        return np.frombuffer(data, _PAIR)
     out = np.zeros((len(data) // width, 8), "u1")
     out[:, :width] = np.frombuffer(data, "u1").reshape(-1, width)
     return out.reshape(-1).view("<u8")
@@ -76,7 +134,7 @@ def pack_shared(gathered: Gathered, parts: int, width: int, tell: bool) -> Itera
     """Sends a chunk to find what occurs twice. With ``tell``, documents that share a fingerprint within the chunk hear so at
     once; else nobody is told, and answers go to fingerprints found nowhere else."""
     keys, ranks, docs, hashes, settled = gathered.columns()
-    order = np.argsort(hashes, kind="stable")
+    order = _order(hashes)
     hashes, docs, settled = hashes[order], docs[order], settled[order]
     first = np.r_[True, hashes[1:] != hashes[:-1]]
     group = np.cumsum(first) - 1
@@ -92,7 +150,7 @@ def pack_first(gathered: Gathered, parts: int, width: int) -> Iterator[pa.Record
     """Sends a chunk to find what occurs at a smaller rank. Documents that share a fingerprint with one of smaller rank in the
     chunk hear so at once; the fingerprint goes out for those of smallest rank, once for each of their keys."""
     keys, ranks, docs, hashes, _ = gathered.columns()
-    order = np.argsort(hashes, kind="stable")
+    order = _order(hashes)
     hashes, docs = hashes[order], docs[order]
     first = np.r_[True, hashes[1:] != hashes[:-1]]
     least = ranks[docs[first]][np.cumsum(first) - 1]
@@ -106,7 +164,7 @@ def _pack(
     keys: np.ndarray, ranks: np.ndarray, docs: np.ndarray, hashes: np.ndarray, parts: int, width: int, answer: bool = False
 ) -> Iterator[pa.RecordBatch]:
     """One row per part. The part comes from the top bits, as the low ones may be all that is sent."""
-    part = ((hashes >> np.uint64(48)) % np.uint64(parts)).astype(np.int64)
+    part = ((_first(hashes) >> np.uint64(48)) % np.uint64(parts)).astype(np.int64)
     if answer:
         part = keys[docs] % parts  # where the document's answers meet in the end
     order = np.lexsort((docs, part))
@@ -143,22 +201,21 @@ class LevelIndex:
     the same size are merged, so there are few, and a fingerprint is merged a logarithmic number of times."""
 
     def __init__(self) -> None:
-        self.levels: list[np.ndarray] = []  # columns: fingerprint, position of its first owner
+        self.levels: list[np.ndarray] = []  # sorted fingerprints
+        self.places: list[np.ndarray] = []  # where each of them was added
         self.found: list[np.ndarray] = []  # for each fingerprint added, whether it was found again
         self.size = 0
 
     def add(self, hashes: np.ndarray, settled: np.ndarray) -> None:
         """``settled``: those that the sender has found twice already."""
-        order = np.argsort(hashes, kind="stable")
+        order = _order(hashes)
         hashes, found = hashes[order], settled[order].copy()
-        places = np.uint64(self.size) + order.astype(np.uint64)
         for level, hits in zip(self.levels, self.found):
-            at = np.searchsorted(level[0], hashes)
-            at[at == len(level[0])] = 0
-            same = level[0][at] == hashes
+            at, same = _find(level, hashes)
             found |= same
             hits[at[same]] = True
-        self.levels.append(np.stack([hashes, places]))
+        self.levels.append(hashes)
+        self.places.append(self.size + order)
         self.found.append(found)
         self.size += len(hashes)
         while len(self.levels) > 1 and len(self.found[-2]) < 2 * len(self.found[-1]):
@@ -166,15 +223,15 @@ class LevelIndex:
 
     def _merge(self) -> None:
         """Merges the two smallest levels. Equal fingerprints stay side by side, each with its own owner, and have all been found."""
-        level = np.concatenate([self.levels.pop(-2), self.levels.pop()], axis=1)
-        found = np.concatenate([self.found.pop(-2), self.found.pop()])
-        order = np.argsort(level[0], kind="stable")
-        level, found = level[:, order], found[order]
-        twice = level[0][1:] == level[0][:-1]
+        level, places, found = (np.concatenate([x.pop(-2), x.pop()]) for x in (self.levels, self.places, self.found))
+        order = _order(level)
+        level, places, found = level[order], places[order], found[order]
+        twice = level[1:] == level[:-1]
         if twice.any():
             group = np.cumsum(np.r_[True, ~twice]) - 1
             found |= (np.bincount(group) > 1)[group]
         self.levels.append(level)
+        self.places.append(places)
         self.found.append(found)
 
     def answers(self) -> np.ndarray:
@@ -183,8 +240,7 @@ class LevelIndex:
             self._merge()
         out = np.zeros(self.size, bool)
         if self.levels:
-            hits = self.found[0]
-            out[self.levels[0][1].astype(np.int64)] = hits
+            out[self.places[0]] = self.found[0]
         return out
 
 
@@ -202,7 +258,7 @@ def _unshared(hashes: list[np.ndarray], ranks: list[np.ndarray]) -> np.ndarray:
 def _not_first(hashes: list[np.ndarray], ranks: list[np.ndarray]) -> np.ndarray:
     """Whether an equal fingerprint has a smaller rank."""
     every, rank = np.concatenate(hashes), np.concatenate(ranks)
-    order = np.lexsort((rank, every))
+    order = _order(every, rank)
     h, r = every[order], rank[order]
     first = np.r_[True, h[1:] != h[:-1]]
     out = np.zeros(len(h), bool)
@@ -271,12 +327,15 @@ def exchange(packed: DataFrame, parts: int, width: int, rule: Callable, purpose:
 
 def unpack(answers: bytes | None, width: int) -> np.ndarray:
     """The distinct fingerprints of a document's answers, sorted."""
-    return np.unique(from_bytes(answers or b"", width))
+    return distinct(from_bytes(answers or b"", width))[0]
 
 
-def parts_of(session) -> int:
-    """Parts of the hash range: as many as the session has shuffle partitions."""
-    return int(session.conf.get("spark.sql.shuffle.partitions"))
+def parts_of(texts: DataFrame) -> int:
+    """Parts of the hash range: one for each PART_BYTES of text (a binary column), and at least the session's shuffle partitions, so
+    that what a task gathers does not grow with the corpus."""
+    held = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    usual = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MOST_PARTS, max(usual, -(-held // PART_BYTES)))
 
 
 def low(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -285,8 +344,4 @@ def low(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def contains(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
-    if not len(sorted_values):
-        return np.zeros(len(values), bool)
-    at = np.searchsorted(sorted_values, values)
-    at[at == len(sorted_values)] = 0
-    return sorted_values[at] == values
+    return _find(sorted_values, values)[1]

@@ -128,3 +128,46 @@ def test_windows_are_sent_once_by_each_task():
     assert (sent == 77).sum() == 1 and len(sent) == 501
     told = np.concatenate([fp.from_bytes(r["hashes"], 8) for r in rows if r["answer"]])
     assert (told == 77).sum() == 499
+
+
+def weak(values):
+    """Fingerprints of which the first hash has two bits only."""
+    values = np.asarray(values, np.uint64)
+    return fp.pair(values & np.uint64(3), values * np.uint64(7919))
+
+
+def test_fingerprints_that_agree_in_the_first_hash_stay_apart():
+    rng = np.random.default_rng(6)
+    batches = [rng.choice(300, size, replace=False) for size in (5, 90, 3, 40, 120, 1, 2)]
+    every = np.concatenate(batches)
+    values, counts = np.unique(every, return_counts=True)
+    of = dict(zip(values.tolist(), counts.tolist()))
+    weak_values, weak_counts = fp.distinct(weak(every))
+    assert sorted(weak_counts.tolist()) == sorted(counts.tolist()) and len(weak_values) == len(values)
+    assert fp.contains(weak_values, weak(range(300))).tolist() == [v in of for v in range(300)]
+    nobody = [np.zeros(len(b), np.int64) for b in batches]
+    assert fp.SHARED([weak(b) for b in batches], nobody).tolist() == [of[v] > 1 for v in every.tolist()]
+    ranks = [rng.integers(0, 9, len(b)) for b in batches]
+    rank = np.concatenate(ranks)
+    least = {v: rank[every == v].min() for v in of}
+    assert fp.NOT_FIRST([weak(b) for b in batches], ranks).tolist() == [r > least[v] for v, r in zip(every.tolist(), rank.tolist())]
+
+
+def test_weak_fingerprints_survive_the_way():
+    """What is packed for a part comes back whole, and only equal fingerprints are combined."""
+    gathered = fp.Gathered()
+    for i in range(40):
+        gathered.add(i, i, weak([7, 11, 100 + 4 * i]))  # all agree in the first hash
+    rows = [r for batch in fp.pack_first(gathered, 3, fp.EXACT) for r in batch.to_pylist()]
+    sent = np.concatenate([fp.from_bytes(r["hashes"], fp.EXACT) for r in rows if not r["answer"]])
+    told = np.concatenate([fp.from_bytes(r["hashes"], fp.EXACT) for r in rows if r["answer"]])
+    assert len(sent) == 42 and fp.contains(fp.distinct(sent)[0], weak([7, 11, *range(100, 260, 4)])).all()
+    assert len(told) == 78 and not fp.contains(fp.distinct(told)[0], weak(range(100, 260, 4))).any()
+
+
+def test_parts_follow_the_size_of_the_texts(spark, documents, monkeypatch):
+    texts = documents([(i, "x" * 1_000) for i in range(50)]).selectExpr("cast(text as binary) text")
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert fp.parts_of(texts) == usual == fp.parts_of(texts.limit(0))
+    monkeypatch.setattr(fp, "PART_BYTES", 999)
+    assert fp.parts_of(texts) == 51
