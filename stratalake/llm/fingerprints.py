@@ -6,9 +6,9 @@ sends one, on behalf of at most one document, and answers to the others itself w
 many documents share a passage, a task that gathers a part gets each fingerprint at most once from each sending task.
 Only where ranks decide, and several different documents share the smallest one (those without an id do), each of them asks.
 
-Fingerprints that only propose candidates are numbers of 64 bits, of which 48 are sent. Those that decide (:func:`pair`) hold 32
-more bits, from a second hash that shares nothing with the first: at 10**14 windows some 10**8 pairs of different ones would
-agree in 64 bits, and less than one in 96. Sorting goes by the first 64 bits and looks at the others only where these agree.
+Fingerprints that only propose candidates are numbers of 64 bits, of which 48 are sent. Those that decide (:func:`pair`) hold 24
+more bits, from a second hash that shares nothing with the first: of 2 * 10**13 windows that are sent some 10**7 pairs of different
+ones would agree in 64 bits, and less than one in 88. Sorting goes by the first 64 bits and looks at the others only where these agree.
 
 Documents are known by a 64-bit key here. Answers are about contents, so documents that share a key by chance are safe.
 """
@@ -34,17 +34,17 @@ PACKED = "part int, answer boolean, keys binary, ranks binary, counts binary, ha
 _TOLD = pa.schema([("part", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("hashes", pa.binary())])
 _TOLD_DDL = "part int, keys binary, counts binary, hashes binary"
 _ANSWERS = pa.schema([("key", pa.int64()), ("answers", pa.binary())])
-#: Bytes of a fingerprint that are sent: twelve where equality decides, six where it only proposes candidates.
-EXACT, ROUGH = 12, 6
+#: Bytes of a fingerprint that are sent: eleven where equality decides, six where it only proposes candidates.
+EXACT, ROUGH = 11, 6
 _PAIR = np.dtype([("first", "<u8"), ("second", "<u4")])
 #: Text that one part of the hash range stands for, and the most parts that the 16 bits which choose a part can tell apart.
 PART_BYTES, MOST_PARTS = 256 << 20, 1 << 16
 
 
 def pair(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Fingerprints that decide, from two independent hashes; of the second the low 32 bits count."""
+    """Fingerprints that decide, from two independent hashes; of the second the low 24 bits count."""
     out = np.empty(len(first), _PAIR)
-    out["first"], out["second"] = first, second.astype(np.uint32)
+    out["first"], out["second"] = first, second & np.uint64(2**24 - 1)
     return out
 
 
@@ -89,17 +89,15 @@ def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def to_bytes(hashes: np.ndarray, width: int) -> bytes:
-    if hashes.dtype.names:
-        return hashes.tobytes()
-    return hashes.astype("<u8").view("u1").reshape(-1, 8)[:, :width].tobytes()
+    values = np.ascontiguousarray(hashes)
+    return values.view("u1").reshape(-1, values.itemsize)[:, :width].tobytes()
 
 
 def from_bytes(data: bytes, width: int) -> np.ndarray:
-    if width == _PAIR.itemsize:
-        return np.frombuffer(data, _PAIR)
-    out = np.zeros((len(data) // width, 8), "u1")
+    kind = _PAIR if width > 8 else np.dtype("<u8")
+    out = np.zeros((len(data) // width, kind.itemsize), "u1")
     out[:, :width] = np.frombuffer(data, "u1").reshape(-1, width)
-    return out.reshape(-1).view("<u8")
+    return out.reshape(-1).view(kind)
 
 
 class Gathered:

@@ -1,6 +1,6 @@
 """Removing repeated strings, found with a logarithmic family of suffix arrays.
 
-Only matches of at least LENGTH bytes count, so suffixes are compared on their first LENGTH bytes, by a 96-bit fingerprint of
+Only matches of at least LENGTH bytes count, so suffixes are compared on their first LENGTH bytes, by an 88-bit fingerprint of
 them, and a suffix array is the sorted list of the fingerprints of a batch of documents. Whatever task gathers a
 part of the fingerprint range keeps a family of such arrays (``fingerprints.LevelIndex``): the array of a new batch is
 scanned against every level, and levels of equal size are merged.
