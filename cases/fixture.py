@@ -7,8 +7,12 @@ are none, amounts of any size, technicians with two names, cancelled jobs with a
 repeated deliveries.
 """
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 
+from stratalake.sources.files import size
+
 AS_OF = "1999-01-01"
 
 _STATUS = """case o_orderstatus when 'F' then 'Completed' when 'O' then 'In Progress'
@@ -80,9 +84,18 @@ def _project(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
     return rows.selectExpr(*[f"{e.format(text='string')} as {name}" for name, e in columns.items()])
 
 
+# Of the stored line items, for one task; about a quarter of a million jobs.
+BYTES_A_TASK = 4 << 20
+
+
+def _tasks(spark: SparkSession, sf_dir: str) -> int:
+    """As many as the jobs need, so that what a task holds does not grow with the tables."""
+    return max(spark.sparkContext.defaultParallelism, math.ceil(size(spark, f"{sf_dir}/lineitem.parquet") / BYTES_A_TASK))
+
+
 def raw_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     # By order, as a join with a large table of orders needs it. A file of one row group would else keep one task busy.
-    lines = table(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    lines = table(spark, sf_dir, "lineitem").repartition(_tasks(spark, sf_dir), "l_orderkey")
     orders = table(spark, sf_dir, "orders")
     suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)

@@ -13,6 +13,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """The bytes of a file, or of all files below a folder."""
+    place, system = _open(spark, path)
+    return system.getContentSummary(place).getLength()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     place, system = _open(spark, path)
     system.delete(place, True)
