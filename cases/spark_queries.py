@@ -184,11 +184,11 @@ def dedupe_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedupe_exact_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row twice, with the three metadata columns of a bronze table; the copies differ in file or load."""
-    jobs = fixture.raw_jobs(spark, sf_dir)
     file = F.when(F.col("estimated_cost") > 30000, "b.csv").otherwise("a.csv")
-    twice = jobs.withColumns({"_source_file": F.lit("a.csv"), "_batch_id": F.lit("2")}).unionByName(
-        jobs.withColumns({"_source_file": file, "_batch_id": F.lit("1")})
-    )
+    loads = [
+        F.struct(f.alias("_source_file"), F.lit(load).alias("_batch_id")) for f, load in ((F.lit("a.csv"), "2"), (file, "1"))
+    ]
+    twice = fixture.raw_jobs(spark, sf_dir).select("*", F.inline(F.array(*loads)))
     return dedupe_exact_rows(twice).withColumnsRenamed({"_source_file": "source_file", "_batch_id": "batch_id"})
 
 

@@ -1,6 +1,9 @@
 """Work per task, and bytes on the way, that must not grow with the tables."""
 
-from cases import fixture
+from pyspark.sql import functions as F
+
+from cases import fixture, spark_queries
+from stratalake.operators.dedupe import dedupe_exact_rows
 from tests.helpers import rows
 
 SF = "/root/testdata/sf0.001"
@@ -12,3 +15,12 @@ def test_jobs_are_dealt_to_as_many_tasks_as_their_size_needs(spark, monkeypatch)
     jobs = fixture.raw_jobs(spark, SF)
     assert jobs.rdd.getNumPartitions() > 20
     assert rows(jobs) == whole
+
+
+def test_two_loads_are_derived_once(spark):
+    found = spark_queries.dedupe_exact_metadata(spark, SF)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("lineitem") <= 1
+    jobs = fixture.raw_jobs(spark, SF)
+    file = F.when(F.col("estimated_cost") > 30000, "b.csv").otherwise("a.csv")
+    loads = [jobs.withColumns({"_source_file": F.lit("a.csv"), "_batch_id": F.lit("2")}), jobs.withColumns({"_source_file": file, "_batch_id": F.lit("1")})]
+    assert rows(found) == rows(dedupe_exact_rows(loads[0].unionByName(loads[1])))
