@@ -10,6 +10,12 @@ def business_columns(df: DataFrame, ignore_prefix: str = "_") -> list[str]:
     return [c for c in df.columns if not c.startswith(ignore_prefix)]
 
 
+def row_hash(columns: Sequence[Column]) -> Column:
+    """128 bits of a row of texts, as hex digits: two hashes that start differently. Nulls count, so that a value in another column is another row."""
+    told = [part for c in columns for part in (c, c.isNull())]
+    return F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(start), *told)), 16, "0") for start in (1, 2)])
+
+
 def dedupe_exact_rows(df: DataFrame, ignore_prefix: str = "_") -> DataFrame:
     """One row per combination of business columns, with the metadata of its latest copy.
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from stratalake.operators.dedupe import business_columns
+from stratalake.operators.dedupe import business_columns, row_hash
 
 
 def profile(df: DataFrame, ignore_prefix: str = "_", approximate: bool = False) -> DataFrame:
@@ -16,7 +16,7 @@ def profile(df: DataFrame, ignore_prefix: str = "_", approximate: bool = False)
     """
     columns = business_columns(df, ignore_prefix)
     texts = [F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
-    row = F.md5(F.to_json(F.struct(*texts), {"ignoreNullFields": "false"})).alias("row")
+    row = row_hash([F.col(c).cast("string") for c in columns]).alias("row")
     names = [f"c{i}" for i in range(len(columns))] + ["row"]
     rows = df.select(*texts, row)
     if approximate:

@@ -9,7 +9,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from stratalake.operators.dedupe import business_columns
+from stratalake.operators.dedupe import business_columns, row_hash
 
 LG_K = 12
 
@@ -58,7 +58,7 @@ def profile_sketch(df: DataFrame, ignore_prefix: str = "_") -> DataFrame:
     """
     columns = business_columns(df, ignore_prefix)
     texts = [F.col(c).cast("string").alias(f"c{i}") for i, c in enumerate(columns)]
-    record = F.md5(F.to_json(F.struct(*texts), {"ignoreNullFields": "false"})).alias("record")
+    record = row_hash([F.col(c).cast("string") for c in columns]).alias("record")
     measured = df.select(*texts, record).agg(
         F.count(F.lit(1)).alias("rows"),
         F.hll_sketch_agg("record", F.lit(LG_K)).alias("record"),

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cases import fixture, spark_queries
-from stratalake.operators.dedupe import dedupe_exact_rows
+from stratalake.operators.dedupe import dedupe_exact_rows, row_hash
+from stratalake.operators.profile import profile
+from stratalake.operators.sketches import profile_sketch
 from stratalake.sources.buckets import Buckets
 from stratalake.sources.tables import Layout
 from stratalake.streaming import upsert
@@ -72,3 +74,16 @@ def test_many_changes_and_their_snapshot_meet_in_one_shuffle(spark, conf):
     # Untouched keys keep their repeated rows.
     kept = swept.filter("__position = 1 or not __touched")
     assert rows(kept, "k", "ts", "v") == [("a", 1, "x"), ("a", 2, "y"), ("b", 2, "y")]
+
+
+def test_a_row_is_told_by_which_column_holds_a_value(spark):
+    data = [("a", None), (None, "a"), ("a", ""), ("", "a"), ("ab", "c"), ("a", "bc"), (None, None), ("a", None)]
+    df = spark.createDataFrame(data, "x string, y string")
+    hashed = [r[0] for r in df.select(row_hash([F.col("x"), F.col("y")])).collect()]
+    assert len(set(hashed)) == 7 and {len(h) for h in hashed} == {32}
+    assert {r["duplicate_rows"] for r in profile(df).collect()} == {1}
+
+
+def test_rows_are_told_apart_without_text_of_the_whole_row(spark):
+    df = spark.createDataFrame([("a", 1)], "x string, y int")
+    assert "to_json" not in plan(profile(df)) and "to_json" not in plan(profile_sketch(df))
