@@ -35,6 +35,8 @@ BLOCK_IDS = 2_000_000
 #: would gain nothing.
 LEAST_COUNT, LEAST_USES = 16, 4
 TABLE_BITS = 20
+#: New words in a text for the tokenizers library, which takes longer for a word of a long text.
+JOINED_WORDS = 100
 
 SCHEMA = (
     "shard long, block long, doc_ids binary, has_id binary, doc_lengths binary, rules binary, rule_lengths binary, "
@@ -55,15 +57,16 @@ def compress(ids: np.ndarray, first_symbol: int, least: int = LEAST_COUNT) -> tu
     next_symbol = first_symbol
     of_symbol = np.ones(first_symbol, np.uint32)
     # Only pairs with a new symbol, and frequent ones that were in the way of others, can be frequent in the next round.
-    look = np.arange(max(len(symbols) - 1, 0))
+    look = None
     while True:
-        pairs = symbols[look].astype(np.uint64) << np.uint64(32) | symbols[look + 1]
+        before, after = (symbols[:-1], symbols[1:]) if look is None else (symbols[look], symbols[look + 1])
+        pairs = before.astype(np.uint64) << np.uint64(32) | after
         frequent, counts = _frequent_pairs(pairs, least)
         if not len(frequent):
             return symbols.astype("<u4"), np.concatenate(rules).astype("<u4"), np.concatenate(lengths).astype("<u4")
         found, rule = _places(pairs, frequent)
-        at = look[found]
-        taken = _best_places(len(symbols), at, counts[rule])
+        at = found if look is None else look[found]
+        taken = _best_places(at, counts[rule])
         worth = np.bincount(rule[taken], minlength=len(frequent)) >= LEAST_USES
         if not worth.any():
             # Frequent pairs in each other's way: the most frequent one alone is replaced at half of its places at least.
@@ -77,12 +80,18 @@ def compress(ids: np.ndarray, first_symbol: int, least: int = LEAST_COUNT) -> tu
         lengths.append(of_symbol[rules[-1][:, 0]] + of_symbol[rules[-1][:, 1]])
         of_symbol = np.concatenate([of_symbol, lengths[-1]])
         symbols[at[taken]] = next_symbol + number[rule[taken]]
-        watched, stay = np.zeros(len(symbols), bool), np.ones(len(symbols), bool)
-        watched[at] = True
+        stay = np.ones(len(symbols), bool)
         stay[at[taken] + 1] = False
-        symbols, watched = symbols[stay], watched[stay]
-        fresh = symbols >= next_symbol
-        look = np.flatnonzero(watched[:-1] | fresh[:-1] | fresh[1:])
+        symbols = symbols[stay]
+        # Every place moves left by the symbols that were taken away before it.
+        shift = np.zeros(len(at) + 1, np.int64)
+        shift[taken + 1] = 1
+        moved = at - np.cumsum(shift)[:-1]
+        watched = np.zeros(len(symbols) + 1, bool)
+        watched[moved[stay[at]]] = True
+        # The place before the first one is -1, the end of the array, where nothing is looked for.
+        watched[moved[taken] - 1] = True
+        look = np.flatnonzero(watched[: max(len(symbols) - 1, 0)])
         next_symbol += len(chosen)
 
 
@@ -119,21 +128,27 @@ def _places(pairs: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.nda
     return at[real], rule[real]
 
 
-def _best_places(n: int, at: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Of the places ``at`` (as indexes), those whose pair is no less frequent than the ones that overlap it; of a run of equals every second."""
-    weight = np.zeros(n + 2, np.int32)
-    weight[at + 1] = counts
-    best = np.flatnonzero((counts >= weight[at]) & (counts >= weight[at + 2]))
+def _best_places(at: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Of the ascending places ``at`` (as indexes), those whose pair is no less frequent than the ones that overlap it; of a run of equals
+    every second."""
+    overlap = at[1:] == at[:-1] + 1
+    best = np.ones(len(at), bool)
+    best[1:] = ~overlap | (counts[1:] >= counts[:-1])
+    best[:-1] &= ~overlap | (counts[:-1] >= counts[1:])
+    best = np.flatnonzero(best)
     return best[_every_second(at[best])]
 
 
 def _every_second(at: np.ndarray) -> np.ndarray:
-    """Which places to take so that none follows another: in each run of neighbours every second one, from its left."""
-    if not len(at):
-        return np.empty(0, np.int64)
-    fresh = np.r_[True, at[1:] != at[:-1] + 1]
-    place = np.arange(len(at))
-    return np.flatnonzero((place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0)
+    """Which of the ascending places to take so that none follows another: in each run of neighbours every second one, from its left."""
+    takes = np.ones(len(at), bool)
+    # The places that follow another are few: only they are counted along their run.
+    follows = np.flatnonzero(at[1:] == at[:-1] + 1) + 1
+    if len(follows):
+        fresh = np.r_[True, follows[1:] != follows[:-1] + 1]
+        place = np.arange(len(follows))
+        takes[follows[(place - np.maximum.accumulate(np.where(fresh, place, 0))) % 2 == 0]] = False
+    return np.flatnonzero(takes)
 
 
 def _expansions(rules: np.ndarray, first_symbol: int) -> np.ndarray:
@@ -193,23 +208,24 @@ def library_encoder(path: str) -> TextEncoder:
     starts_word[[i for token, i in tokenizer.get_vocab().items() if token[0] in "\u0120\u010a"]] = True
 
     def encode_chunks(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Words are joined to one text, behind a space of their own or a line break, and told apart by the tokens that start
+        """Words are joined to texts, behind a space of their own or a line break, and told apart by the tokens that start
         with these. What holds other white space is encoded alone."""
         single = np.array([c.split() == [c.lstrip(" ")] for c in chunks], bool)
         spaced = np.array([c[0] == " " for c in chunks], bool)
         order = np.concatenate([np.flatnonzero(single & spaced), np.flatnonzero(single & ~spaced), np.flatnonzero(~single)])
         n_spaced, n_single = int((single & spaced).sum()), int(single.sum())
         names = [chunks[i] for i in order.tolist()]
-        text = "".join(names[:n_spaced]) + "".join(f"\n{c}" for c in names[n_spaced:n_single])
-        parts = [text, *names[n_single:]] if n_single else names
-        found = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
-        own = np.flatnonzero(starts_word[found[0]]) if n_single else np.empty(0, np.int64)
-        rest = np.array([len(x) for x in found[1 if n_single else 0 :]], np.int64)
-        ends_of_rest = (len(found[0]) if n_single else 0) + np.cumsum(rest)
-        ends = np.concatenate([own[1:], [len(found[0])] if n_single else [], ends_of_rest]).astype(np.int64)
+        words = names[:n_spaced] + [f"\n{c}" for c in names[n_spaced:n_single]]
+        texts = ["".join(words[i : i + JOINED_WORDS]) for i in range(0, n_single, JOINED_WORDS)]
+        found = [np.array(e.ids, np.uint32) for e in tokenizer.encode_batch_fast([*texts, *names[n_single:]], add_special_tokens=False)]
+        ids = np.concatenate(found)
+        rest = np.array([len(x) for x in found[len(texts) :]], np.int64)
+        n_joined = len(ids) - int(rest.sum())
+        own = np.flatnonzero(starts_word[ids[:n_joined]])
+        ends_of_rest = n_joined + np.cumsum(rest)
+        ends = np.concatenate([own[1:], [n_joined] if n_single else [], ends_of_rest]).astype(np.int64)
         starts = np.concatenate([own, ends_of_rest - rest])
         starts[n_spaced:n_single] += 1  # the line break
-        ids = np.concatenate(found)
         back = np.argsort(order)
         starts, counts = starts[back], (ends - starts)[back]
         before = np.cumsum(counts) - counts

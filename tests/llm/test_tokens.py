@@ -86,6 +86,30 @@ def test_queries_equal_the_library(spark, library):
         start += len(wanted) + 1
 
 
+@pytest.mark.parametrize("joined", [1, 2, 7, 100])
+def test_new_words_are_joined_to_short_texts(monkeypatch, joined):
+    monkeypatch.setattr(repair, "JOINED_WORDS", joined)
+    library = Tokenizer.from_file(tokenizer_path())
+    text = " ".join(f"word{i}" for i in range(15)) + "\nline\nbreaks\n'll they're\tодин\t two\u2003three x " + "\n".join(f"l{i}!" for i in range(15))
+    for part in (text, "\nfirst", " ", "\t", "alone", "a\nb\nc\nd", ""):
+        found = repair.library_encoder.__wrapped__(tokenizer_path()).encode(part)
+        assert ids(found) == library.encode(part, add_special_tokens=False).ids, part
+
+
+def test_overlapping_places():
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        at = np.flatnonzero(rng.random(60) < 0.7)
+        counts = rng.integers(1, 4, len(at))
+        count = dict(zip(at.tolist(), counts.tolist()))
+        best = [p for p in at.tolist() if count[p] >= max(count.get(p - 1, 0), count.get(p + 1, 0))]
+        wanted: list[int] = []
+        for p in best:
+            if not wanted or wanted[-1] != p - 1:
+                wanted.append(p)
+        assert at[repair._best_places(at, counts)].tolist() == wanted
+
+
 # --- token files ---
 
 
