@@ -23,6 +23,15 @@ def test_jobs_are_dealt_to_as_many_tasks_as_their_size_needs(spark, monkeypatch)
     assert rows(jobs) == whole
 
 
+@pytest.mark.parametrize("make", [fixture.raw_customers, fixture.raw_devices])
+def test_dimensions_are_dealt_to_as_many_tasks_as_their_size_needs(spark, monkeypatch, make):
+    whole = rows(make(spark, SF))
+    monkeypatch.setattr(fixture, "DIMENSION_BYTES_A_TASK", 512, raising=False)
+    dealt = make(spark, SF)
+    assert dealt.rdd.getNumPartitions() > 4
+    assert rows(dealt) == whole
+
+
 def test_two_loads_are_derived_once(spark):
     found = spark_queries.dedupe_exact_metadata(spark, SF)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("lineitem") <= 1
