@@ -1,0 +1,92 @@
+"""What a run leaves on disk while it goes on: no files that nothing reads any more."""
+
+import glob
+import time
+
+import pytest
+
+from cases import spark_queries
+from stratalake.plans import mart_state
+from stratalake.plans.pipeline import run_incremental, run_pipeline
+from stratalake.sources.scratch import brief_shuffles, staged
+from stratalake.sources.tables import Layout
+from stratalake.streaming import upsert
+from tests.helpers import rows
+
+FILES = {
+    "customers": "customer_id,customer_name,phone_number,email,city,registration_date\nC1,Kiran,98,K@X.COM,pune,2022-08-12\n",
+    "devices": "device_id,brand,device_type,model_series,warranty_months,price_range\nD1,Acme,TV,M1,12,Budget (< 15K)\n",
+    "service_jobs": "job_id,customer_id,device_id,issue_type,job_status,received_date,promised_date,completed_date,technician_id,technician_name,"
+    "repair_notes,estimated_cost,actual_cost\n"
+    + "".join(f"J{i},C1,D1,Screen,Completed,2024-01-01,2024-01-05,2024-01-08,T1,Asha,,10.5,{i}\n" for i in range(9)),
+}
+
+
+@pytest.fixture
+def kept(spark):
+    """The intermediate results that are there now and were not before the test."""
+    found = lambda: set(glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/stratalake/*"))
+    before = found()
+    return lambda: sorted({p.split("/")[-1].rsplit("-", 1)[0] for p in found() - before})
+
+
+@pytest.fixture
+def layout(tmp_path):
+    (tmp_path / "raw").mkdir()
+    for name, text in FILES.items():
+        (tmp_path / "raw" / f"{name}.csv").write_text(text)
+    return Layout(f"d_{tmp_path.name}", f"{tmp_path}/raw", f"{tmp_path}/tables")
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (found.apply(i) for i in range(found.size())) if f.getName().startswith("shuffle_")}
+
+
+def test_staged_rows_go_with_their_block(spark, kept):
+    with staged(spark.range(5), "five") as five:
+        assert rows(five) == [(i,) for i in range(5)] and kept() == ["five"]
+    assert kept() == []
+    with pytest.raises(RuntimeError, match="lost"), staged(spark.range(5), "five"):
+        raise RuntimeError("lost")
+    assert kept() == []
+
+
+def test_shuffles_end_with_their_query(spark):
+    before, option = shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    with brief_shuffles(spark):
+        sums = spark.range(1000).selectExpr("id % 7 as k").groupBy("k").count()
+        assert rows(sums) == rows(sums) == [(k, 143 if k < 6 else 142) for k in range(7)]
+        for _ in range(100):
+            if not shuffle_files(spark) - before:
+                break
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - before
+        assert spark.conf.get(option) == "true"
+    assert spark.conf.get(option, None) is None
+
+
+@pytest.mark.parametrize("many", [1, 10**9])
+def test_an_incremental_run_leaves_no_rows_on_the_way(spark, layout, tmp_path, kept, monkeypatch, many):
+    monkeypatch.setattr(upsert, "MANY_CHANGES", many)
+    monkeypatch.setattr(upsert, "UNEVEN", 100)
+    run_pipeline(spark, layout, as_of="2024-02-01")
+    marts = {name: rows(spark.table(layout.gold(name))) for name in ("repair_turnaround", "technician_performance", "repeat_customers")}
+    head, *jobs = FILES["service_jobs"].splitlines()
+    (tmp_path / "landing").mkdir()
+    for name, part in (("a", jobs[:5]), ("b", jobs[3:])):
+        (tmp_path / "landing" / f"{name}.csv").write_text("\n".join([head, *part]) + "\n")
+        run_incremental(spark, layout, f"{tmp_path}/landing", f"{tmp_path}/checkpoints", as_of="2024-02-01", buckets=4)
+    deltas = {f"delta_{s.name}" for s in mart_state.STATES}
+    assert not {"contest", "changes", "changed_keys", "new_rows", "signed_jobs", *deltas} & set(kept())
+    assert {name: rows(spark.table(layout.gold(name))) for name in marts} == marts
+
+
+def test_raw_files_are_written_compressed_and_read_as_they_were(spark, tmp_path):
+    texts = [(" padded ", 'said "ok",\ntwice', None), ("", "x", "1")]
+    df = spark.createDataFrame(texts, "a string, b string, c string")
+    spark_queries.write_csv(df, f"{tmp_path}/t.csv")
+    files = glob.glob(f"{tmp_path}/t.csv/part-*")
+    assert files and all(f.endswith(".csv.gz") for f in files)
+    read = spark_queries.read_raw_csv(spark, f"{tmp_path}/t.csv", "a string, b string, c string")
+    assert rows(read) == sorted([(" padded ", 'said "ok",\ntwice', None), (None, "x", "1")], key=repr)
