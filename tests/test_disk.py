@@ -82,6 +82,15 @@ def test_an_incremental_run_leaves_no_rows_on_the_way(spark, layout, tmp_path, k
     assert {name: rows(spark.table(layout.gold(name))) for name in marts} == marts
 
 
+def test_a_full_run_leaves_no_rows_on_the_way(spark, layout, kept):
+    run_pipeline(spark, layout, as_of="2024-02-01")
+    assert spark.table(layout.silver("service_jobs")).count() == 9
+    assert "latest_jobs" not in kept()
+    run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B1")
+    run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B1", resume=True)
+    assert "latest_jobs" not in kept()
+
+
 def test_raw_files_are_written_compressed_and_read_as_they_were(spark, tmp_path):
     texts = [(" padded ", 'said "ok",\ntwice', None), ("", "x", "1")]
     df = spark.createDataFrame(texts, "a string, b string, c string")
