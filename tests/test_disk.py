@@ -8,6 +8,8 @@ import pytest
 from cases import spark_queries
 from stratalake.plans import mart_state
 from stratalake.plans.pipeline import run_incremental, run_pipeline
+from stratalake.sources import scratch
+from stratalake.sources.buckets import Buckets
 from stratalake.sources.scratch import brief_shuffles, staged
 from stratalake.sources.tables import Layout
 from stratalake.streaming import upsert
@@ -66,8 +68,14 @@ def test_shuffles_end_with_their_query(spark):
     assert spark.conf.get(option, None) is None
 
 
-@pytest.mark.parametrize("many", [1, 10**9])
-def test_an_incremental_run_leaves_no_rows_on_the_way(spark, layout, tmp_path, kept, monkeypatch, many):
+# 9 jobs of 110 bytes take three passes of 400 bytes.
+PASSES = [400, 10**9]
+
+
+@pytest.mark.parametrize(("many", "bytes_a_pass"), [(1, PASSES[0]), (1, PASSES[1]), (10**9, PASSES[0])])
+def test_an_incremental_run_leaves_no_rows_on_the_way(spark, layout, tmp_path, kept, monkeypatch, many, bytes_a_pass):
+    monkeypatch.setattr(scratch, "BYTES_A_PASS", bytes_a_pass)
+    monkeypatch.setattr(mart_state, "MANY_SUMS", many)
     monkeypatch.setattr(upsert, "MANY_CHANGES", many)
     monkeypatch.setattr(upsert, "UNEVEN", 100)
     run_pipeline(spark, layout, as_of="2024-02-01")
@@ -80,17 +88,32 @@ def test_an_incremental_run_leaves_no_rows_on_the_way(spark, layout, tmp_path, k
     deltas = {f"delta_{s.name}" for s in mart_state.STATES}
     assert not {"contest", "changes", "changed_keys", "new_rows", "signed_jobs", *deltas} & set(kept())
     assert {name: rows(spark.table(layout.gold(name))) for name in marts} == marts
+    assert rows(spark.table(layout.silver("service_jobs_latest")), "job_id") == [(f"J{i}",) for i in range(9)]
 
 
-def test_a_full_run_leaves_no_rows_on_the_way(spark, layout, kept):
+@pytest.mark.parametrize("bytes_a_pass", PASSES)
+def test_a_full_run_leaves_no_rows_on_the_way(spark, layout, kept, monkeypatch, bytes_a_pass):
+    monkeypatch.setattr(scratch, "BYTES_A_PASS", bytes_a_pass)
     run_pipeline(spark, layout, as_of="2024-02-01")
-    assert spark.table(layout.silver("service_jobs")).count() == 9
+    assert rows(spark.table(layout.silver("service_jobs")), "job_id") == [(f"J{i}",) for i in range(9)]
     assert "latest_jobs" not in kept()
     run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B1")
     run_pipeline(spark, layout, as_of="2024-02-01", batch_id="B1", resume=True)
     assert "latest_jobs" not in kept()
 
 
+def test_a_shuffle_that_is_too_big_comes_in_passes(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "BYTES_A_PASS", 1000)
+    assert [scratch.passes(n, 100) for n in (0, 10, 11, 35)] == [1, 1, 2, 4]
+    dealt = Buckets(Layout("m", "", "/nowhere"), "things", ("k",), 4)
+    things = spark.range(100).selectExpr("if(id = 7, null, id) as k")
+    for number, groups in ((1, [[0, 1, 2, 3]]), (3, [[0, 3], [1], [2]]), (9, [[0], [1], [2], [3]])):
+        parts = dealt.in_passes(things, range(4), number)
+        assert [some for some, _ in parts] == groups
+        assert sorted((r for _, part in parts for r in rows(part)), key=repr) == rows(things)
+        assert all(set(dealt.touched_by(part)) <= set(some) for some, part in parts)
+
+
 def test_raw_files_are_written_compressed_and_read_as_they_were(spark, tmp_path):
     texts = [(" padded ", 'said "ok",\ntwice', None), ("", "x", "1")]
     df = spark.createDataFrame(texts, "a string, b string, c string")
