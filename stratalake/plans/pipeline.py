@@ -39,7 +39,7 @@ from stratalake.sources.raw_csv import (
     read_raw_csv,
     with_ingestion_metadata,
 )
-from stratalake.sources.scratch import staged, with_brief_shuffles
+from stratalake.sources.scratch import passes, staged, with_brief_shuffles
 from stratalake.sources.tables import Layout, counts_of_run, replace_table
 from stratalake.streaming.ingest import ingest_new_files, ledger_of
 from stratalake.streaming.upsert import upsert_stream
@@ -196,8 +196,15 @@ def _job_steps(
     spark, layout = publish.spark, publish.layout
     bronze, jobs, technicians = layout.bronze("service_jobs"), layout.silver("service_jobs"), layout.silver("technicians")
     customers, devices = layout.silver("customers"), layout.silver("devices")
+
+    def newest() -> list[DataFrame]:
+        """The current versions, by a hash of the id if one shuffle would be too big."""
+        raw, number = spark.table(bronze), passes(publish.run.counts[bronze]["not_empty"])
+        part = F.pmod(F.xxhash64(tidy_key("job_id")), F.lit(number))
+        return [silver.latest_jobs(raw.filter(part == i)) for i in range(number)] if number > 1 else [silver.latest_jobs(raw)]
+
     # Stored, as the names and the jobs both come from it.
-    latest = Once(lambda: kept.enter_context(staged(silver.latest_jobs(spark.table(bronze)), "latest_jobs")))
+    latest = Once(lambda: kept.enter_context(staged(newest(), "latest_jobs")))
 
     def made_jobs() -> DataFrame:
         return silver.silver_jobs(latest(), spark.table(customers), spark.table(devices), as_of, spark.table(technicians))
@@ -219,8 +226,10 @@ def _job_steps(
         lambda: gold.repeat_customers(spark.table(jobs), spark.table(customers)),
         lambda: gold.device_failures(spark.table(jobs), spark.table(devices)),
     )
+    # The mart that shuffles most comes after the others, so that not all their files lie side by side.
+    first = {"repeat_customers": (layout.gold("repair_turnaround"), layout.gold("device_failure_trends"))}
     for name, mart in zip(MARTS, marts, strict=True):
-        steps |= publish.step(layout.gold(name), mart, [rows()], jobs)
+        steps |= publish.step(layout.gold(name), mart, [rows()], jobs, *first.get(name, ()))
     return steps
 
 
